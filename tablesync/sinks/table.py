@@ -1,0 +1,256 @@
+"""Parquet tables: write modes, conditional overwrite, upsert and clustering.
+
+Rewrites touch only the partitions that receive rows. With one partition column
+the new content goes straight over the old one by dynamic partition overwrite:
+Spark swaps the directories after every task has finished, so the job may read
+what it replaces, and a lost executor costs a retry only. Other layouts are
+staged first.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablesync.functions.names import col, resolve
+from tablesync.operators.layout import zorder
+from tablesync.operators.merge import check_scope, conform, evolved_schema, replace_where, upsert
+from tablesync.operators.predicates import PartitionScope, partition_scope
+from tablesync.sinks import files
+from tablesync.sinks.loadlog import DONE, STARTED, load_log, log_path, record
+
+# A landed source up to this size is below Spark's default broadcast threshold.
+SMALL_SOURCE_BYTES = 10 * 1024 * 1024
+
+
+@dataclass(frozen=True)
+class Written:
+    """Outcome of one write: incoming rows, and the partitions they touched."""
+
+    n_rows: int
+    scope: PartitionScope | None = None
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return files.exists(spark, path)
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Logged schema of the table, or the merged schema of its files."""
+    if files.exists(spark, log_path(path)):
+        newest = load_log(spark, path).orderBy(F.desc("logged_at")).select("table_schema").first()
+        if newest:
+            return T.StructType.fromJson(json.loads(newest[0]))
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table with its columns in order and partition values in their declared types."""
+    schema = schema or table_schema(spark, path)
+    return spark.read.schema(schema).parquet(path).select([col(f.name) for f in schema])
+
+
+def blank_partitions_to_null(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Storage keeps '' and null in one directory, so '' becomes null before any comparison."""
+    for name in partition_cols:
+        if isinstance(df.schema[name].dataType, T.StringType):
+            df = df.withColumn(name, F.nullif(col(name), F.lit("")))
+    return df
+
+
+def land(spark: SparkSession, df: DataFrame, folder: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once and return the written rows with their count.
+
+    Rewrites look at the incoming data several times: a fixed copy keeps a
+    changing source consistent and survives lost executors, unlike a cache.
+    """
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), counted.get["n"]
+
+
+def _put(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str]) -> None:
+    """Write with one of Spark's own modes."""
+    if partition_cols:
+        df = _rebalanced(df, partition_cols)
+    df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
+
+
+def _put_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_cols).parquet(path)
+
+
+def _rebalanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Few, even files per directory; AQE splits a partition value that holds much of the data."""
+    return df.hint("rebalance", *[col(c) for c in partition_cols])
+
+
+def write(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    partition_cols: Sequence[str] = (),
+    tag: str = "",
+    where: Column | None = None,
+    load_id: str | None = None,
+) -> Written:
+    """Write ``df`` in one of Spark's save modes.
+
+    ``overwrite`` with a partition column replaces only rows matching ``where``
+    in the incoming partitions; without one it replaces the table.
+    """
+    mode = mode.lower()
+    load_id = load_id or files.new_load_id()
+    partition_cols = [resolve(df, c) for c in partition_cols]
+    if mode == "overwrite" and partition_cols:
+        return overwrite_where(spark, df, path, partition_cols, where, tag, load_id)
+    present = table_exists(spark, path)
+    if present and mode == "ignore":
+        return Written(0)
+    if present and mode in ("error", "errorifexists", "default"):
+        raise FileExistsError(f"{path} already exists")
+    df = blank_partitions_to_null(df, partition_cols)
+    present_schema = table_schema(spark, path) if present else T.StructType()
+    schema = evolved_schema(present_schema, df.schema)
+    df = conform(df, schema)
+    record(spark, path, load_id, tag, mode, STARTED, None, schema)
+    counted = Observation()
+    _put(df.observe(counted, F.count(F.lit(1)).alias("n")), path, mode, partition_cols)
+    n_rows = counted.get["n"]
+    record(spark, path, load_id, tag, mode, DONE, n_rows, schema)
+    return Written(n_rows)
+
+
+def overwrite_where(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    where: Column | None = None,
+    tag: str = "",
+    load_id: str | None = None,
+) -> Written:
+    """Replace target rows for which ``where`` holds and whose last partition
+    column has an incoming value. Incoming rows must satisfy the same predicate.
+    Empty incoming data changes nothing.
+    """
+    load_id = load_id or files.new_load_id()
+    partition_cols = [resolve(df, c) for c in partition_cols]
+    folder = f"{files.staging_root(spark, path)}/{load_id}"
+    incoming = blank_partitions_to_null(df, partition_cols)
+    incoming, n_rows = land(spark, incoming, f"{folder}/incoming")
+    scope = partition_scope(incoming, partition_cols[-1])
+    if n_rows:
+        if table_exists(spark, path):
+            present = table_schema(spark, path)
+            schema = evolved_schema(present, incoming.schema)
+            target = scope.inside(read_table(spark, path, present))
+            content = replace_where(target, conform(incoming, schema), where, scope)
+        else:
+            schema = evolved_schema(T.StructType(), incoming.schema)
+            content = check_scope(incoming, where, scope)
+        record(spark, path, load_id, tag, "overwrite", STARTED, None, schema)
+        _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage")
+        record(spark, path, load_id, tag, "overwrite", DONE, n_rows, schema)
+    files.remove(spark, folder)
+    return Written(n_rows, scope)
+
+
+def upsert_table(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_cols: Sequence[str] = (),
+    mode: str = "errorifexists",
+    tag: str = "",
+    load_id: str | None = None,
+) -> Written:
+    """Update matching rows and insert the others; a missing table is written plainly.
+
+    With a partition column only target rows in incoming partitions can match.
+    """
+    load_id = load_id or files.new_load_id()
+    partition_cols = [resolve(df, c) for c in partition_cols]
+    if not table_exists(spark, path):
+        return write(spark, df, path, mode, partition_cols, tag, load_id=load_id)
+    folder = f"{files.staging_root(spark, path)}/{load_id}"
+    incoming = blank_partitions_to_null(df, partition_cols)
+    incoming, n_rows = land(spark, incoming, f"{folder}/incoming")
+    small = files.size(spark, f"{folder}/incoming") <= SMALL_SOURCE_BYTES
+    schema = table_schema(spark, path)
+    target = read_table(spark, path, schema)
+    scope = None
+    if n_rows and partition_cols:
+        scope = partition_scope(incoming, partition_cols[-1])
+        content = upsert(scope.inside(target), incoming, keys, scope, small)
+        if scope.has_null:
+            # Inserts land in the null partition, whose directory is rewritten: carry its rows.
+            content = content.unionByName(target.where(col(scope.column).isNull()))
+        _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage")
+    elif n_rows:
+        content = upsert(target, incoming, keys, None, small)
+        _replace_table(spark, content, path, f"{folder}/stage")
+    record(spark, path, load_id, tag, "merge", DONE, n_rows, schema)
+    files.remove(spark, folder)
+    return Written(n_rows, scope)
+
+
+def _replace_partitions(
+    spark: SparkSession, content: DataFrame, path: str, partition_cols: Sequence[str], stage: str
+) -> None:
+    """Put ``content`` in place of every directory it touches.
+
+    Each last-level value in ``content`` receives rows, but with several
+    partition columns rows can leave one directory for another of the same last
+    value. Staging shows which directories were emptied; those go last.
+    """
+    if len(partition_cols) == 1:
+        _put_partitions(_rebalanced(content, partition_cols), path, partition_cols)
+        return
+    _put(content, stage, "overwrite", partition_cols)
+    staged = files.folders(spark, stage)
+    before = files.folders(spark, path)
+    emptied = before.join(staged, "last", "left_semi").join(staged, "relative", "left_anti")
+    leftover = [row["folder"] for row in emptied.select("folder").collect()]
+    rows = spark.read.schema(content.schema).parquet(stage).select(content.columns)
+    _put_partitions(rows, path, partition_cols)
+    for folder in leftover:
+        files.remove(spark, folder)
+
+
+def _replace_table(spark: SparkSession, content: DataFrame, path: str, stage: str) -> None:
+    """Stage, then overwrite: a static overwrite clears its folder before it reads."""
+    content.write.mode("overwrite").parquet(stage)
+    spark.read.schema(content.schema).parquet(stage).write.mode("overwrite").parquet(path)
+
+
+def cluster_table(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str],
+    partition_cols: Sequence[str] = (),
+    scope: PartitionScope | None = None,
+    files_per_write: int | None = None,
+    load_id: str | None = None,
+) -> None:
+    """Z-order the touched partitions (or the whole table) by ``columns``."""
+    schema = table_schema(spark, path)
+    table = read_table(spark, path, schema)
+    if scope is not None:
+        table = scope.inside(table)
+    if partition_cols:
+        _put_partitions(zorder(table, columns, partition_cols, files_per_write), path, partition_cols)
+        return
+    folder = f"{files.staging_root(spark, path)}/{load_id or files.new_load_id()}"
+    table.write.mode("overwrite").parquet(f"{folder}/stage")
+    staged = spark.read.schema(schema).parquet(f"{folder}/stage")
+    zorder(staged, columns, (), files_per_write).write.mode("overwrite").parquet(path)
+    files.remove(spark, folder)
