@@ -80,9 +80,14 @@ def scan_schema_override(spark, sf):
     orders = _t(spark, sf, "orders")
     arrived = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     listed = [
-        (i, c, " Date " if c == "o_orderdate" else "varchar") for i, c in enumerate(orders.columns)
+        F.struct(
+            F.lit(i).alias("ordinal"),
+            F.lit(c).alias("column_name"),
+            F.lit(" Date " if c == "o_orderdate" else "varchar").alias("data_type"),
+        )
+        for i, c in enumerate(orders.columns)
     ]
-    metadata = spark.createDataFrame(listed, "ordinal int, column_name string, data_type string")
+    metadata = spark.range(1).select(F.inline(F.array(*listed)))
     ddl = schema_override(metadata, "ordinal").first()["ddl"]
     return frames.apply_schema_override(arrived, dict(p.split(" ") for p in ddl.split(", ")))
 

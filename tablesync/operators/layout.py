@@ -8,6 +8,7 @@ steer placement, so they never change the result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,18 +65,24 @@ def _rank_values(df: DataFrame, names: Sequence[str]) -> list[Column]:
     return [_rank_value(n, df.schema[n].dataType, skip.get(n, 0)) for n in names]
 
 
-def _bucket(value: Column, bounds: Sequence[float]) -> Column:
-    """How many bounds are at most ``value``, by binary search in code-generated CASEs."""
+def _count_bounds(df: DataFrame, values: dict[str, str], bounds: dict[str, Column], bits: int) -> DataFrame:
+    """Add per column how many of its ``2 ** bits - 1`` bounds are at most its value.
 
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(bounds[middle]), search(low, middle)).otherwise(
-            search(middle + 1, high)
+    A binary search, one projection per step: each step reads the position the
+    step before it reached, so all of it stays in generated code.
+    """
+    df = df.withColumns({pos: F.lit(0) for pos in values})
+    for i in reversed(range(bits)):
+        step = 2**i
+        df = df.withColumns(
+            {
+                pos: F.when(
+                    F.col(value) >= F.get(bounds[pos], F.col(pos) + (step - 1)), F.col(pos) + step
+                ).otherwise(F.col(pos))
+                for pos, value in values.items()
+            }
         )
-
-    return F.when(value.isNull(), F.lit(0)).otherwise(search(0, len(bounds)))
+    return df
 
 
 def _interleave(buckets: Sequence[Column], bits: int) -> Column:
@@ -88,17 +95,34 @@ def _interleave(buckets: Sequence[Column], bits: int) -> Column:
     return total
 
 
-def zvalue(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """The interleaved bucket number of a row; null values rank lowest."""
-    names = [resolve(df, c) for c in columns]
-    bits = max(1, min(bits, 62 // len(names)))
-    ranks = _rank_values(df, names)
+def _bounds(df: DataFrame, ranks: Sequence[Column], bits: int) -> list[Column]:
+    """Literal arrays of the columns' quantiles; a column without values gets infinity."""
     cuts = [i / 2**bits for i in range(1, 2**bits)]
-    quantiles = df.agg(
-        *[F.percentile_approx(r, cuts, 2 ** (bits + 4)).alias(str(i)) for i, r in enumerate(ranks)]
+    found = df.agg(
+        *[F.percentile_approx(r, cuts, 2 ** (bits + 2)).alias(str(i)) for i, r in enumerate(ranks)]
     ).first()
-    bounds = [sorted(set(q or ())) for q in quantiles]
-    return _interleave([_bucket(r, b) for r, b in zip(ranks, bounds)], bits)
+    padded = [[*(q or ()), *[math.inf] * len(cuts)][: len(cuts)] for q in found]
+    return [F.array(*[F.lit(float(x)) for x in bounds]) for bounds in padded]
+
+
+def with_zvalue(
+    df: DataFrame, columns: Sequence[str], bits: int = 6, like: DataFrame | None = None
+) -> DataFrame:
+    """``df`` plus the interleaved bucket number of each row; null values rank lowest.
+
+    Bounds come from ``like`` if given: a frame of about the same values that
+    is cheaper to read than ``df``.
+    """
+    names = [resolve(df, c) for c in columns]
+    bits = max(1, min(bits, 62 // len(names)))
+    like = df if like is None else like
+    ranks = _rank_values(like, names)
+    values = {f"__bucket{i}": f"__rank{i}" for i in range(len(ranks))}
+    bounds = dict(zip(values, _bounds(like, ranks, bits)))
+    ranked = df.withColumns(dict(zip(values.values(), ranks)))
+    placed = _count_bounds(ranked, values, bounds, bits)
+    buckets = [F.col(pos) for pos in values]
+    return placed.withColumn(ZVALUE, _interleave(buckets, bits)).drop(*values, *values.values())
 
 
 def zorder(
@@ -107,6 +131,7 @@ def zorder(
     partition_cols: Sequence[str] = (),
     files: int | None = None,
     bits: int = 6,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """The same rows, range partitioned and sorted by partition, then z-value.
 
@@ -115,9 +140,7 @@ def zorder(
     output partitions follows the session's shuffle setting and AQE.
     """
     place = [col(resolve(df, p)) for p in partition_cols] + [F.col(ZVALUE)]
-    placed = df.withColumn(ZVALUE, zvalue(df, columns, bits)).withColumn(
-        _SPLIT, F.spark_partition_id()
-    )
+    placed = with_zvalue(df, columns, bits, like).withColumn(_SPLIT, F.spark_partition_id())
     ranges = [*place, F.col(_SPLIT)]
     ranged = (
         placed.repartitionByRange(files, *ranges) if files else placed.repartitionByRange(*ranges)

@@ -83,10 +83,13 @@ def append_rows(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return conform(target, schema).unionByName(conform(incoming, schema))
 
 
-def check_scope(incoming: DataFrame, where: Column | None, scope: PartitionScope) -> DataFrame:
-    """Incoming rows, failing the job on one outside the overwrite predicate."""
-    inside = conjunction(where, col(scope.column).isNotNull())
-    return checked(incoming, inside, scope.column, "incoming row lies outside the overwrite predicate")
+def check_incoming(incoming: DataFrame, where: Column | None, partition_col: str) -> DataFrame:
+    """Incoming rows, failing the job on one outside the overwrite predicate.
+
+    A row's own partition value is in scope unless it is null.
+    """
+    inside = conjunction(where, col(partition_col).isNotNull())
+    return checked(incoming, inside, partition_col, "incoming row lies outside the overwrite predicate")
 
 
 def replace_where(
@@ -96,7 +99,7 @@ def replace_where(
     tagged = scope.tag(target, _IN_SCOPE)
     replaced = is_true(conjunction(where, col(_IN_SCOPE)))
     kept = tagged.where(~replaced).drop(_IN_SCOPE)
-    return append_rows(kept, check_scope(incoming, where, scope))
+    return append_rows(kept, check_incoming(incoming, where, scope.column))
 
 
 def upsert(

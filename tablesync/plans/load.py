@@ -101,32 +101,26 @@ def run(spark: SparkSession, spec: LoadSpec, source: DataFrame | None = None) ->
     data = prepare(spec, scan(spark, spec, source))
     partitions = [resolve(data, c) for c in spec.partition_columns]
     folder = f"{files.staging_root(spark, spec.path)}/{load_id}"
+    zorder_cols = [clean_column(c) for c in spec.zorderby_col]
     scope = None
     log.info("loading %s into %s", spec.table_name, spec.path)
 
-    if spec.zorderby_col and partitions and not (spec.use_merge or spec.mode == "overwrite"):
+    if zorder_cols and partitions and not spec.use_merge and spec.mode == "append":
         # Clustering needs the touched partitions of exactly the rows written.
         data, _ = land(spark, data, f"{folder}/landed")
         scope = partition_scope(data, partitions[-1])
     if spec.use_merge:
         keys = [clean_column(k) for k in spec.merge_keys]
         done = upsert_table(
-            spark, data, spec.path, keys, partitions, spec.mode, spec.load_tag, load_id
+            spark, data, spec.path, keys, partitions, spec.mode, spec.load_tag, load_id, zorder_cols
         )
     else:
         where = target_predicate(spec, data) if spec.mode == "overwrite" else None
         done = write(
-            spark, data, spec.path, spec.mode, partitions, spec.load_tag, where, load_id
-        )
-    if spec.zorderby_col and done.n_rows:
-        cluster_table(
-            spark,
-            spec.path,
-            [clean_column(c) for c in spec.zorderby_col],
-            partitions,
-            done.scope or scope,
-            load_id=load_id,
+            spark, data, spec.path, spec.mode, partitions, spec.load_tag, where, load_id, zorder_cols
         )
+    if zorder_cols and done.n_rows and not done.clustered:
+        cluster_table(spark, spec.path, zorder_cols, partitions, scope, load_id=load_id)
     files.remove(spark, folder)
     sweep(spark, spec.path, spec.retention_hours)
     if spec.hive_db:

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LISTING = "path string, modificationTime timestamp, length long"
+LISTING = "struct<path: string, modificationTime: timestamp, length: bigint>"
 
 
 def new_load_id() -> str:
@@ -51,7 +51,7 @@ def qualified(spark: SparkSession, path: str) -> str:
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """One row per visible file below ``path``; file contents are not read."""
     if not exists(spark, path):
-        return spark.createDataFrame([], LISTING)
+        return spark.range(0).select(F.lit(None).cast(LISTING).alias("file")).select("file.*")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

@@ -4,13 +4,13 @@ Rewrites touch only the partitions that receive rows. With one partition column
 the new content goes straight over the old one by dynamic partition overwrite:
 Spark swaps the directories after every task has finished, so the job may read
 what it replaces, and a lost executor costs a retry only. Other layouts are
-staged first.
+staged first. Clustering columns, if any, are applied in the same write.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,7 +19,14 @@ from pyspark.sql import types as T
 
 from tablesync.functions.names import col, resolve
 from tablesync.operators.layout import zorder
-from tablesync.operators.merge import check_scope, conform, evolved_schema, replace_where, upsert
+from tablesync.operators.merge import (
+    append_rows,
+    check_incoming,
+    conform,
+    evolved_schema,
+    replace_where,
+    upsert,
+)
 from tablesync.operators.predicates import PartitionScope, partition_scope
 from tablesync.sinks import files
 from tablesync.sinks.loadlog import DONE, STARTED, load_log, log_path, record
@@ -30,10 +37,10 @@ SMALL_SOURCE_BYTES = 10 * 1024 * 1024
 
 @dataclass(frozen=True)
 class Written:
-    """Outcome of one write: incoming rows, and the partitions they touched."""
+    """Outcome of one write: incoming rows, and whether what they touched is clustered."""
 
     n_rows: int
-    scope: PartitionScope | None = None
+    clustered: bool = False
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -100,18 +107,21 @@ def write(
     tag: str = "",
     where: Column | None = None,
     load_id: str | None = None,
+    zorder_cols: Sequence[str] = (),
 ) -> Written:
     """Write ``df`` in one of Spark's save modes.
 
     ``overwrite`` with a partition column replaces only rows matching ``where``
-    in the incoming partitions; without one it replaces the table.
+    in the incoming partitions, which are clustered by ``zorder_cols`` on the
+    way; without one it replaces the table. Every other write is one pass over
+    ``df`` and leaves clustering to ``cluster_table``.
     """
     mode = mode.lower()
     load_id = load_id or files.new_load_id()
     partition_cols = [resolve(df, c) for c in partition_cols]
-    if mode == "overwrite" and partition_cols:
-        return overwrite_where(spark, df, path, partition_cols, where, tag, load_id)
     present = table_exists(spark, path)
+    if mode == "overwrite" and partition_cols and present:
+        return overwrite_where(spark, df, path, partition_cols, where, tag, load_id, zorder_cols)
     if present and mode == "ignore":
         return Written(0)
     if present and mode in ("error", "errorifexists", "default"):
@@ -120,7 +130,10 @@ def write(
     present_schema = table_schema(spark, path) if present else T.StructType()
     schema = evolved_schema(present_schema, df.schema)
     df = conform(df, schema)
-    record(spark, path, load_id, tag, mode, STARTED, None, schema)
+    if mode == "overwrite" and partition_cols:
+        df = check_incoming(df, where, partition_cols[-1])
+    if schema != present_schema:
+        record(spark, path, load_id, tag, mode, STARTED, None, schema)
     counted = Observation()
     _put(df.observe(counted, F.count(F.lit(1)).alias("n")), path, mode, partition_cols)
     n_rows = counted.get["n"]
@@ -136,6 +149,7 @@ def overwrite_where(
     where: Column | None = None,
     tag: str = "",
     load_id: str | None = None,
+    zorder_cols: Sequence[str] = (),
 ) -> Written:
     """Replace target rows for which ``where`` holds and whose last partition
     column has an incoming value. Incoming rows must satisfy the same predicate.
@@ -143,24 +157,24 @@ def overwrite_where(
     """
     load_id = load_id or files.new_load_id()
     partition_cols = [resolve(df, c) for c in partition_cols]
+    if not table_exists(spark, path):
+        return write(spark, df, path, "overwrite", partition_cols, tag, where, load_id)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
     incoming = blank_partitions_to_null(df, partition_cols)
     incoming, n_rows = land(spark, incoming, f"{folder}/incoming")
-    scope = partition_scope(incoming, partition_cols[-1])
     if n_rows:
-        if table_exists(spark, path):
-            present = table_schema(spark, path)
-            schema = evolved_schema(present, incoming.schema)
-            target = scope.inside(read_table(spark, path, present))
-            content = replace_where(target, conform(incoming, schema), where, scope)
-        else:
-            schema = evolved_schema(T.StructType(), incoming.schema)
-            content = check_scope(incoming, where, scope)
-        record(spark, path, load_id, tag, "overwrite", STARTED, None, schema)
-        _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage")
+        scope = partition_scope(incoming, partition_cols[-1])
+        present = table_schema(spark, path)
+        schema = evolved_schema(present, incoming.schema)
+        target = scope.inside(read_table(spark, path, present))
+        content = replace_where(target, incoming, where, scope)
+        if schema != present:
+            record(spark, path, load_id, tag, "overwrite", STARTED, None, schema)
+        arrange = _clustering(zorder_cols, partition_cols, target, incoming)
+        _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage", scope, arrange)
         record(spark, path, load_id, tag, "overwrite", DONE, n_rows, schema)
     files.remove(spark, folder)
-    return Written(n_rows, scope)
+    return Written(n_rows, clustered=bool(zorder_cols))
 
 
 def upsert_table(
@@ -172,6 +186,7 @@ def upsert_table(
     mode: str = "errorifexists",
     tag: str = "",
     load_id: str | None = None,
+    zorder_cols: Sequence[str] = (),
 ) -> Written:
     """Update matching rows and insert the others; a missing table is written plainly.
 
@@ -187,33 +202,68 @@ def upsert_table(
     small = files.size(spark, f"{folder}/incoming") <= SMALL_SOURCE_BYTES
     schema = table_schema(spark, path)
     target = read_table(spark, path, schema)
-    scope = None
     if n_rows and partition_cols:
         scope = partition_scope(incoming, partition_cols[-1])
-        content = upsert(scope.inside(target), incoming, keys, scope, small)
+        touched = scope.inside(target)
+        content = upsert(touched, incoming, keys, scope, small)
         if scope.has_null:
             # Inserts land in the null partition, whose directory is rewritten: carry its rows.
             content = content.unionByName(target.where(col(scope.column).isNull()))
-        _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage")
+        arrange = _clustering(zorder_cols, partition_cols, touched, incoming)
+        _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage", scope, arrange)
     elif n_rows:
         content = upsert(target, incoming, keys, None, small)
-        _replace_table(spark, content, path, f"{folder}/stage")
+        arrange = (lambda df: zorder(df, zorder_cols)) if zorder_cols else None
+        _replace_table(spark, content, path, f"{folder}/stage", arrange)
     record(spark, path, load_id, tag, "merge", DONE, n_rows, schema)
     files.remove(spark, folder)
-    return Written(n_rows, scope)
+    return Written(n_rows, clustered=bool(zorder_cols))
+
+
+Arrange = Callable[[DataFrame], DataFrame]
+
+
+def _clustering(
+    zorder_cols: Sequence[str],
+    partition_cols: Sequence[str],
+    target: DataFrame,
+    incoming: DataFrame,
+) -> Arrange | None:
+    """Z-ordering of rewritten partitions, with bounds from plain scans of the
+    old and incoming rows, so that the rewrite itself runs once."""
+    if not zorder_cols:
+        return None
+    names = [resolve(incoming, c) for c in zorder_cols]
+    like = append_rows(
+        target.select([col(c) for c in target.columns if c in names]),
+        incoming.select([col(c) for c in names]),
+    )
+    return lambda df: zorder(df, names, partition_cols, like=like)
 
 
 def _replace_partitions(
-    spark: SparkSession, content: DataFrame, path: str, partition_cols: Sequence[str], stage: str
+    spark: SparkSession,
+    content: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    stage: str,
+    scope: PartitionScope,
+    arrange: Arrange | None,
 ) -> None:
     """Put ``content`` in place of every directory it touches.
 
-    Each last-level value in ``content`` receives rows, but with several
+    A single directory takes the splits its content was computed in, several
+    are rebalanced. Each last-level value in ``content`` receives rows, but with several
     partition columns rows can leave one directory for another of the same last
     value. Staging shows which directories were emptied; those go last.
     """
     if len(partition_cols) == 1:
-        _put_partitions(_rebalanced(content, partition_cols), path, partition_cols)
+        one_folder = len(scope.literals or ()) == 1 and not scope.has_null
+        if arrange:
+            content = arrange(content)
+        elif not one_folder:
+            content = _rebalanced(content, partition_cols)
+        _put_partitions(content, path, partition_cols)
         return
     _put(content, stage, "overwrite", partition_cols)
     staged = files.folders(spark, stage)
@@ -221,15 +271,18 @@ def _replace_partitions(
     emptied = before.join(staged, "last", "left_semi").join(staged, "relative", "left_anti")
     leftover = [row["folder"] for row in emptied.select("folder").collect()]
     rows = spark.read.schema(content.schema).parquet(stage).select(content.columns)
-    _put_partitions(rows, path, partition_cols)
+    _put_partitions(arrange(rows) if arrange else rows, path, partition_cols)
     for folder in leftover:
         files.remove(spark, folder)
 
 
-def _replace_table(spark: SparkSession, content: DataFrame, path: str, stage: str) -> None:
+def _replace_table(
+    spark: SparkSession, content: DataFrame, path: str, stage: str, arrange: Arrange | None
+) -> None:
     """Stage, then overwrite: a static overwrite clears its folder before it reads."""
     content.write.mode("overwrite").parquet(stage)
-    spark.read.schema(content.schema).parquet(stage).write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(content.schema).parquet(stage)
+    (arrange(rows) if arrange else rows).write.mode("overwrite").parquet(path)
 
 
 def cluster_table(
@@ -250,7 +303,6 @@ def cluster_table(
         _put_partitions(zorder(table, columns, partition_cols, files_per_write), path, partition_cols)
         return
     folder = f"{files.staging_root(spark, path)}/{load_id or files.new_load_id()}"
-    table.write.mode("overwrite").parquet(f"{folder}/stage")
-    staged = spark.read.schema(schema).parquet(f"{folder}/stage")
-    zorder(staged, columns, (), files_per_write).write.mode("overwrite").parquet(path)
+    arrange = lambda df: zorder(df, columns, (), files_per_write)
+    _replace_table(spark, table, path, f"{folder}/stage", arrange)
     files.remove(spark, folder)

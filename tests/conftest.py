@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .config("spark.checkpoint.dir", str(work / "checkpoints"))
         .getOrCreate()
