@@ -14,15 +14,17 @@ from pyspark.sql import types as T
 
 from tablesync.functions.names import col
 from tablesync.operators.predicates import (
+    COPIES,
     PartitionScope,
     checked,
     conjunction,
+    distinct_keys,
+    grouped_by_key,
     is_true,
     key_equality,
     merge_condition,
 )
 
-_COPIES = "__copies"
 _IN_SCOPE = "__in_scope"
 
 # Casts that keep every value, so an incoming column may take the target's type.
@@ -102,6 +104,14 @@ def replace_where(
     return append_rows(kept, check_incoming(incoming, where, scope.column))
 
 
+def replace_touched(
+    touched: DataFrame, incoming: DataFrame, where: Column | None, partition_col: str
+) -> DataFrame:
+    """``replace_where`` for target rows known to lie in scope: a filter and a union."""
+    kept = touched.where(~is_true(conjunction(where)))
+    return append_rows(kept, check_incoming(incoming, where, partition_col))
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -118,7 +128,7 @@ def upsert(
       collapses repeated keys before the shuffle), so the join's right side has
       one row per key and only the target side can be skewed, which AQE splits
       for a left join.
-    * Inserts: source rows anti-joined with the distinct matched keys. Skew can
+    * Inserts: source rows anti-joined with the distinct target keys. Skew can
       only sit on the source side, which AQE splits for an anti join.
 
     ``small_source`` only changes the order of the key lookup: a source below
@@ -138,12 +148,9 @@ def upsert(
             flag = F.col(f"target.{_IN_SCOPE}")
 
     has_keys = conjunction(*[col(k).isNotNull() for k in keys])
-    per_key = (
-        source.where(has_keys)
-        .groupBy(*[col(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias(_COPIES), *[F.first(col(c)).alias(c) for c in others])
-    )
-    copies = F.col(f"source.{_COPIES}")
+    representative = [F.first(col(c)).alias(c) for c in others]
+    per_key = grouped_by_key(source.where(has_keys), keys, *representative)
+    copies = F.col(f"source.{COPIES}")
 
     def merged(field: T.StructField) -> Column:
         name = f"`{field.name}`"
@@ -162,9 +169,8 @@ def upsert(
 
     target_keys = in_scope.select(*[col(k) for k in keys])
     if small_source:
-        source_keys = source.select(*[col(k) for k in keys]).distinct()
-        target_keys = target_keys.join(source_keys, keys, "left_semi")
+        target_keys = target_keys.join(distinct_keys(source, keys), keys, "left_semi")
     inserted = source.alias("source").join(
-        target_keys.distinct().alias("target"), key_equality(keys), "left_anti"
+        distinct_keys(target_keys, keys).alias("target"), key_equality(keys), "left_anti"
     )
     return updated.unionByName(inserted)

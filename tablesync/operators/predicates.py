@@ -16,7 +16,10 @@ from tablesync.functions.times import day_start
 
 # Up to this many partition values become literals, which prune directories
 # while planning; beyond it the values stay a DataFrame and are joined.
-MAX_LITERALS = 2_000
+MAX_LITERALS = 10_000
+
+COPIES = "__copies"
+_KEY_HASH = "__key_hash"
 
 
 def conjunction(*predicates: Column | None) -> Column:
@@ -51,7 +54,24 @@ def is_true(predicate: Column) -> Column:
 
 def partition_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-null values; partial aggregation collapses hot values before the shuffle."""
-    return df.select(col(column)).distinct().dropna()
+    return distinct_keys(df, [column]).dropna()
+
+
+def grouped_by_key(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """One row per key, ready to be the small-per-key side of a skewed join.
+
+    AQE splits a hot key's partition only where both join inputs are plain
+    shuffles. Grouping by the key's hash as well keeps this aggregation from
+    sharing the join's partitioning, so the join gets shuffles of its own.
+    """
+    names = [col(k) for k in keys]
+    grouped = df.groupBy(*names, F.xxhash64(*names).alias(_KEY_HASH))
+    return grouped.agg(F.count(F.lit(1)).alias(COPIES), *aggregates).drop(_KEY_HASH)
+
+
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct key rows, as the right side of a semi, anti or marking join."""
+    return grouped_by_key(df, keys).drop(COPIES)
 
 
 @dataclass(frozen=True)
@@ -99,7 +119,7 @@ def partition_scope(df: DataFrame, column: str, max_literals: int = MAX_LITERALS
     """Read the distinct partition values of ``df``: one aggregation, at most
     ``max_literals + 2`` rows on the driver."""
     name = resolve(df, column)
-    distinct = df.select(col(name)).distinct()
+    distinct = distinct_keys(df, [name])
     found = [row[0] for row in distinct.limit(max_literals + 2).collect()]
     known = [v for v in found if v is not None]
     if len(known) <= max_literals:

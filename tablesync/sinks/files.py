@@ -25,6 +25,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def has_visible_child(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds anything but hidden entries; stops at the first find."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return False
+    found = fs.listStatusIterator(p)
+    while found.hasNext():
+        if not found.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)

@@ -24,7 +24,7 @@ from tablesync.operators.merge import (
     check_incoming,
     conform,
     evolved_schema,
-    replace_where,
+    replace_touched,
     upsert,
 )
 from tablesync.operators.predicates import PartitionScope, partition_scope
@@ -44,7 +44,10 @@ class Written:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return files.exists(spark, path)
+    """Whether ``path`` holds data, or was loaded with no rows."""
+    if files.has_visible_child(spark, path):
+        return True
+    return files.exists(spark, path) and files.exists(spark, log_path(path))
 
 
 def table_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -167,7 +170,7 @@ def overwrite_where(
         present = table_schema(spark, path)
         schema = evolved_schema(present, incoming.schema)
         target = scope.inside(read_table(spark, path, present))
-        content = replace_where(target, incoming, where, scope)
+        content = replace_touched(target, incoming, where, scope.column)
         if schema != present:
             record(spark, path, load_id, tag, "overwrite", STARTED, None, schema)
         arrange = _clustering(zorder_cols, partition_cols, target, incoming)
@@ -205,7 +208,7 @@ def upsert_table(
     if n_rows and partition_cols:
         scope = partition_scope(incoming, partition_cols[-1])
         touched = scope.inside(target)
-        content = upsert(touched, incoming, keys, scope, small)
+        content = upsert(touched, incoming, keys, None, small)
         if scope.has_null:
             # Inserts land in the null partition, whose directory is rewritten: carry its rows.
             content = content.unionByName(target.where(col(scope.column).isNull()))

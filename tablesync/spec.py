@@ -125,7 +125,8 @@ class LoadSpec:
             "write_partitioned and partition_col go together",
         )
         filtered_by_partition = (
-            not (self.dtflt and self.write_partitioned) or self.dtflt in self.partition_col
+            not (self.dtflt and self.write_partitioned)
+            or clean_column(self.dtflt) in self.partition_columns
         )
         require(
             filtered_by_partition or self.use_merge or self.force_partition,

@@ -165,3 +165,30 @@ def test_upsert_plan_has_no_cross_join_and_prunes(spark):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     # The key lookup reads the key column only.
     assert "ReadSchema: struct<o_orderkey:bigint>" in text
+
+
+def test_hot_keys_are_split_by_aqe(spark):
+    """Both joins of an upsert split a hot partition instead of giving it to one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        text = F.sha2(F.col("id").cast("string"), 256).alias("v")
+        rows = spark.range(0, 20_000, 1, 8)
+        target = rows.select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("id"), text)
+        source = rows.select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"), text)
+        out = upsert(target, source, ["id"])
+        assert out.count() == 20_000 + 6_667
+        out.collect()
+        final = plan(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    final = final[: final.index("Initial Plan")]
+    assert final.count("SortMergeJoin(skew=true)") == 2

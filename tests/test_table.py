@@ -1,11 +1,13 @@
 import os
 from datetime import date
+from functools import partial
 
 import brute
 import pytest
 from pyspark.sql import functions as F
 
 from test_merge import NAMES, SCHEMA, SOURCE, TARGET, dicts
+from tablesync.operators import predicates
 from tablesync.sinks import files, table
 from tablesync.sinks.loadlog import DONE, load_log
 from tablesync.sinks.sweep import expired_files, sweep
@@ -203,9 +205,8 @@ def test_load_log(spark, path):
 
 
 def test_many_partition_values_are_joined_not_listed(spark, path, monkeypatch):
-    monkeypatch.setattr("tablesync.operators.predicates.MAX_LITERALS", 1)
-    monkeypatch.setattr(table, "partition_scope", lambda df, c: __import__(
-        "tablesync.operators.predicates", fromlist=["x"]).partition_scope(df, c, 1))
+    few = partial(predicates.partition_scope, max_literals=1)
+    monkeypatch.setattr(table, "partition_scope", few)
     table.write(spark, frame(spark, TARGET), path, partition_cols=["p"])
     table.upsert_table(spark, frame(spark, SOURCE), path, ["id"], ["p"])
     assert stored(spark, path) == brute.upsert(dicts(TARGET), dicts(SOURCE), "id", "p")
@@ -219,3 +220,13 @@ def test_partitioned_write_makes_few_files(spark, path):
     df = spark.range(0, 8000, 1, 8).withColumn("p", F.col("id") % 4)
     table.write(spark, df, path, partition_cols=["p"])
     assert len(data_files(path)) <= 8
+
+
+def test_empty_folders_and_empty_tables(spark, path):
+    os.makedirs(path)
+    assert not table.table_exists(spark, path)
+    table.write(spark, frame(spark, []), path, partition_cols=["p"])
+    assert table.table_exists(spark, path)
+    assert table.read_table(spark, path).isEmpty()
+    table.upsert_table(spark, frame(spark, SOURCE), path, ["id"], ["p"])
+    assert stored(spark, path) == brute.bag(frame(spark, SOURCE))
