@@ -138,7 +138,9 @@ def write(
     if schema != present_schema:
         record(spark, path, load_id, tag, mode, STARTED, None, schema)
     counted = Observation()
-    _put(df.observe(counted, F.count(F.lit(1)).alias("n")), path, mode, partition_cols)
+    # What the other modes allow has been settled above.
+    put_mode = "overwrite" if present and mode == "overwrite" else "append"
+    _put(df.observe(counted, F.count(F.lit(1)).alias("n")), path, put_mode, partition_cols)
     n_rows = counted.get["n"]
     record(spark, path, load_id, tag, mode, DONE, n_rows, schema)
     return Written(n_rows)
