@@ -13,6 +13,7 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,6 +74,14 @@ def blank_partitions_to_null(df: DataFrame, partition_cols: Sequence[str]) -> Da
     return df
 
 
+def _rows(counted: Observation) -> int:
+    """Rows of a finished write. AQE drops the metric along with a plan it finds empty."""
+    try:
+        return counted.get["n"]
+    except Py4JJavaError:
+        return 0
+
+
 def land(spark: SparkSession, df: DataFrame, folder: str) -> tuple[DataFrame, int]:
     """Write ``df`` once and return the written rows with their count.
 
@@ -81,7 +90,7 @@ def land(spark: SparkSession, df: DataFrame, folder: str) -> tuple[DataFrame, in
     """
     counted = Observation()
     df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder), counted.get["n"]
+    return spark.read.schema(df.schema).parquet(folder), _rows(counted)
 
 
 def _put(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str]) -> None:
@@ -141,7 +150,7 @@ def write(
     # What the other modes allow has been settled above.
     put_mode = "overwrite" if present and mode == "overwrite" else "append"
     _put(df.observe(counted, F.count(F.lit(1)).alias("n")), path, put_mode, partition_cols)
-    n_rows = counted.get["n"]
+    n_rows = _rows(counted)
     record(spark, path, load_id, tag, mode, DONE, n_rows, schema)
     return Written(n_rows)
 
