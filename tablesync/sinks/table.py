@@ -74,12 +74,12 @@ def blank_partitions_to_null(df: DataFrame, partition_cols: Sequence[str]) -> Da
     return df
 
 
-def _rows(counted: Observation) -> int:
-    """Rows of a finished write. AQE drops the metric along with a plan it finds empty."""
+def _rows(counted: Observation) -> int | None:
+    """Rows of a finished write, or None: AQE drops the metric with a plan it finds empty."""
     try:
         return counted.get["n"]
     except Py4JJavaError:
-        return 0
+        return None
 
 
 def land(spark: SparkSession, df: DataFrame, folder: str) -> tuple[DataFrame, int]:
@@ -88,16 +88,23 @@ def land(spark: SparkSession, df: DataFrame, folder: str) -> tuple[DataFrame, in
     Rewrites look at the incoming data several times: a fixed copy keeps a
     changing source consistent and survives lost executors, unlike a cache.
     """
-    counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder), _rows(counted)
+    n_rows = _put(df, folder, "overwrite", ())
+    landed = spark.read.schema(df.schema).parquet(folder)
+    return landed, landed.count() if n_rows is None else n_rows
+
 
+def _put(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str]) -> int | None:
+    """Write with one of Spark's own modes; returns the number of rows, if known.
 
-def _put(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str]) -> None:
-    """Write with one of Spark's own modes."""
+    Rows are counted in the stage that writes them, where a retried task does
+    not count twice.
+    """
+    counted = Observation()
     if partition_cols:
         df = _rebalanced(df, partition_cols)
+    df = df.observe(counted, F.count(F.lit(1)).alias("n"))
     df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
+    return _rows(counted)
 
 
 def _put_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
@@ -146,11 +153,9 @@ def write(
         df = check_incoming(df, where, partition_cols[-1])
     if schema != present_schema:
         record(spark, path, load_id, tag, mode, STARTED, None, schema)
-    counted = Observation()
     # What the other modes allow has been settled above.
     put_mode = "overwrite" if present and mode == "overwrite" else "append"
-    _put(df.observe(counted, F.count(F.lit(1)).alias("n")), path, put_mode, partition_cols)
-    n_rows = _rows(counted)
+    n_rows = _put(df, path, put_mode, partition_cols) or 0
     record(spark, path, load_id, tag, mode, DONE, n_rows, schema)
     return Written(n_rows)
 
