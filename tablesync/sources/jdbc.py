@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.functions.names import col
 from tablesync.sources.frames import filtered, redistribute
 
 # Source type (lower case, trimmed) -> Spark type read instead.
@@ -85,10 +85,14 @@ class JdbcSource:
         return df if "partitionColumn" in options else redistribute(df, self.partitions)
 
     def _with_bounds(self, spark: SparkSession, dbtable: str, split: Split) -> Split | None:
-        """Smallest and largest value of the split column, aggregated by the source."""
-        reader = spark.read.format("jdbc").options(**self.reader_options(dbtable))
-        ends = reader.load().agg(F.min(col(split.column)), F.max(col(split.column))).first()
-        return None if ends[0] is None else Split(split.column, ends[0], ends[1])
+        """Smallest and largest value of the split column, aggregated inside the source."""
+        name = split.column
+        query = f"(SELECT MIN({name}) AS low, MAX({name}) AS high FROM {dbtable}) ends"
+        ends = spark.read.format("jdbc").options(**self.reader_options(query)).load().first()
+        if ends[0] is None:
+            return None
+        low, high = (int(e) if isinstance(e, (Decimal, float)) else e for e in ends)
+        return Split(name, low, high)
 
 
 def table_name(schema: str, table: str) -> str:

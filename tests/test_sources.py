@@ -1,4 +1,5 @@
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from tablesync import LoadSpec, scan
 from tablesync.sources import frames
 from tablesync.sources.jdbc import JdbcSource, Split, query_as_table, schema_override, table_name
 
-# No database runs here: these tests cover the options a JDBC scan is given.
+# No database runs here: these tests cover what a JDBC reader is asked for.
 SOURCE = JdbcSource("jdbc:db://host", "org.db.Driver", 1000, 8, {"user": "u", "password": "p"})
 
 
@@ -58,6 +59,80 @@ def test_schema_override(spark, rows, ddl):
     assert schema_override(metadata, "position").first()["ddl"] == ddl
 
 
+class Reader:
+    """Stands in for ``spark.read``: remembers each scan's options, answers with given frames."""
+
+    def __init__(self, answers):
+        self.answers = answers
+        self.asked = []
+        self.read = self
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.asked.append(options)
+        return self
+
+    def load(self):
+        table = self.asked[-1]["dbtable"]
+        return next(frame for part, frame in self.answers.items() if part in table)
+
+
+SPEC = {"path_to_save": "/x", "tab": "orders", "jdbcUrl": "jdbc:db://host", "partitions_number": "4"}
+
+
+def orders(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+
+
+def test_window_splits_the_read(spark):
+    reader = Reader({"dbo.orders": orders(spark)})
+    spec = LoadSpec.from_params(
+        SPEC | {"dtflt": "O_ORDERDATE", "exec_date": "1996-01-02", "where": "o_custkey > 5"}
+    )
+    rows = scan(reader, spec)
+    last = reader.asked[-1]
+    assert (last["partitionColumn"], last["numPartitions"]) == ("o_orderdate", "4")
+    assert (last["lowerBound"], last["upperBound"]) == ("1996-01-02", "1996-01-03")
+    wanted = "o_orderdate >= '1996-01-02' and o_orderdate < '1996-01-03' and o_custkey > 5"
+    assert rows.count() == orders(spark).where(wanted).count()
+    assert rows.rdd.getNumPartitions() != 4
+
+
+def test_text_windows_do_not_split(spark):
+    reader = Reader({"dbo.orders": orders(spark)})
+    spec = LoadSpec.from_params(SPEC | {"dtflt": "o_orderstatus", "exec_date": "1996-01-02"})
+    scan(reader, spec)
+    assert "partitionColumn" not in reader.asked[-1]
+
+
+def test_split_column_bounds_come_from_the_source(spark):
+    ends = spark.createDataFrame([(Decimal("1.0000000000"), Decimal("99.5"))], "a decimal(20,10), b decimal(20,10)")
+    reader = Reader({"MIN(o_orderkey)": ends, "(select * from t) subq": orders(spark)})
+    spec = LoadSpec.from_params(SPEC | {"query": "select * from t", "split_column": "o_orderkey"})
+    scan(reader, spec)
+    assert "FROM (select * from t) subq" in reader.asked[-2]["dbtable"]
+    assert (reader.asked[-1]["lowerBound"], reader.asked[-1]["upperBound"]) == ("1", "99")
+
+
+def test_empty_sources_are_not_split(spark):
+    ends = spark.sql("SELECT CAST(NULL AS INT), CAST(NULL AS INT)")
+    reader = Reader({"MIN(": ends, "dbo.orders": orders(spark)})
+    scan(reader, LoadSpec.from_params(SPEC | {"split_column": "o_orderkey"}))
+    assert "partitionColumn" not in reader.asked[-1]
+
+
+def test_override_types_reads_the_source_catalog(spark):
+    listed = spark.sql("""SELECT * FROM VALUES ('dbo', 'orders', 'o_orderdate', 'Date'),
+        ('dbo', 'orders', 'o_orderkey', 'int'), ('dbo', 'other', 'x', 'date')
+        AS t(TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME, DATA_TYPE)""")
+    reader = Reader({"INFORMATION_SCHEMA.COLUMNS": listed, "dbo.orders": orders(spark)})
+    scan(reader, LoadSpec.from_params(SPEC | {"override_types": "true"}))
+    assert reader.asked[-1]["customSchema"] == "o_orderdate DATE"
+
+
 def test_frame_scans(spark):
     df = spark.range(10).toDF("a b")
     assert frames.filtered(df, None) is df
