@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.functions.names import col
+from tablesync.functions.names import col, resolve
 from tablesync.operators.predicates import (
     COPIES,
     PartitionScope,
@@ -137,7 +137,7 @@ def upsert(
     """
     schema = target.schema
     source = conform(source, schema, missing="error")
-    keys = [next(c for c in target.columns if c.lower() == k.lower()) for k in keys]
+    keys = [resolve(target, k) for k in keys]
     others = [c for c in target.columns if c not in keys]
     in_scope = target
     flag = None

@@ -32,7 +32,8 @@ def has_visible_child(spark: SparkSession, path: str) -> bool:
         return False
     found = fs.listStatusIterator(p)
     while found.hasNext():
-        if not found.next().getPath().getName().startswith(("_", ".")):
+        name = found.next().getPath().getName()
+        if "=" in name or not name.startswith(("_", ".")):
             return True
     return False
 

@@ -131,9 +131,9 @@ def write(
     """Write ``df`` in one of Spark's save modes.
 
     ``overwrite`` with a partition column replaces only rows matching ``where``
-    in the incoming partitions, which are clustered by ``zorder_cols`` on the
-    way; without one it replaces the table. Every other write is one pass over
-    ``df`` and leaves clustering to ``cluster_table``.
+    in the incoming partitions; without one it replaces the table. Both cluster
+    by ``zorder_cols`` on the way. Every other write is one pass over ``df`` and
+    leaves clustering to ``cluster_table``.
     """
     mode = mode.lower()
     load_id = load_id or files.new_load_id()
@@ -153,11 +153,19 @@ def write(
         df = check_incoming(df, where, partition_cols[-1])
     if schema != present_schema:
         record(spark, path, load_id, tag, mode, STARTED, None, schema)
-    # What the other modes allow has been settled above.
-    put_mode = "overwrite" if present and mode == "overwrite" else "append"
-    n_rows = _put(df, path, put_mode, partition_cols) or 0
+    replaces = present and mode == "overwrite"
+    if replaces:
+        # Spark clears the folder first: a source that fails must do so before that.
+        folder = f"{files.staging_root(spark, path)}/{load_id}"
+        landed, n_rows = land(spark, df, f"{folder}/incoming")
+        rows = zorder(landed, zorder_cols) if zorder_cols else landed
+        rows.write.mode("overwrite").parquet(path)
+        files.remove(spark, folder)
+    else:
+        # What the other modes allow has been settled above.
+        n_rows = _put(df, path, "append", partition_cols) or 0
     record(spark, path, load_id, tag, mode, DONE, n_rows, schema)
-    return Written(n_rows)
+    return Written(n_rows, clustered=replaces and bool(zorder_cols))
 
 
 def overwrite_where(

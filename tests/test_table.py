@@ -230,3 +230,19 @@ def test_empty_folders_and_empty_tables(spark, path):
     assert table.read_table(spark, path).isEmpty()
     table.upsert_table(spark, frame(spark, SOURCE), path, ["id"], ["p"])
     assert stored(spark, path) == brute.bag(frame(spark, SOURCE))
+
+
+def test_failing_full_overwrite_leaves_the_table(spark, path):
+    table.write(spark, frame(spark, TARGET), path)
+    broken = frame(spark, SOURCE).withColumn("w", F.raise_error("source gone").cast("int"))
+    with pytest.raises(Exception, match="source gone"):
+        table.write(spark, broken, path, "overwrite")
+    assert stored(spark, path) == brute.bag(frame(spark, TARGET))
+    done = table.write(spark, frame(spark, SOURCE), path, "overwrite", zorder_cols=["id"])
+    assert done.clustered and stored(spark, path) == brute.bag(frame(spark, SOURCE))
+
+
+def test_missing_merge_key(spark, path):
+    table.write(spark, frame(spark, TARGET), path)
+    with pytest.raises(ValueError, match="no column"):
+        table.upsert_table(spark, frame(spark, SOURCE), path, ["nope"])
