@@ -49,8 +49,7 @@ def _scratch(spark: SparkSession) -> str:
 
 def scan_window(spark, sf):
     orders = _t(spark, sf, "orders")
-    window = pred.time_window(orders, "o_orderdate", date(1996, 1, 1), date(1997, 1, 1))
-    where = pred.conjunction(window, pred.user_predicate("o_orderstatus = 'F'"))
+    where = pred.conjunction(_window_1996(orders), pred.user_predicate("o_orderstatus = 'F'"))
     return frames.filtered(orders, where)
 
 
@@ -147,16 +146,13 @@ def partition_scoped(spark, sf):
     return pred.partition_scope(labelled, "source").inside(docs)
 
 
-def _restated(orders: DataFrame) -> DataFrame:
-    return scan_rows_1996_f(orders).withColumn("o_totalprice", F.col("o_totalprice") + 1)
-
-
 def _window_1996(orders: DataFrame):
     return pred.time_window(orders, "o_orderdate", date(1996, 1, 1), date(1997, 1, 1))
 
 
-def scan_rows_1996_f(orders: DataFrame) -> DataFrame:
-    return orders.where(_window_1996(orders) & (F.col("o_orderstatus") == "F"))
+def _restated(orders: DataFrame) -> DataFrame:
+    closed = orders.where(_window_1996(orders) & (F.col("o_orderstatus") == "F"))
+    return closed.withColumn("o_totalprice", F.col("o_totalprice") + 1)
 
 
 def replace_window(spark, sf):
@@ -339,8 +335,8 @@ def orphan_files(spark, sf):
 def sweep_keeps_table(spark, sf):
     path = _with_unfinished_load(spark, sf)
     sweep(spark, path, 0)
-    left = files.listing(spark, files.staging_root(spark, path)).agg(F.count("*").alias("files_left"))
-    return table.read_table(spark, path).crossJoin(left)
+    left = files.listing(spark, files.staging_root(spark, path)).count()
+    return table.read_table(spark, path).withColumn("files_left", F.lit(left).cast("long"))
 
 
 # --- whole loads ---------------------------------------------------------------

@@ -39,9 +39,12 @@ _WIDENING = {
 
 def _fits(have: T.DataType, want: T.DataType) -> bool:
     # simpleString leaves nullability out at every level.
-    return have.simpleString() == want.simpleString() or isinstance(
-        want, _WIDENING.get(type(have), ())
-    )
+    if have.simpleString() == want.simpleString():
+        return True
+    if isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType):
+        whole_digits = want.precision - want.scale >= have.precision - have.scale
+        return whole_digits and want.scale >= have.scale
+    return isinstance(want, _WIDENING.get(type(have), ()))
 
 
 def evolved_schema(target: T.StructType, incoming: T.StructType) -> T.StructType:

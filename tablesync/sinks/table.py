@@ -9,7 +9,6 @@ staged first. Clustering columns, if any, are applied in the same write.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -30,7 +29,7 @@ from tablesync.operators.merge import (
 )
 from tablesync.operators.predicates import PartitionScope, partition_scope
 from tablesync.sinks import files
-from tablesync.sinks.loadlog import DONE, STARTED, load_log, log_path, record
+from tablesync.sinks.loadlog import DONE, STARTED, log_path, logged_layout, record
 
 # A landed source up to this size is below Spark's default broadcast threshold.
 SMALL_SOURCE_BYTES = 10 * 1024 * 1024
@@ -51,13 +50,20 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(spark, path) and files.exists(spark, log_path(path))
 
 
-def table_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Logged schema of the table, or the merged schema of its files."""
-    if files.exists(spark, log_path(path)):
-        newest = load_log(spark, path).orderBy(F.desc("logged_at")).select("table_schema").first()
-        if newest:
-            return T.StructType.fromJson(json.loads(newest[0]))
-    return spark.read.option("mergeSchema", "true").parquet(path).schema
+def table_schema(
+    spark: SparkSession, path: str, partition_cols: Sequence[str] | None = None
+) -> T.StructType:
+    """Logged schema of the table, or the merged schema of its files.
+
+    Given partition columns must be those the table was written with.
+    """
+    logged = logged_layout(spark, path)
+    if logged is None:
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
+    schema, layout = logged
+    if partition_cols is not None and [c.lower() for c in partition_cols] != [c.lower() for c in layout]:
+        raise ValueError(f"{path} is partitioned by {layout}, not by {list(partition_cols)}")
+    return schema
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -146,13 +152,13 @@ def write(
     if present and mode in ("error", "errorifexists", "default"):
         raise FileExistsError(f"{path} already exists")
     df = blank_partitions_to_null(df, partition_cols)
-    present_schema = table_schema(spark, path) if present else T.StructType()
+    present_schema = table_schema(spark, path, partition_cols) if present else T.StructType()
     schema = evolved_schema(present_schema, df.schema)
     df = conform(df, schema)
     if mode == "overwrite" and partition_cols:
         df = check_incoming(df, where, partition_cols[-1])
     if schema != present_schema:
-        record(spark, path, load_id, tag, mode, STARTED, None, schema)
+        record(spark, path, load_id, tag, mode, STARTED, None, schema, partition_cols)
     replaces = present and mode == "overwrite"
     if replaces:
         # Spark clears the folder first: a source that fails must do so before that.
@@ -164,7 +170,7 @@ def write(
     else:
         # What the other modes allow has been settled above.
         n_rows = _put(df, path, "append", partition_cols) or 0
-    record(spark, path, load_id, tag, mode, DONE, n_rows, schema)
+    record(spark, path, load_id, tag, mode, DONE, n_rows, schema, partition_cols)
     return Written(n_rows, clustered=replaces and bool(zorder_cols))
 
 
@@ -187,19 +193,19 @@ def overwrite_where(
     if not table_exists(spark, path):
         return write(spark, df, path, "overwrite", partition_cols, tag, where, load_id)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
+    present = table_schema(spark, path, partition_cols)
     incoming = blank_partitions_to_null(df, partition_cols)
     incoming, n_rows = land(spark, incoming, f"{folder}/incoming")
     if n_rows:
         scope = partition_scope(incoming, partition_cols[-1])
-        present = table_schema(spark, path)
         schema = evolved_schema(present, incoming.schema)
         target = scope.inside(read_table(spark, path, present))
         content = replace_touched(target, incoming, where, scope.column)
         if schema != present:
-            record(spark, path, load_id, tag, "overwrite", STARTED, None, schema)
+            record(spark, path, load_id, tag, "overwrite", STARTED, None, schema, partition_cols)
         arrange = _clustering(zorder_cols, partition_cols, target, incoming)
         _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage", scope, arrange)
-        record(spark, path, load_id, tag, "overwrite", DONE, n_rows, schema)
+        record(spark, path, load_id, tag, "overwrite", DONE, n_rows, schema, partition_cols)
     files.remove(spark, folder)
     return Written(n_rows, clustered=bool(zorder_cols))
 
@@ -224,10 +230,10 @@ def upsert_table(
     if not table_exists(spark, path):
         return write(spark, df, path, mode, partition_cols, tag, load_id=load_id)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
+    schema = table_schema(spark, path, partition_cols)
     incoming = blank_partitions_to_null(df, partition_cols)
     incoming, n_rows = land(spark, incoming, f"{folder}/incoming")
     small = files.size(spark, f"{folder}/incoming") <= SMALL_SOURCE_BYTES
-    schema = table_schema(spark, path)
     target = read_table(spark, path, schema)
     if n_rows and partition_cols:
         scope = partition_scope(incoming, partition_cols[-1])
@@ -242,7 +248,7 @@ def upsert_table(
         content = upsert(target, incoming, keys, None, small)
         arrange = (lambda df: zorder(df, zorder_cols)) if zorder_cols else None
         _replace_table(spark, content, path, f"{folder}/stage", arrange)
-    record(spark, path, load_id, tag, "merge", DONE, n_rows, schema)
+    record(spark, path, load_id, tag, "merge", DONE, n_rows, schema, partition_cols)
     files.remove(spark, folder)
     return Written(n_rows, clustered=bool(zorder_cols))
 
@@ -260,12 +266,13 @@ def _clustering(
     old and incoming rows, so that the rewrite itself runs once."""
     if not zorder_cols:
         return None
-    names = [resolve(incoming, c) for c in zorder_cols]
-    like = append_rows(
-        target.select([col(c) for c in target.columns if c in names]),
-        incoming.select([col(c) for c in names]),
-    )
-    return lambda df: zorder(df, names, partition_cols, like=like)
+    wanted = {c.lower() for c in zorder_cols}
+
+    def narrow(df: DataFrame) -> DataFrame:
+        return df.select([col(c) for c in df.columns if c.lower() in wanted])
+
+    like = append_rows(narrow(target), narrow(incoming))
+    return lambda df: zorder(df, zorder_cols, partition_cols, like=like)
 
 
 def _replace_partitions(
@@ -280,9 +287,9 @@ def _replace_partitions(
     """Put ``content`` in place of every directory it touches.
 
     A single directory takes the splits its content was computed in, several
-    are rebalanced. Each last-level value in ``content`` receives rows, but with several
-    partition columns rows can leave one directory for another of the same last
-    value. Staging shows which directories were emptied; those go last.
+    are rebalanced. Each last-level value in ``content`` receives rows, but with
+    several partition columns rows can leave one directory for another of the
+    same last value. Staging shows which directories were emptied; those go last.
     """
     if len(partition_cols) == 1:
         one_folder = len(scope.literals or ()) == 1 and not scope.has_null
@@ -322,7 +329,7 @@ def cluster_table(
     load_id: str | None = None,
 ) -> None:
     """Z-order the touched partitions (or the whole table) by ``columns``."""
-    schema = table_schema(spark, path)
+    schema = table_schema(spark, path, partition_cols)
     table = read_table(spark, path, schema)
     if scope is not None:
         table = scope.inside(table)

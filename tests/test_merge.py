@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,6 +150,10 @@ def test_append_rows_evolves(spark):
 def test_conform_widens_but_never_narrows(spark):
     wide = T.StructType().add("n", "long")
     assert conform(spark.sql("SELECT 1 n"), wide).schema["n"].dataType == T.LongType()
+    money = T.StructType().add("n", T.DecimalType(12, 4))
+    assert conform(spark.sql("SELECT 1.25 n"), money).first()[0] == Decimal("1.2500")
+    with pytest.raises(ValueError, match="do not fit"):
+        conform(spark.sql("SELECT 1.12345 n"), money)
     for have in ("'1'", "1.5D", "1L"):
         with pytest.raises(ValueError, match="do not fit"):
             conform(spark.sql(f"SELECT {have} n"), T.StructType().add("n", "integer"))

@@ -246,3 +246,17 @@ def test_missing_merge_key(spark, path):
     table.write(spark, frame(spark, TARGET), path)
     with pytest.raises(ValueError, match="no column"):
         table.upsert_table(spark, frame(spark, SOURCE), path, ["nope"])
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite", "merge"])
+def test_layout_must_stay_the_same(spark, path, mode):
+    df = frame(spark, [(1, "a", "x", 1)])
+    table.write(spark, df, path, partition_cols=["p"])
+    with pytest.raises(ValueError, match="partitioned by"):
+        if mode == "merge":
+            table.upsert_table(spark, df, path, ["id"])
+        else:
+            table.write(spark, df, path, mode, ["v"])
+    with pytest.raises(ValueError, match="partitioned by"):
+        table.cluster_table(spark, path, ["id"])
+    assert stored(spark, path) == brute.bag(df)
