@@ -131,6 +131,13 @@ def ingested_at(spark, sf):
     return norm.add_ingested_at(_t(spark, sf, "part"), F.lit(INGESTED).cast("timestamp_ntz"))
 
 
+def nested_passthrough(spark, sf):
+    """Arrays pass the normalisation untouched."""
+    vectors = norm.normalize(_t(spark, sf, "embeddings"), KIEV, stamp=False)
+    first = F.get("embedding", F.lit(0)).cast("double")
+    return vectors.select("vec_id", "label", F.size("embedding").alias("dims"), first.alias("head"))
+
+
 # --- predicates, overwrite and merge as formulas --------------------------------
 
 
@@ -399,6 +406,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "generated_overwrite": generated_overwrite,
         "partition_date": partition_date,
         "ingested_at": ingested_at,
+        "nested_passthrough": nested_passthrough,
         "partition_values": partition_values,
         "partition_scoped": partition_scoped,
         "replace_window": replace_window,
@@ -498,6 +506,9 @@ def oracle_sql() -> dict[str, str]:
                               AS o_orderpriority) FROM orders""",
         "partition_date": "SELECT * REPLACE (CAST(ts AS DATE) AS ts) FROM events",
         "ingested_at": f"SELECT TIMESTAMP '{INGESTED}' AS _platform_ingested_at, * FROM part",
+        "nested_passthrough": """
+            SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims,
+                   CAST(embedding[1] AS DOUBLE) AS head FROM embeddings""",
         "partition_values": "SELECT DISTINCT lang FROM documents WHERE lang <> 'en'",
         "partition_scoped": """
             SELECT * EXCLUDE (text) FROM documents WHERE source IN (

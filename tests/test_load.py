@@ -123,3 +123,16 @@ def test_session_zone_is_left_alone(spark, folder):
     before = spark.conf.get("spark.sql.session.timeZone")
     load(spark, folder, DAYS, timezone="America/New_York")
     assert spark.conf.get("spark.sql.session.timeZone") == before
+
+
+def test_nested_columns_survive_a_load(spark, folder):
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    spec = LoadSpec(
+        path_to_save=folder, tab="V", use_merge=True, merge_keys="vec_id",
+        disable_platform_ingested_at=True, zorderby_col="label",
+    )
+    run(spark, spec, vectors)
+    done = run(spark, spec, vectors)
+    stored = table.read_table(spark, done.path)
+    assert stored.schema.simpleString() == vectors.schema.simpleString()
+    assert stored.exceptAll(vectors).isEmpty() and stored.count() == vectors.count()

@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import brute
-from tablesync.operators.merge import append_rows, conform, evolved_schema, replace_where, upsert
+from tablesync.operators.merge import (
+    append_rows,
+    conform,
+    evolved_schema,
+    replace_touched,
+    replace_where,
+    upsert,
+)
 from tablesync.operators.predicates import partition_scope
 
 SCHEMA = "id int, p string, v string, w int"
@@ -197,3 +204,25 @@ def test_hot_keys_are_split_by_aqe(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     final = final[: final.index("Initial Plan")]
     assert final.count("SortMergeJoin(skew=true)") == 2
+
+
+def stored_by_partition(spark, folder, rows=1000):
+    df = spark.range(rows).select("id", (F.col("id") % 5).cast("string").alias("p"), F.lit(1).alias("v"))
+    df.write.partitionBy("p").parquet(f"{folder}/t")
+    return spark.read.schema(df.schema).parquet(f"{folder}/t")
+
+
+def test_overwriting_one_partition_needs_no_shuffle(spark, folder):
+    target = stored_by_partition(spark, folder)
+    incoming = spark.read.parquet(f"{folder}/t/p=1").withColumn("p", F.lit("1"))
+    scope = partition_scope(incoming, "p")
+    text = plan(replace_touched(scope.inside(target), incoming, F.expr("v = 1"), "p"))
+    assert "Exchange" not in text and "PartitionFilters: [isnotnull(p" in text
+
+
+def test_small_upsert_does_not_shuffle_the_target(spark, folder):
+    target = stored_by_partition(spark, folder)
+    source = target.where("p = '1'")
+    text = plan(upsert(target, source, ["id"], small_source=True))
+    assert text.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in text
+    assert "Exchange SinglePartition" not in text
