@@ -19,6 +19,8 @@ from tablesync.functions.times import local_date, wall_to_utc
 
 INGESTED_AT = "_platform_ingested_at"
 
+_NUMBER = r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$"
+
 
 @dataclass(frozen=True)
 class GeneratedColumn:
@@ -31,10 +33,16 @@ def add_generated_column(df: DataFrame, generated: GeneratedColumn) -> DataFrame
     """Add (or overwrite in place) a column from a Spark SQL expression.
 
     The expression sees the source names. A value that does not fit the type
-    becomes null.
+    becomes null; text with a fraction loses it when cast to a whole number.
     """
-    value = F.expr(generated.expression).try_cast(generated.type_name)
-    return df.withColumn(generated.name, value)
+    value = F.expr(generated.expression)
+    typed = value.try_cast(generated.type_name)
+    have, want = (f.dataType for f in df.select(value.alias("have"), typed.alias("want")).schema)
+    if isinstance(have, T.StringType) and isinstance(want, T.IntegralType):
+        # A failing cast of text to a whole number costs an exception per row.
+        whole = F.regexp_extract(value, _NUMBER, 1).try_cast(want)
+        typed = F.when(value.rlike(_NUMBER), whole)
+    return df.withColumn(generated.name, typed)
 
 
 def rename_columns(df: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ def staging_root(spark: SparkSession, path: str) -> str:
     It lies in the shared folder the session names in ``spark.checkpoint.dir``,
     or else beside the table, on the table's own storage.
     """
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         return f"{path.rstrip('/')}__staging"
     name = path.rstrip("/").rsplit("/", 1)[-1]

@@ -1,6 +1,7 @@
 import os
 from datetime import date
 from functools import partial
+from types import SimpleNamespace
 
 import brute
 import pytest
@@ -260,3 +261,29 @@ def test_layout_must_stay_the_same(spark, path, mode):
     with pytest.raises(ValueError, match="partitioned by"):
         table.cluster_table(spark, path, ["id"])
     assert stored(spark, path) == brute.bag(df)
+
+
+def test_staging_root():
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: settings.get("dir", default)))
+
+    shared = files.staging_root(session(dir="hdfs://shared/"), "s3a://lake/t/")
+    assert shared.startswith("hdfs://shared/tablesync/t-")
+    assert shared != files.staging_root(session(dir="hdfs://shared/"), "s3a://other/t")
+    assert files.staging_root(session(), "s3a://lake/t/") == "s3a://lake/t__staging"
+
+
+def test_hot_partition_is_split_over_files(spark, path):
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "20KB")
+    try:
+        df = spark.range(0, 30_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 10).alias("p"),
+            F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        )
+        assert table.write(spark, df, path, partition_cols=["p"]).n_rows == 30_000
+    finally:
+        spark.conf.set(setting, before)
+    assert len([f for f in data_files(path) if "/p=0/" in f]) > 1
+    assert stored(spark, path) == brute.bag(df)
