@@ -27,6 +27,11 @@ from tablesync.sources import frames
 from tablesync.sources.jdbc import schema_override
 from tablesync.spec import LoadSpec
 
+try:
+    from tablesync.llm import queries as llm
+except ImportError:  # the subpackage is optional
+    llm = None
+
 KIEV = "Europe/Kiev"
 INGESTED = "2024-02-01 00:00:00"
 
@@ -431,7 +436,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orphan_files": orphan_files,
         "sweep_keeps_table": sweep_keeps_table,
         "full_load": full_load,
-    }
+    } | (llm.queries() if llm else {})
 
 
 _UTC = "({} AT TIME ZONE 'Europe/Kiev') AT TIME ZONE 'UTC'"
@@ -559,4 +564,4 @@ def oracle_sql() -> dict[str, str]:
                    o_orderpriority AS order__priority,
                    CAST(year(o_orderdate) AS INTEGER) AS order_year
             FROM orders""",
-    }
+    } | (llm.oracle_sql() if llm else {})
