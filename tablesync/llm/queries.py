@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from tablesync.llm import license_scan
 from tablesync.llm.decontaminate import find_benchmark
 from tablesync.llm.frames import table
+from tablesync.llm.jaccard_join import jaccard_components
 from tablesync.llm.license_scan import scan_licenses
 from tablesync.llm.line_dedup import dedup_lines
 from tablesync.llm.mix import mix, source_rates
 from tablesync.llm.substring_dedup import remove_repeats
+from tablesync.llm.token_count import count_tokens
+from tablesync.llm.toxicity import fit_network, held_out, score_toxicity
 
 
 def op1_license_scan(spark, sf):
@@ -21,6 +24,28 @@ def op1_license_scan(spark, sf):
     )
 
 
+def op2_jaccard_join(spark, sf):
+    found = jaccard_components(table(spark, sf, "documents"), ngram=3, threshold=(90, 100))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n_grams").alias("n_shingles"), F.col("component").alias("component_id")
+    )
+
+
+def op3_token_count(spark, sf):
+    return count_tokens(table(spark, sf, "documents")).select(
+        "row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit")
+    )
+
+
+def op4_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    network = fit_network(docs, table(spark, sf, "labels"))
+    return score_toxicity(docs, network).select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_substring_dedup(spark, sf):
     return remove_repeats(table(spark, sf, "documents")).select(
         F.col("id").alias("doc_id"), "n_words", "n_removed",
@@ -52,6 +77,9 @@ def op10_decontaminate(spark, sf):
 def queries() -> dict:
     return {
         "op1_license_scan": op1_license_scan,
+        "op2_jaccard_join": op2_jaccard_join,
+        "op3_token_count": op3_token_count,
+        "op4_toxicity": op4_toxicity,
         "op5_substring_dedup": op5_substring_dedup,
         "op7_line_dedup": op7_line_dedup,
         "op9_source_mix": op9_source_mix,
@@ -135,7 +163,7 @@ _MIX = r"""
         SELECT d.*, len(list_filter(sums, lambda s: s <=
             CAST('0x' || md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':1')[1:13] AS BIGINT) / pow(16, 13))) AS n
         FROM documents d JOIN sums s ON d.source IS NOT DISTINCT FROM s.source)
-    SELECT * EXCLUDE (n), CAST(copy AS INTEGER) AS copy,
+    SELECT * EXCLUDE (n, copy), CAST(copy AS INTEGER) AS copy,
            md5('order17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || copy) AS mix_key
     FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM copies)"""
 
