@@ -14,6 +14,7 @@ from tablesync.llm.mix import mix, source_rates
 from tablesync.llm.substring_dedup import remove_repeats
 from tablesync.llm.token_count import count_tokens
 from tablesync.llm.toxicity import fit_network, held_out, score_toxicity
+from tablesync.llm.vector_dedup import near_vectors
 
 
 def op1_license_scan(spark, sf):
@@ -53,6 +54,12 @@ def op5_substring_dedup(spark, sf):
     )
 
 
+def op6_vector_dedup(spark, sf):
+    return near_vectors(table(spark, sf, "embeddings")).select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept", "audited_recall"
+    )
+
+
 def op7_line_dedup(spark, sf):
     return dedup_lines(table(spark, sf, "documents")).select(
         "row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
@@ -81,6 +88,7 @@ def queries() -> dict:
         "op3_token_count": op3_token_count,
         "op4_toxicity": op4_toxicity,
         "op5_substring_dedup": op5_substring_dedup,
+        "op6_vector_dedup": op6_vector_dedup,
         "op7_line_dedup": op7_line_dedup,
         "op9_source_mix": op9_source_mix,
         "op10_decontaminate": op10_decontaminate,
