@@ -12,6 +12,7 @@ from tablesync.llm.license_scan import scan_licenses
 from tablesync.llm.line_dedup import dedup_lines
 from tablesync.llm.mix import mix, source_rates
 from tablesync.llm.substring_dedup import remove_repeats
+from tablesync.llm.surrogates import replace_entities
 from tablesync.llm.token_count import count_tokens
 from tablesync.llm.toxicity import fit_network, held_out, score_toxicity
 from tablesync.llm.vector_dedup import near_vectors
@@ -66,6 +67,12 @@ def op7_line_dedup(spark, sf):
     )
 
 
+def op8_surrogates(spark, sf):
+    return replace_entities(table(spark, sf, "documents")).select(
+        "row.doc_id", F.col("safe_text").alias("text"), "n_entities", "kinds"
+    )
+
+
 def op9_source_mix(spark, sf):
     docs = table(spark, sf, "documents")
     return mix(docs, source_rates(docs)).select("row.*", "copy", "mix_key")
@@ -90,6 +97,7 @@ def queries() -> dict:
         "op5_substring_dedup": op5_substring_dedup,
         "op6_vector_dedup": op6_vector_dedup,
         "op7_line_dedup": op7_line_dedup,
+        "op8_surrogates": op8_surrogates,
         "op9_source_mix": op9_source_mix,
         "op10_decontaminate": op10_decontaminate,
     }
