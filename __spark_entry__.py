@@ -28,8 +28,9 @@ from tablesync.sources.jdbc import schema_override
 from tablesync.spec import LoadSpec
 
 try:
+    import corpus_pipeline
     from tablesync.llm import queries as llm
-except ImportError:  # the subpackage is optional
+except ImportError:  # both are optional
     llm = None
 
 KIEV = "Europe/Kiev"
@@ -436,7 +437,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orphan_files": orphan_files,
         "sweep_keeps_table": sweep_keeps_table,
         "full_load": full_load,
-    } | (llm.queries() if llm else {})
+    } | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 _UTC = "({} AT TIME ZONE 'Europe/Kiev') AT TIME ZONE 'UTC'"
