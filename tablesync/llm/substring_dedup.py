@@ -105,7 +105,7 @@ def _first_of_each(ids, pos, hashes) -> tuple[np.ndarray, np.ndarray]:
     return ~(later | extra), later
 
 
-def _emit_windows(window: int, buckets: int):
+def _emit_windows(window: int, buckets: int, doc_buckets: int):
     def blocks(ids, pos, hashes) -> Iterator[pa.RecordBatch]:
         ids, pos, hashes = map(np.concatenate, (ids, pos, hashes))
         order = np.lexsort((pos, ids))
@@ -117,7 +117,7 @@ def _emit_windows(window: int, buckets: int):
         for b in np.flatnonzero(np.diff(ends)):
             own = place[ends[b] : ends[b + 1]]
             yield _routed([(int(b), 0, 0, _pack(ids[own], pos[own], hashes[own]))])
-        yield from _by_document(ids[later], pos[later], buckets, kind=1, salt=int(ids[0]))
+        yield from _by_document(ids[later], pos[later], doc_buckets, kind=1, over=buckets)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, pos, hashes, n = [], [], [], 0
@@ -143,10 +143,10 @@ def _document_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
     return W.mixed(ids.astype(np.uint64)) % np.uint64(buckets)
 
 
-def _by_document(ids, pos, buckets: int, kind: int, salt: int = 0) -> Iterator[pa.RecordBatch]:
+def _by_document(ids, pos, buckets: int, kind: int, over: int = 0) -> Iterator[pa.RecordBatch]:
     """Windows to remove, in blocks for each bucket of documents.
 
-    ``kind`` 1: on its way through the exchange of the hashes, where it is spread evenly.
+    ``kind`` 1: on its way through the exchange of the hashes, spread ``over`` its buckets.
     """
     if not len(ids):
         return
@@ -156,29 +156,38 @@ def _by_document(ids, pos, buckets: int, kind: int, salt: int = 0) -> Iterator[p
     ends = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     for b in np.flatnonzero(np.diff(ends)):
         own = slice(ends[b], ends[b + 1])
-        to = (int(b) + salt) % buckets if kind else int(b)
+        to = (int(b) + int(ids[own][0])) % over if kind else int(b)
         yield _routed([(to, kind, int(b), _pack(ids[own], pos[own]))])
 
 
-def _find_repeats(buckets: int):
-    def closed(blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
-        if blocks:
-            ids, pos, hashes = map(np.concatenate, zip(*map(_unpack, blocks)))
-            _, later = _first_of_each(ids, pos, hashes)
-            yield from _by_document(ids[later], pos[later], buckets, kind=0)
+def _find_repeats(doc_buckets: int):
+    def closed(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids, pos, hashes = map(np.concatenate, zip(*map(_unpack, blocks)))
+        _, later = _first_of_each(ids, pos, hashes)
+        return ids[later], pos[later]
+
+    def sent(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if found:
+            yield from _by_document(*map(np.concatenate, zip(*found)), doc_buckets, kind=0)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, blocks = None, []
+        at, blocks, found = None, [], []
         for batch in batches:
             for bucket, kind, to, block in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != at:
-                    yield from closed(blocks)
+                    if blocks:
+                        found.append(closed(blocks))
                     at, blocks = bucket, []
+                    if sum(len(ids) for ids, _ in found) >= BLOCK:
+                        yield from sent(found)
+                        found = []
                 if kind:
                     yield _routed([(to, 0, 0, block)])
                 else:
                     blocks.append(block)
-        yield from closed(blocks)
+        if blocks:
+            found.append(closed(blocks))
+        yield from sent(found)
 
     return find
 
@@ -265,12 +274,13 @@ def remove_repeats(
     known = base.where("id is not null")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(min(MAX_BUCKETS, max(4 * parts, -(-total // (5 * BUCKET)))))
+    buckets = int(min(MAX_BUCKETS, max(3 * parts, -(-total // (5 * BUCKET)))))
+    doc_buckets = 2 * parts
 
-    windows = map_batches(known, _emit_windows(window, buckets), _ROUTED)
+    windows = map_batches(known, _emit_windows(window, buckets, doc_buckets), _ROUTED)
     dealt = windows.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    repeats = map_batches(dealt, _find_repeats(buckets), _ROUTED)
-    texts = map_batches(base, _documents(buckets), _ROUTED)
+    repeats = map_batches(dealt, _find_repeats(doc_buckets), _ROUTED)
+    texts = map_batches(base, _documents(doc_buckets), _ROUTED)
     met = repeats.unionByName(texts).repartition(parts, "bucket")
     result = "id long, n_words long, n_removed long, kept_text string, removed array<struct<first:long,end:long>>"
     return map_batches(met.sortWithinPartitions("bucket", "kind"), _keep_words(window), result)
