@@ -23,7 +23,7 @@ from tablesync.llm.frames import bytes_of, map_batches, packed, text_of
 
 WINDOW = 20
 #: Windows that a task gathers before it writes its blocks, and that a bucket should hold.
-BLOCK, BUCKET = 3_000_000, 3_000_000
+BLOCK, BUCKET = 2_000_000, 3_000_000
 MAX_BUCKETS = 1 << 16
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-_KEPT = 1_000_000
+_KEPT = 400_000
 
 
 class WordHashes(dict):

@@ -1,0 +1,102 @@
+"""Plain Python versions of the operators, for small inputs."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import defaultdict
+
+SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower_ascii(text: str) -> str:
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def grams(text: str | None, n: int) -> frozenset:
+    words = SPACE_WORD.findall(lower_ascii(text or ""))
+    if not words:
+        return frozenset()
+    n = min(n, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+
+
+def connected(ids, linked) -> dict:
+    """Smallest reachable id, by trying all pairs."""
+    smallest = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a in ids:
+            for b in ids:
+                if smallest[b] < smallest[a] and a != b and linked(a, b):
+                    smallest[a], changed = smallest[b], True
+    return smallest
+
+
+def jaccard_components(rows: dict, n: int, p: int, q: int) -> dict:
+    sets = {i: grams(t, n) for i, t in rows.items()}
+
+    def linked(a, b):
+        x, y = sets[a], sets[b]
+        return bool(x) and bool(y) and q * len(x & y) >= p * len(x | y)
+
+    parts = connected(list(rows), linked)
+    return {i: (len(sets[i]), parts[i]) for i in rows}
+
+
+def kept_words(rows: list[tuple], window: int) -> list[tuple]:
+    """(id, number of words, number removed, kept text); windows are judged on the input."""
+    starts = defaultdict(list)
+    words = [(i, SPACE_WORD.findall(t or "")) for i, t in rows]
+    for i, own in words:
+        for k in range(len(own) - window + 1):
+            if i is not None:
+                starts[tuple(own[k : k + window])].append((i, k))
+    first = {w: min(s) for w, s in starts.items()}
+    out = []
+    for i, own in words:
+        gone = set()
+        for k in range(len(own) - window + 1):
+            if i is not None and first[tuple(own[k : k + window])] < (i, k):
+                gone.update(range(k, k + window))
+        kept = [w for k, w in enumerate(own) if k not in gone]
+        out.append((i, len(own), len(gone), " ".join(kept)))
+    return out
+
+
+def kept_lines(rows: list[tuple], min_docs: int, min_chars: int) -> list[tuple]:
+    def key(line: str) -> str:
+        return lower_ascii(line.strip(" \t\n\r\x0b\x0c"))
+
+    holders = defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if i is not None and len(key(line)) >= min_chars:
+                holders[key(line)].add(i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if i is None or len(holders[key(x)]) < min_docs or min(holders[key(x)]) == i]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def benchmark_hits(text: str | None, items: dict, window: int) -> tuple:
+    """(number of words, number hit, items)"""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    own, hit, names = word.findall(lower_ascii(text or "")), set(), set()
+    for item, item_text in items.items():
+        theirs = word.findall(lower_ascii(item_text or ""))
+        size = min(window, len(theirs))
+        for k in range(len(theirs) - size + 1) if size else ():
+            run = theirs[k : k + size]
+            for j in range(len(own) - size + 1):
+                if own[j : j + size] == run:
+                    hit.update(range(j, j + size))
+                    names.add(str(item))
+    return len(own), len(hit), sorted(names)
