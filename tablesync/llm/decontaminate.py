@@ -92,7 +92,7 @@ def _scanner(patterns: _Patterns):
             before = zip(batch.column("hits").to_pylist(), batch.column("items").to_pylist())
             for text, (hits, items) in zip(bytes_of(batch, "text"), before):
                 own = words(text)
-                ranges, found = _scan(automaton, own) if own else ([], set())
+                ranges, found = _scan(automaton, own) if own and len(automaton) else ([], set())
                 counts.append(len(own))
                 all_hits.append(_merged([(h["first"], h["last"]) for h in hits] + ranges))
                 all_items.append(sorted(found.union(items)))
