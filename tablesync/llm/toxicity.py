@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.llm.decontaminate import words as words_of
-from tablesync.llm.frames import bytes_of, map_batches, packed, text_of
+from tablesync.llm.frames import bytes_of, map_batches, packed, text_of, written
 
 WINDOW, STEP = 64, 32
 _GRAMS, _CHAR_BUCKETS = 10, 4096
@@ -352,17 +353,20 @@ def fit_network(
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where("text is not null")
     counts = {r["label"]: r["n"] for r in marks.groupBy(F.col("label") > 0).agg(F.count("*").alias("n")).toDF("label", "n").collect()}
     prior = counts.get(True, 0) / max(1, sum(counts.values()))
+    sample = reduce(DataFrame.union, (
+        marks.where((F.col("label") > 0) == label).orderBy(F.xxhash64("id"), "id").limit(settings.docs_per_class)
+        for label in (True, False)
+    ))
+    sample = written(sample.select("id", (F.col("label") > 0).cast("int").alias("label")))
+    chosen = texts.join(F.broadcast(sample), "id").select("label", "text")  # of bounded size
+    cut = map_batches(chosen, _training_windows(settings.windows_per_doc), "label int, windows array<binary>")
     windows, target = [], []
-    for label in (True, False):
-        first = marks.where((F.col("label") > 0) == label).join(texts, "id")
-        first = first.orderBy(F.xxhash64("id"), "id").limit(settings.docs_per_class)
-        first = first.select(F.lit(int(label)).alias("label"), "text")
-        cut = map_batches(first, _training_windows(settings.windows_per_doc), "label int, windows array<binary>")
-        for row in cut.collect():
-            if row["windows"]:
-                windows.append([bytes(w).split() for w in row["windows"]])
-                target.append(row["label"])
-    order = sorted(range(len(target)), key=lambda k: xxhash.xxh32_intdigest(b" ".join(windows[k][0])))
+    for row in cut.collect():
+        if row["windows"]:
+            windows.append([bytes(w).split() for w in row["windows"]])
+            target.append(row["label"])
+    # An order that doesn't depend on how the rows arrived.
+    order = sorted(range(len(target)), key=lambda k: (xxhash.xxh64_intdigest(b" ".join(windows[k][0])), windows[k], target[k]))
     return train([windows[k] for k in order], [target[k] for k in order], prior, settings)
 
 
