@@ -28,7 +28,16 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{interim_root(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.interim_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Remove an interim table that nothing will read again."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.interim_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def packed(docs: DataFrame, **columns: str) -> DataFrame:
