@@ -58,7 +58,17 @@ def map_batches(
     environment = df.sparkSession.sparkContext.environment
     if _ROOT not in environment.get("PYTHONPATH", "").split(":"):
         environment["PYTHONPATH"] = ":".join(filter(None, [environment.get("PYTHONPATH"), _ROOT]))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_released(function), schema)
+
+
+def _released(function):
+    """Workers are used again: they give back what a task no longer needs."""
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
 
 
 def bytes_of(batch: pa.RecordBatch, name: str) -> list[bytes]:

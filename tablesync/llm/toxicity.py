@@ -25,7 +25,7 @@ from tablesync.llm.frames import bytes_of, map_batches, packed, text_of, written
 
 WINDOW, STEP = 64, 32
 _GRAMS, _CHAR_BUCKETS = 10, 4096
-_BLOCK = 2048
+_BLOCK = 1024
 
 
 @dataclass(frozen=True)
@@ -373,7 +373,7 @@ def fit_network(
 class _Scorer:
     """Scores batches of texts; what a word adds to the gates is kept per word, up to a bound."""
 
-    kept = 200_000
+    kept = 80_000
 
     def __init__(self, network: Network):
         self.network = network
@@ -393,10 +393,10 @@ class _Scorer:
     def scores(self, texts: list[bytes]) -> list[float]:
         out: list[float] = []
         some, size = [], 0
-        for text in texts:  # about 4 MB of text at once
+        for text in texts:  # about 1 MB of text at once
             some.append(text)
             size += len(text)
-            if size > 4 << 20:
+            if size > 1 << 20:
                 out += self._scores(some)
                 some, size = [], 0
         return out + self._scores(some)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-_KEPT = 400_000
+_KEPT = 150_000
 
 
 class WordHashes(dict):
