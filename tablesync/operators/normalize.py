@@ -19,7 +19,7 @@ from tablesync.functions.times import local_date, wall_to_utc
 
 INGESTED_AT = "_platform_ingested_at"
 
-_NUMBER = r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$"
+_NUMBER = r"^\s*([+-]?[0-9]*)(?:(?<=[0-9])\.?[0-9]*|\.[0-9]+)\s*$"
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,8 @@ def add_generated_column(df: DataFrame, generated: GeneratedColumn) -> DataFrame
     have, want = (f.dataType for f in df.select(value.alias("have"), typed.alias("want")).schema)
     if isinstance(have, T.StringType) and isinstance(want, T.IntegralType):
         # A failing cast of text to a whole number costs an exception per row.
-        whole = F.regexp_extract(value, _NUMBER, 1).try_cast(want)
+        whole = F.regexp_extract(value, _NUMBER, 1)
+        whole = F.when(whole.isin("", "+", "-"), "0").otherwise(whole).try_cast(want)  # as in '.5'
         typed = F.when(value.rlike(_NUMBER), whole)
     return df.withColumn(generated.name, typed)
 

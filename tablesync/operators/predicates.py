@@ -95,6 +95,8 @@ class PartitionScope:
         if not self.literals:
             return F.lit(False)
         values = self.literals
+        if isinstance(self.values.schema[self.column].dataType, T.TimestampType):
+            values = [F.timestamp_micros(F.lit(v)) for v in values]
         if isinstance(self.values.schema[self.column].dataType, T.TimestampNTZType):
             # A Python datetime would become a zoned literal.
             values = [F.lit(v.isoformat(" ")).cast("timestamp_ntz") for v in values]
@@ -120,7 +122,10 @@ def partition_scope(df: DataFrame, column: str, max_literals: int = MAX_LITERALS
     ``max_literals + 2`` rows on the driver."""
     name = resolve(df, column)
     distinct = distinct_keys(df, [name])
-    found = [row[0] for row in distinct.limit(max_literals + 2).collect()]
+    # Instants travel as numbers: a wall clock on the driver can't tell the two sides of an overlap.
+    zoned = isinstance(df.schema[name].dataType, T.TimestampType)
+    shown = distinct.select(F.unix_micros(col(name)) if zoned else col(name))
+    found = [row[0] for row in shown.limit(max_literals + 2).collect()]
     known = [v for v in found if v is not None]
     if len(known) <= max_literals:
         return PartitionScope(name, distinct.dropna(), tuple(known), len(known) < len(found))

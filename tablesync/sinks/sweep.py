@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.sinks import files
+from tablesync.sinks.loadlog import pending_replacement
 
 RETENTION_HOURS = 168
 _WRITER_LEFTOVERS = (".spark-staging-*", "_temporary")
@@ -51,6 +52,9 @@ def sweep(
     if files.exists(spark, files.staging_root(spark, path)):
         loads = expired_files(spark, path, retention_hours).select("load").distinct()
         removed = [row["load"] for row in loads.collect()]
+    pending = pending_replacement(spark, path)
+    if pending is not None:  # the only copy of rows that are to go into the table
+        removed = [r for r in removed if r.rstrip("/").rsplit("/", 1)[-1] != pending["load_id"]]
     cutoff_ms = _cutoff(retention_hours).timestamp() * 1000
     for pattern in _WRITER_LEFTOVERS:
         found = files.matching(spark, f"{path}/{pattern}")

@@ -1,14 +1,15 @@
 """Parquet tables: write modes, conditional overwrite, upsert and clustering.
 
-Rewrites touch only the partitions that receive rows. With one partition column
-the new content goes straight over the old one by dynamic partition overwrite:
-Spark swaps the directories after every task has finished, so the job may read
-what it replaces, and a lost executor costs a retry only. Other layouts are
-staged first. Clustering columns, if any, are applied in the same write.
+Rewrites touch only the partitions that receive rows. Their final, clustered
+content is staged first; then the replacement is logged with the folder of the
+stage, and the stage is copied over the old content. A replacement that fails or
+loses its driver half-way is repeated from its stage by whatever looks at the
+table next, so neither old nor new rows can be lost.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -29,7 +30,16 @@ from tablesync.operators.merge import (
 )
 from tablesync.operators.predicates import PartitionScope, partition_scope
 from tablesync.sinks import files
-from tablesync.sinks.loadlog import DONE, STARTED, log_path, logged_layout, record
+from tablesync.sinks.loadlog import (
+    DONE,
+    REPLACED,
+    REPLACING,
+    STARTED,
+    has_landed,
+    logged_layout,
+    pending_replacement,
+    record,
+)
 
 # A landed source up to this size is below Spark's default broadcast threshold.
 SMALL_SOURCE_BYTES = 10 * 1024 * 1024
@@ -44,10 +54,10 @@ class Written:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds data, or was loaded with no rows."""
+    """Whether ``path`` holds data, or was loaded with no rows. A failed first load leaves no table."""
     if files.has_visible_child(spark, path):
         return True
-    return files.exists(spark, path) and files.exists(spark, log_path(path))
+    return files.exists(spark, path) and has_landed(spark, path)
 
 
 def table_schema(
@@ -68,6 +78,7 @@ def table_schema(
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The table with its columns in order and partition values in their declared types."""
+    recover(spark, path)
     schema = schema or table_schema(spark, path)
     return spark.read.schema(schema).parquet(path).select([col(f.name) for f in schema])
 
@@ -113,6 +124,47 @@ def _put(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str]) ->
     return _rows(counted)
 
 
+def _swap(spark: SparkSession, path: str, stage: str, schema: T.StructType, partition_cols: Sequence[str], emptied: Sequence[str] = ()) -> None:
+    """Copy a stage over the table. May be repeated: it depends on nothing but the stage."""
+    if not files.exists(spark, stage):
+        raise FileNotFoundError(f"the staged content {stage} of {path} is gone")
+    rows = spark.read.schema(schema).parquet(stage).select([col(f.name) for f in schema])
+    if partition_cols:
+        _put_partitions(rows, path, partition_cols)
+    else:
+        rows.write.mode("overwrite").parquet(path)
+    for folder in emptied:
+        files.remove(spark, folder)
+
+
+def _replace(
+    spark: SparkSession, content: DataFrame, path: str, partition_cols: Sequence[str], stage: str,
+    emptied: Callable[[], Sequence[str]] = tuple,
+) -> None:
+    """Stage ``content``, log the replacement, carry it out and log its end."""
+    load_id = stage.rstrip("/").rsplit("/", 2)[-2]
+    content.write.mode("overwrite").partitionBy(*partition_cols).parquet(stage)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in content.schema])
+    gone = list(emptied())
+    record(spark, path, load_id, "", "replace", REPLACING, None, schema, partition_cols, stage, gone)
+    _swap(spark, path, stage, schema, partition_cols, gone)
+    record(spark, path, load_id, "", "replace", REPLACED, None, schema, partition_cols, stage, gone)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Carry out a replacement that was cut off; returns whether there was one."""
+    pending = pending_replacement(spark, path)
+    if pending is None:
+        return False
+    schema = T.StructType.fromJson(json.loads(pending["table_schema"]))
+    _swap(spark, path, pending["stage"], schema, pending["partition_cols"], pending["emptied"])
+    record(
+        spark, path, pending["load_id"], "", "replace", REPLACED, None, schema,
+        pending["partition_cols"], pending["stage"], pending["emptied"],
+    )
+    return True
+
+
 def _put_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_cols).parquet(path)
@@ -144,6 +196,7 @@ def write(
     mode = mode.lower()
     load_id = load_id or files.new_load_id()
     partition_cols = [resolve(df, c) for c in partition_cols]
+    recover(spark, path)
     present = table_exists(spark, path)
     if mode == "overwrite" and partition_cols and present:
         return overwrite_where(spark, df, path, partition_cols, where, tag, load_id, zorder_cols)
@@ -164,8 +217,7 @@ def write(
         # Spark clears the folder first: a source that fails must do so before that.
         folder = f"{files.staging_root(spark, path)}/{load_id}"
         landed, n_rows = land(spark, df, f"{folder}/incoming")
-        rows = zorder(landed, zorder_cols) if zorder_cols else landed
-        rows.write.mode("overwrite").parquet(path)
+        _replace(spark, zorder(landed, zorder_cols) if zorder_cols else landed, path, (), f"{folder}/stage")
         files.remove(spark, folder)
     else:
         # What the other modes allow has been settled above.
@@ -190,6 +242,7 @@ def overwrite_where(
     """
     load_id = load_id or files.new_load_id()
     partition_cols = [resolve(df, c) for c in partition_cols]
+    recover(spark, path)
     if not table_exists(spark, path):
         return write(spark, df, path, "overwrite", partition_cols, tag, where, load_id)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
@@ -227,6 +280,7 @@ def upsert_table(
     """
     load_id = load_id or files.new_load_id()
     partition_cols = [resolve(df, c) for c in partition_cols]
+    recover(spark, path)
     if not table_exists(spark, path):
         return write(spark, df, path, mode, partition_cols, tag, load_id=load_id)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
@@ -297,26 +351,23 @@ def _replace_partitions(
             content = arrange(content)
         elif not one_folder:
             content = _rebalanced(content, partition_cols)
-        _put_partitions(content, path, partition_cols)
+        _replace(spark, content, path, partition_cols, stage)
         return
-    _put(content, stage, "overwrite", partition_cols)
-    staged = files.folders(spark, stage)
-    before = files.folders(spark, path)
-    emptied = before.join(staged, "last", "left_semi").join(staged, "relative", "left_anti")
-    leftover = [row["folder"] for row in emptied.select("folder").collect()]
-    rows = spark.read.schema(content.schema).parquet(stage).select(content.columns)
-    _put_partitions(arrange(rows) if arrange else rows, path, partition_cols)
-    for folder in leftover:
-        files.remove(spark, folder)
+
+    def emptied() -> list[str]:
+        staged = files.folders(spark, stage)
+        before = files.folders(spark, path)
+        gone = before.join(staged, "last", "left_semi").join(staged, "relative", "left_anti")
+        return [row["folder"] for row in gone.select("folder").collect()]
+
+    content = arrange(content) if arrange else _rebalanced(content, partition_cols)
+    _replace(spark, content, path, partition_cols, stage, emptied)
 
 
 def _replace_table(
     spark: SparkSession, content: DataFrame, path: str, stage: str, arrange: Arrange | None
 ) -> None:
-    """Stage, then overwrite: a static overwrite clears its folder before it reads."""
-    content.write.mode("overwrite").parquet(stage)
-    rows = spark.read.schema(content.schema).parquet(stage)
-    (arrange(rows) if arrange else rows).write.mode("overwrite").parquet(path)
+    _replace(spark, arrange(content) if arrange else content, path, (), stage)
 
 
 def cluster_table(
@@ -329,14 +380,16 @@ def cluster_table(
     load_id: str | None = None,
 ) -> None:
     """Z-order the touched partitions (or the whole table) by ``columns``."""
+    recover(spark, path)
     schema = table_schema(spark, path, partition_cols)
     table = read_table(spark, path, schema)
     if scope is not None:
         table = scope.inside(table)
+    folder = f"{files.staging_root(spark, path)}/{load_id or files.new_load_id()}"
     if partition_cols:
-        _put_partitions(zorder(table, columns, partition_cols, files_per_write), path, partition_cols)
+        _replace(spark, zorder(table, columns, partition_cols, files_per_write), path, partition_cols, f"{folder}/stage")
+        files.remove(spark, folder)
         return
-    folder = f"{files.staging_root(spark, path)}/{load_id or files.new_load_id()}"
     arrange = lambda df: zorder(df, columns, (), files_per_write)
     _replace_table(spark, table, path, f"{folder}/stage", arrange)
     files.remove(spark, folder)

@@ -92,3 +92,10 @@ def test_normalisation_is_one_projection(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = norm.normalize(df, KIEV, ["ts"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Project") == 1 and "Exchange" not in plan
+
+
+def test_text_without_digits_before_the_point(spark):
+    texts = [".5", "-.5", "+.9", "7.", "-12.9", "3", ".", "", "-", "1.2.3", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = norm.add_generated_column(df, norm.GeneratedColumn("n", "t", "int")).collect()
+    assert [r["n"] for r in rows] == [0, 0, 0, 7, -12, 3, None, None, None, None, None]
