@@ -10,6 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of a batch of texts between Spark and Python, unless the session says otherwise.
+BATCH_ROWS = 1000
+_BATCH_ROWS_KEY, _BATCH_ROWS_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -54,7 +58,13 @@ def text_of(column: str = "text") -> Column:
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
-    """``mapInArrow`` whose workers find this package also when it isn't installed."""
+    """``mapInArrow`` whose workers find this package also when it isn't installed.
+
+    A session that leaves the size of batches at Spark's default gets smaller
+    ones from here on: long texts would fill the memory of the executors.
+    """
+    if df.sparkSession.conf.get(_BATCH_ROWS_KEY) == _BATCH_ROWS_DEFAULT:
+        df.sparkSession.conf.set(_BATCH_ROWS_KEY, BATCH_ROWS)
     environment = df.sparkSession.sparkContext.environment
     if _ROOT not in environment.get("PYTHONPATH", "").split(":"):
         environment["PYTHONPATH"] = ":".join(filter(None, [environment.get("PYTHONPATH"), _ROOT]))
