@@ -2,8 +2,8 @@
 
 Every column is cut into ``2 ** bits`` buckets of about equal row count, the
 bucket numbers' bits are interleaved into one number, and the rows are range
-partitioned and sorted by it. Bucket bounds come from one aggregation and only
-steer placement, so they never change the result.
+partitioned and sorted by it, and among equal numbers by the columns themselves.
+Bucket bounds only steer placement, so they never change the result.
 """
 
 from __future__ import annotations
@@ -19,22 +19,13 @@ from tablesync.functions.names import col, resolve
 
 ZVALUE = "__zvalue"
 _SPLIT = "__split"
-_PREFIX_BYTES = 6  # exact as a double
 
 
-def _common_prefix_bytes(low: bytes, high: bytes) -> int:
-    """Bytes shared by the smallest and largest value, hence by all values."""
-    shared = 0
-    for a, b in zip(low, high):
-        if a != b:
-            break
-        shared += 1
-    return shared
-
-
-def _rank_value(name: str, dtype: T.DataType, skip: int = 0) -> Column:
-    """A number that orders like the column."""
+def _rank_value(name: str, dtype: T.DataType) -> Column:
+    """What bounds are compared with: text as it is, else a number that orders like the column."""
     value = col(name)
+    if isinstance(dtype, T.StringType):
+        return value
     if isinstance(dtype, (T.NumericType, T.BooleanType)):
         return value.cast("double")
     if isinstance(dtype, T.DateType):
@@ -44,32 +35,15 @@ def _rank_value(name: str, dtype: T.DataType, skip: int = 0) -> Column:
     if isinstance(dtype, T.TimestampNTZType):
         epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
         return F.timestamp_diff("MICROSECOND", epoch, value).cast("double")
-    if isinstance(dtype, T.StringType):
-        part = F.substring(F.encode(value, "UTF-8"), skip + 1, _PREFIX_BYTES)
-        return F.conv(F.rpad(F.hex(part), 2 * _PREFIX_BYTES, "0"), 16, 10).cast("double")
     raise ValueError(f"cannot cluster by {name!r} of type {dtype.simpleString()}")
 
 
-def _rank_values(df: DataFrame, names: Sequence[str]) -> list[Column]:
-    """One ranking number per column; strings skip the prefix all values share."""
-    strings = [n for n in names if isinstance(df.schema[n].dataType, T.StringType)]
-    skip = {}
-    if strings:
-        ends = df.agg(
-            *[F.encode(F.min(col(n)), "UTF-8") for n in strings],
-            *[F.encode(F.max(col(n)), "UTF-8") for n in strings],
-        ).first()
-        for i, n in enumerate(strings):
-            low, high = ends[i], ends[len(strings) + i]
-            skip[n] = 0 if low is None else _common_prefix_bytes(low, high)
-    return [_rank_value(n, df.schema[n].dataType, skip.get(n, 0)) for n in names]
-
-
 def _count_bounds(df: DataFrame, values: dict[str, str], bounds: dict[str, Column], bits: int) -> DataFrame:
     """Add per column how many of its ``2 ** bits - 1`` bounds are at most its value.
 
     A binary search, one projection per step: each step reads the position the
-    step before it reached, so all of it stays in generated code.
+    step before it reached, so all of it stays in generated code. What lies
+    beyond the last bound is null, which no value is at least as large as.
     """
     df = df.withColumns({pos: F.lit(0) for pos in values})
     for i in reversed(range(bits)):
@@ -95,14 +69,46 @@ def _interleave(buckets: Sequence[Column], bits: int) -> Column:
     return total
 
 
-def _bounds(df: DataFrame, ranks: Sequence[Column], bits: int) -> list[Column]:
-    """Literal arrays of the columns' quantiles; a column without values gets infinity."""
+def _text_bounds(df: DataFrame, name: str, bits: int) -> list[str]:
+    """Quantiles of a text column, by whole values.
+
+    Values are counted first, so a frequent one is a single row. Their order is
+    cut into more slices than buckets; those slices whose starts lie next to the
+    quantiles give the bounds. The driver sees a row for each slice.
+    """
+    counted = df.select(col(name).alias("value")).dropna().groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    placed = counted.repartitionByRange(4 * 2**bits, "value")
+    slices = placed.select(F.spark_partition_id().alias("slice"), "value", "n").groupBy("slice")
+    found = slices.agg(F.min("value").alias("low"), F.sum("n").alias("n")).orderBy("low").collect()
+    total, passed, bounds = sum(s["n"] for s in found), 0, []
+    for s in found:
+        if passed * 2**bits >= (len(bounds) + 1) * total:
+            bounds.append(s["low"])
+        passed += s["n"]
+    return bounds
+
+
+def _bounds(df: DataFrame, names: Sequence[str], bits: int) -> list[Column]:
+    """Literal arrays of the columns' quantiles, shorter for columns with few or no values."""
     cuts = [i / 2**bits for i in range(1, 2**bits)]
-    found = df.agg(
-        *[F.percentile_approx(r, cuts, 2 ** (bits + 2)).alias(str(i)) for i, r in enumerate(ranks)]
-    ).first()
-    padded = [[*(q or ()), *[math.inf] * len(cuts)][: len(cuts)] for q in found]
-    return [F.array(*[F.lit(float(x)) for x in bounds]) for bounds in padded]
+    texts = [n for n in names if isinstance(df.schema[n].dataType, T.StringType)]
+    found: dict[str, Sequence] = {n: _text_bounds(df, n, bits) for n in texts}
+    numbers = [n for n in dict.fromkeys(names) if n not in found]
+    if numbers:
+        ranks = [_rank_value(n, df.schema[n].dataType) for n in numbers]
+        row = df.agg(*[F.percentile_approx(r, cuts, 2 ** (bits + 2)) for r in ranks]).first()
+        found |= {n: [float(x) for x in q or ()] for n, q in zip(numbers, row)}
+    return [
+        F.array(*map(F.lit, found[n])).cast(f"array<{'string' if n in texts else 'double'}>") for n in names
+    ]
+
+
+def bits_for(files: int, columns: int) -> int:
+    """Buckets (as a power of two) of each column, so that there are more cells than files.
+
+    A single column needs no more than a few: within a bucket rows are ordered by its value.
+    """
+    return 6 if columns == 1 else max(6, math.ceil(math.log2(max(files, 1)) / columns) + 1)
 
 
 def with_zvalue(
@@ -116,9 +122,9 @@ def with_zvalue(
     names = [resolve(df, c) for c in columns]
     bits = max(1, min(bits, 62 // len(names)))
     like = df if like is None else like
-    ranks = _rank_values(like, names)
+    ranks = [_rank_value(n, df.schema[n].dataType) for n in names]
     values = {f"__bucket{i}": f"__rank{i}" for i in range(len(ranks))}
-    bounds = dict(zip(values, _bounds(like, ranks, bits)))
+    bounds = dict(zip(values, _bounds(like, [resolve(like, n) for n in names], bits)))
     ranked = df.withColumns(dict(zip(values.values(), ranks)))
     placed = _count_bounds(ranked, values, bounds, bits)
     buckets = [F.col(pos) for pos in values]
@@ -130,17 +136,22 @@ def zorder(
     columns: Sequence[str],
     partition_cols: Sequence[str] = (),
     files: int | None = None,
-    bits: int = 6,
+    bits: int | None = None,
     like: DataFrame | None = None,
 ) -> DataFrame:
-    """The same rows, range partitioned and sorted by partition, then z-value.
+    """The same rows, range partitioned and sorted by partition, z-value and columns.
 
-    The input split number is the last range key: it is stable on retry and
-    spreads a hot value over many tasks. Without ``files`` the number of
-    output partitions follows the session's shuffle setting and AQE.
+    The columns keep an order among rows of one z-value, so files stay narrow
+    however many of them a bucket fills. The input split number is the last
+    range key: it is stable on retry and spreads a hot value over many tasks.
+    Without ``files`` the number of output partitions follows the session's
+    shuffle setting and AQE; without ``bits`` it gives the number of buckets.
     """
-    place = [col(resolve(df, p)) for p in partition_cols] + [F.col(ZVALUE)]
-    placed = with_zvalue(df, columns, bits, like).withColumn(_SPLIT, F.spark_partition_id())
+    names = [resolve(df, c) for c in columns]
+    if bits is None:
+        bits = bits_for(files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(names))
+    place = [*[col(resolve(df, p)) for p in partition_cols], F.col(ZVALUE), *map(col, names)]
+    placed = with_zvalue(df, names, bits, like).withColumn(_SPLIT, F.spark_partition_id())
     ranges = [*place, F.col(_SPLIT)]
     ranged = (
         placed.repartitionByRange(files, *ranges) if files else placed.repartitionByRange(*ranges)

@@ -120,7 +120,6 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     scope: PartitionScope | None = None,
-    small_source: bool = False,
 ) -> DataFrame:
     """Update target rows that match a source row, keep the others, insert the rest.
 
@@ -134,9 +133,8 @@ def upsert(
     * Inserts: source rows anti-joined with the distinct target keys. Skew can
       only sit on the source side, which AQE splits for an anti join.
 
-    ``small_source`` only changes the order of the key lookup: a source below
-    the broadcast threshold filters the target keys in place, without a
-    shuffle of them.
+    Whether a side is broadcast is Spark's choice. If none is, the target's rows
+    are shuffled once, and its keys twice.
     """
     schema = target.schema
     source = conform(source, schema, missing="error")
@@ -171,8 +169,6 @@ def upsert(
     )
 
     target_keys = in_scope.select(*[col(k) for k in keys])
-    if small_source:
-        target_keys = target_keys.join(distinct_keys(source, keys), keys, "left_semi")
     inserted = source.alias("source").join(
         distinct_keys(target_keys, keys).alias("target"), key_equality(keys), "left_anti"
     )

@@ -41,9 +41,6 @@ from tablesync.sinks.loadlog import (
     record,
 )
 
-# A landed source up to this size is below Spark's default broadcast threshold.
-SMALL_SOURCE_BYTES = 10 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class Written:
@@ -110,14 +107,16 @@ def land(spark: SparkSession, df: DataFrame, folder: str) -> tuple[DataFrame, in
     return landed, landed.count() if n_rows is None else n_rows
 
 
-def _put(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str]) -> int | None:
+def _put(
+    df: DataFrame, path: str, mode: str, partition_cols: Sequence[str], arranged: bool = False
+) -> int | None:
     """Write with one of Spark's own modes; returns the number of rows, if known.
 
     Rows are counted in the stage that writes them, where a retried task does
     not count twice.
     """
     counted = Observation()
-    if partition_cols:
+    if partition_cols and not arranged:
         df = _rebalanced(df, partition_cols)
     df = df.observe(counted, F.count(F.lit(1)).alias("n"))
     df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
@@ -190,8 +189,9 @@ def write(
 
     ``overwrite`` with a partition column replaces only rows matching ``where``
     in the incoming partitions; without one it replaces the table. Both cluster
-    by ``zorder_cols`` on the way. Every other write is one pass over ``df`` and
-    leaves clustering to ``cluster_table``.
+    by ``zorder_cols`` on the way, and so do first loads and unpartitioned
+    appends, of the rows they bring. An append to partitions is one pass over
+    ``df`` and leaves clustering to ``cluster_table``.
     """
     mode = mode.lower()
     load_id = load_id or files.new_load_id()
@@ -213,17 +213,25 @@ def write(
     if schema != present_schema:
         record(spark, path, load_id, tag, mode, STARTED, None, schema, partition_cols)
     replaces = present and mode == "overwrite"
+    folder = f"{files.staging_root(spark, path)}/{load_id}"
+    arranged = bool(zorder_cols) and not (present and partition_cols)
     if replaces:
         # Spark clears the folder first: a source that fails must do so before that.
-        folder = f"{files.staging_root(spark, path)}/{load_id}"
         landed, n_rows = land(spark, df, f"{folder}/incoming")
         _replace(spark, zorder(landed, zorder_cols) if zorder_cols else landed, path, (), f"{folder}/stage")
         files.remove(spark, folder)
     else:
         # What the other modes allow has been settled above.
-        n_rows = _put(df, path, "append", partition_cols) or 0
+        if arranged:
+            # Clustering looks at the rows several times; the source is read once.
+            landed, _ = land(spark, df, f"{folder}/incoming")
+            df = zorder(landed, zorder_cols, partition_cols)
+        n_rows = _put(df, path, "append", partition_cols, arranged)
+        n_rows = df.count() if n_rows is None else n_rows
+        if arranged:
+            files.remove(spark, folder)
     record(spark, path, load_id, tag, mode, DONE, n_rows, schema, partition_cols)
-    return Written(n_rows, clustered=replaces and bool(zorder_cols))
+    return Written(n_rows, clustered=arranged)
 
 
 def overwrite_where(
@@ -244,7 +252,7 @@ def overwrite_where(
     partition_cols = [resolve(df, c) for c in partition_cols]
     recover(spark, path)
     if not table_exists(spark, path):
-        return write(spark, df, path, "overwrite", partition_cols, tag, where, load_id)
+        return write(spark, df, path, "overwrite", partition_cols, tag, where, load_id, zorder_cols)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
     present = table_schema(spark, path, partition_cols)
     incoming = blank_partitions_to_null(df, partition_cols)
@@ -282,24 +290,23 @@ def upsert_table(
     partition_cols = [resolve(df, c) for c in partition_cols]
     recover(spark, path)
     if not table_exists(spark, path):
-        return write(spark, df, path, mode, partition_cols, tag, load_id=load_id)
+        return write(spark, df, path, mode, partition_cols, tag, None, load_id, zorder_cols)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
     schema = table_schema(spark, path, partition_cols)
     incoming = blank_partitions_to_null(df, partition_cols)
     incoming, n_rows = land(spark, incoming, f"{folder}/incoming")
-    small = files.size(spark, f"{folder}/incoming") <= SMALL_SOURCE_BYTES
     target = read_table(spark, path, schema)
     if n_rows and partition_cols:
         scope = partition_scope(incoming, partition_cols[-1])
         touched = scope.inside(target)
-        content = upsert(touched, incoming, keys, None, small)
+        content = upsert(touched, incoming, keys)
         if scope.has_null:
             # Inserts land in the null partition, whose directory is rewritten: carry its rows.
             content = content.unionByName(target.where(col(scope.column).isNull()))
         arrange = _clustering(zorder_cols, partition_cols, touched, incoming)
         _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage", scope, arrange)
     elif n_rows:
-        content = upsert(target, incoming, keys, None, small)
+        content = upsert(target, incoming, keys)
         arrange = (lambda df: zorder(df, zorder_cols)) if zorder_cols else None
         _replace_table(spark, content, path, f"{folder}/stage", arrange)
     record(spark, path, load_id, tag, "merge", DONE, n_rows, schema, partition_cols)
@@ -317,7 +324,8 @@ def _clustering(
     incoming: DataFrame,
 ) -> Arrange | None:
     """Z-ordering of rewritten partitions, with bounds from plain scans of the
-    old and incoming rows, so that the rewrite itself runs once."""
+    old and incoming rows. Range partitioning still samples the rewrite, above
+    its last shuffle."""
     if not zorder_cols:
         return None
     wanted = {c.lower() for c in zorder_cols}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
@@ -87,12 +88,14 @@ class JdbcSource:
     def _with_bounds(self, spark: SparkSession, dbtable: str, split: Split) -> Split | None:
         """Smallest and largest value of the split column, aggregated inside the source."""
         name = split.column
+        if not re.fullmatch(r"[A-Za-z_]\w*", name):  # in the quotes of the source's dialect
+            name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url).quoteIdentifier(name)
         query = f"(SELECT MIN({name}) AS low, MAX({name}) AS high FROM {dbtable}) ends"
         ends = spark.read.format("jdbc").options(**self.reader_options(query)).load().first()
         if ends[0] is None:
             return None
         low, high = (int(e) if isinstance(e, (Decimal, float)) else e for e in ends)
-        return Split(name, low, high)
+        return Split(split.column, low, high)
 
 
 def table_name(schema: str, table: str) -> str:
@@ -103,6 +106,12 @@ def query_as_table(query: str) -> str:
     return f"({query}) subq"
 
 
+def quoted_name(name: Column) -> Column:
+    """Names that aren't plain words in backquotes."""
+    quoted = F.concat(F.lit("`"), F.replace(name, F.lit("`"), F.lit("``")), F.lit("`"))
+    return F.when(name.rlike("^[A-Za-z_][A-Za-z_0-9]*$"), name).otherwise(quoted)
+
+
 def schema_override(metadata: DataFrame, order_by: str | None = None) -> DataFrame:
     """One row ``ddl``: ``"col TYPE, col TYPE"`` for columns whose source type is overridden.
 
@@ -112,7 +121,7 @@ def schema_override(metadata: DataFrame, order_by: str | None = None) -> DataFra
     kind = F.lower(F.trim(F.col("data_type")))
     override = F.create_map(*[F.lit(x) for pair in TYPE_OVERRIDES.items() for x in pair])
     entries = metadata.where(kind.isin(*TYPE_OVERRIDES)).select(
-        F.concat_ws(" ", F.col("column_name"), override[kind]).alias("entry"),
+        F.concat_ws(" ", quoted_name(F.col("column_name")), override[kind]).alias("entry"),
         F.col(order_by or "column_name").alias("position"),
     )
     listed = F.expr("listagg(entry, ', ') WITHIN GROUP (ORDER BY position)")

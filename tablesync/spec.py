@@ -58,7 +58,7 @@ class LoadSpec:
     use_merge: bool = False
     merge_keys: tuple[str, ...] = ()
     hive_db: str = ""
-    hive_db_location: str = "s3a://warehouse/"
+    hive_db_location: str = ""
     generate_column: bool = False
     generated_column_name: str = ""
     generated_column_exp: str = ""
@@ -139,6 +139,7 @@ class LoadSpec:
             bool(self.generated_column_type),
         )
         require(len(set(generated)) == 1, "the four generate(d)_column settings go together")
+        require(bool(self.hive_db_location) or not self.hive_db, "hive_db needs hive_db_location")
         require(
             self.change_tracking == bool(self.primary_key),
             "change_tracking and primary_key go together",

@@ -4,7 +4,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from tablesync.operators.layout import ZVALUE, with_zvalue, zorder
+from tablesync.operators.layout import ZVALUE, bits_for, with_zvalue, zorder
 
 
 def files_with(spark, path, condition):
@@ -82,3 +82,33 @@ def test_decimals(spark):
     df = spark.createDataFrame([(Decimal("1.5"),), (Decimal("-1.5"),)], "d decimal(10,2)")
     low, high = with_zvalue(df, ["d"]).orderBy("d").collect()
     assert low[ZVALUE] < high[ZVALUE]
+
+
+def test_urls_keep_their_ranks_beside_an_outlier(spark):
+    urls = spark.range(2000).select(F.format_string("https://example.org/page/%06d", "id").alias("url"))
+    df = urls.union(spark.sql("SELECT '-'")).union(spark.sql("SELECT CAST(NULL AS STRING)"))
+    rows = with_zvalue(df, ["url"]).orderBy("url").select("url", ZVALUE).collect()
+    values = [r[ZVALUE] for r in rows]
+    assert values == sorted(values) and len(set(values)) >= 50
+
+
+def test_frequent_texts_get_a_bucket_of_their_own(spark):
+    df = spark.range(3000).select(F.expr("IF(id % 3 = 0, 'm', concat('m', id))").alias("s"))
+    ranks = dict(with_zvalue(df, ["s"], bits=4).groupBy("s").agg(F.min(ZVALUE)).collect())
+    assert len(set(ranks.values())) >= 8
+
+
+def test_lookups_by_one_column_open_few_of_many_files(spark, folder):
+    df = spark.range(20_000).select(F.hash("id").alias("x"), F.format_string("https://a.b/%08d", "id").alias("url"))
+    for name, value in (("x", "hash(7777L)"), ("url", "'https://a.b/00007777'")):
+        zorder(df, [name], files=512).write.parquet(f"{folder}/{name}")
+        # Statistics of the files decide which ones a lookup has to open.
+        ends = spark.read.parquet(f"{folder}/{name}").groupBy("_metadata.file_path").agg(F.min(name).alias("low"), F.max(name).alias("high"))
+        assert ends.count() > 256
+        assert ends.where(f"{value} BETWEEN low AND high").count() <= 4
+
+
+def test_more_files_get_more_buckets():
+    assert bits_for(800_000, 1) == 6
+    assert 2 ** (2 * bits_for(800_000, 2)) > 800_000
+    assert bits_for(8, 2) == 6

@@ -48,19 +48,18 @@ def frames(spark, target=TARGET, source=SOURCE):
     return spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA)
 
 
-@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("max_literals", [None, 100, 0])
-def test_upsert_cases(spark, small, max_literals):
+def test_upsert_cases(spark, max_literals):
     target, source = frames(spark)
     part = None if max_literals is None else "p"
     scope = None if part is None else partition_scope(source, "p", max_literals)
     expected = brute.upsert(dicts(TARGET), dicts(SOURCE), "id", part)
-    assert brute.bag(upsert(target, source, ["id"], scope, small)) == expected
+    assert brute.bag(upsert(target, source, ["id"], scope)) == expected
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_upsert_random(spark, small):
-    rng = random.Random(7 + small)
+@pytest.mark.parametrize("seed", [7, 8])
+def test_upsert_random(spark, seed):
+    rng = random.Random(seed)
 
     def rows(n, keys):
         return [
@@ -76,7 +75,7 @@ def test_upsert_random(spark, small):
         for part in (None, "p"):
             expected = brute.upsert(dicts(target), dicts(source), "id", part)
             scope = partition_scope(s, "p") if part else None
-            assert brute.bag(upsert(t, s, ["id"], scope, small)) == expected
+            assert brute.bag(upsert(t, s, ["id"], scope)) == expected
             checked += 1
     assert checked == 12
 
@@ -116,10 +115,9 @@ def test_hot_keys(spark):
         .alias("id"),
         F.lit("s").alias("v"),
     ).union(spark.sql("SELECT 0L, 's'"))
-    for small in (False, True):
-        out = upsert(target, source, ["id"], small_source=small).groupBy("v").count()
-        # Updated: the hot key 0 and each target id of the form 3k + 2.
-        assert dict(out.collect()) == {"t": 10_000, "s": 20_000 + 20_000}
+    out = upsert(target, source, ["id"]).groupBy("v").count()
+    # Updated: the hot key 0 and each target id of the form 3k + 2.
+    assert dict(out.collect()) == {"t": 10_000, "s": 20_000 + 20_000}
 
 
 @pytest.mark.parametrize("max_literals", [100, 0])
@@ -220,9 +218,21 @@ def test_overwriting_one_partition_needs_no_shuffle(spark, folder):
     assert "Exchange" not in text and "PartitionFilters: [isnotnull(p" in text
 
 
-def test_small_upsert_does_not_shuffle_the_target(spark, folder):
+def test_small_upsert_shuffles_keys_of_the_target_only(spark, folder):
     target = stored_by_partition(spark, folder)
-    source = target.where("p = '1'")
-    text = plan(upsert(target, source, ["id"], small_source=True))
-    assert text.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in text
-    assert "Exchange SinglePartition" not in text
+    source = target.where("p = '1'").limit(10)
+    text = plan(upsert(target, source, ["id"]))
+    joined = text[: text.index("HashAggregate")]
+    assert "BroadcastHashJoin" in joined and "SortMergeJoin" not in joined
+    assert "Exchange hashpartitioning" not in joined
+
+
+def test_upsert_without_broadcast_shuffles_six_times_at_most(spark, folder):
+    target = stored_by_partition(spark, folder)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(upsert(target, target.where("p = '1'"), ["id"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert text.count("Exchange hashpartitioning") <= 6

@@ -50,6 +50,7 @@ def test_jdbc_needs_a_url(spark):
     "rows,ddl",
     [
         ([("b", "date", 2), ("a", " DATE ", 1), ("c", "int", 3)], "a DATE, b DATE"),
+        ([("order date", "date", 1), ("a`b", "date", 2)], "`order date` DATE, `a``b` DATE"),
         ([("c", "int", 1), ("d", "datetime", 2)], ""),
         ([], ""),
     ],
