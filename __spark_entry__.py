@@ -107,7 +107,7 @@ def rename_columns(spark, sf):
 
 
 def date_to_utc(spark, sf):
-    days = _t(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"))
+    days = _t(spark, sf, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
     return norm.times_to_utc(days, KIEV)
 
 
@@ -135,10 +135,10 @@ def ingested_at(spark, sf):
 
 
 def nested_passthrough(spark, sf):
-    """Arrays pass the normalisation untouched."""
+    """Arrays pass the normalisation untouched: every component, by position."""
     vectors = norm.normalize(_t(spark, sf, "embeddings"), KIEV, stamp=False)
-    first = F.get("embedding", F.lit(0)).cast("double")
-    return vectors.select("vec_id", "label", F.size("embedding").alias("dims"), first.alias("head"))
+    parts = vectors.select("vec_id", "label", F.posexplode_outer("embedding").alias("pos", "value"))
+    return parts.withColumn("value", F.col("value").cast("double"))
 
 
 # --- predicates, overwrite and merge as formulas --------------------------------
@@ -151,7 +151,7 @@ def partition_values(spark, sf):
 
 def partition_scoped(spark, sf):
     """Documents in the languages of the labelled ones."""
-    docs = _t(spark, sf, "documents").drop("text")
+    docs = _t(spark, sf, "documents")
     labelled = docs.join(_t(spark, sf, "labels").where("toxic = 1"), "doc_id", "left_semi")
     return pred.partition_scope(labelled, "source").inside(docs)
 
@@ -190,9 +190,7 @@ def replace_nested_partitions(spark, sf):
 
 
 def _history(orders: DataFrame) -> DataFrame:
-    return orders.where("o_orderdate < timestamp_ntz'1999-01-01'").select(
-        "o_orderkey", "o_orderstatus", "o_totalprice"
-    )
+    return orders.where("o_orderdate < timestamp_ntz'1999-01-01'")
 
 
 def _increment(orders: DataFrame) -> DataFrame:
@@ -200,13 +198,11 @@ def _increment(orders: DataFrame) -> DataFrame:
     return (
         orders.where("o_orderdate >= timestamp_ntz'1998-01-01'")
         .where("o_orderstatus <> 'P' or o_orderpriority = '1-URGENT'")
-        .select(
-            "o_orderkey",
-            F.when(F.col("o_orderpriority") == "1-URGENT", "F")
-            .otherwise(F.col("o_orderstatus"))
-            .alias("o_orderstatus"),
-            (F.col("o_totalprice") + 1000).alias("o_totalprice"),
+        .withColumn(
+            "o_orderstatus",
+            F.when(F.col("o_orderpriority") == "1-URGENT", "F").otherwise(F.col("o_orderstatus")),
         )
+        .withColumn("o_totalprice", F.col("o_totalprice") + 1000)
     )
 
 
@@ -224,10 +220,11 @@ def upsert_scoped(spark, sf):
 
 def upsert_to_null(spark, sf):
     """Labels against all documents: matched labels turn null, the others are inserted."""
-    labels = _t(spark, sf, "labels")
+    labels = _t(spark, sf, "labels").withColumn("text", F.lit(None).cast("string"))
     fresh = _t(spark, sf, "documents").select(
-        "doc_id", (F.col("n_chars") > 1000).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic")
-    )
+        "doc_id", (F.col("n_chars") > 1000).cast("int").alias("quality"),
+        F.lit(None).cast("int").alias("toxic"), "text",
+    )
     return upsert(labels, fresh, ["doc_id"])
 
 
@@ -281,13 +278,13 @@ def full_overwrite(spark, sf):
 
 def append_evolve(spark, sf):
     part = _t(spark, sf, "part")
-    return append_rows(part.select("p_partkey", "p_name"), part.select("p_partkey", "p_brand", "p_size"))
+    return append_rows(part.drop("p_brand", "p_size"), part.drop("p_name"))
 
 
 def append_evolve_written(spark, sf):
     part, path = _t(spark, sf, "part"), f"{_scratch(spark)}/part"
-    table.write(spark, part.select("p_partkey", "p_name"), path, "append")
-    table.write(spark, part.select("p_partkey", "p_brand", "p_size"), path, "append")
+    table.write(spark, part.drop("p_brand", "p_size"), path, "append")
+    table.write(spark, part.drop("p_name"), path, "append")
     return table.read_table(spark, path)
 
 
@@ -515,13 +512,11 @@ _REPLACED = f"""
 """
 
 _HISTORY_AND_INCREMENT = """
-    WITH t AS (
-        SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
-        WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+    WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
     s AS (
-        SELECT o_orderkey,
+        SELECT * REPLACE (
                CASE WHEN o_orderpriority = '1-URGENT' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
-               o_totalprice + 1000 AS o_totalprice
+               o_totalprice + 1000 AS o_totalprice)
         FROM orders
         WHERE o_orderdate >= TIMESTAMP '1998-01-01'
           AND (o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT'))
@@ -530,21 +525,15 @@ _HISTORY_AND_INCREMENT = """
 
 def _upsert_sql(scoped: bool) -> str:
     scope = "AND t.o_orderstatus IN (SELECT o_orderstatus FROM s)" if scoped else ""
-    return f"""{_HISTORY_AND_INCREMENT}
-        SELECT t.o_orderkey,
-               CASE WHEN s.o_orderkey IS NULL THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus,
-               CASE WHEN s.o_orderkey IS NULL THEN t.o_totalprice ELSE s.o_totalprice END AS o_totalprice
-        FROM t LEFT JOIN s ON s.o_orderkey = t.o_orderkey {scope}
+    return f"""{_HISTORY_AND_INCREMENT}, m AS (
+            SELECT t.o_orderkey FROM t JOIN s ON s.o_orderkey = t.o_orderkey {scope})
+        SELECT * FROM s
         UNION ALL
-        SELECT s.* FROM s
-        WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey {scope})
+        SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM m)
     """
 
 
-_EVOLVED = """
-    SELECT p_partkey, p_name, CAST(NULL AS VARCHAR) AS p_brand, CAST(NULL AS INTEGER) AS p_size FROM part
-    UNION ALL SELECT p_partkey, NULL, p_brand, p_size FROM part
-"""
+_EVOLVED = "SELECT * EXCLUDE (p_brand, p_size) FROM part UNION ALL BY NAME SELECT * EXCLUDE (p_name) FROM part"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -564,8 +553,8 @@ def oracle_sql() -> dict[str, str]:
                    o_totalprice AS totalprice, o_orderdate AS order__date,
                    o_orderpriority AS order__prio__5 FROM orders""",
         "date_to_utc": f"""
-            SELECT o_orderkey, {_UTC.format('CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)')}
-                   AS o_orderdate FROM orders""",
+            SELECT * REPLACE ({_UTC.format('CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)')}
+                              AS o_orderdate) FROM orders""",
         "timestamp_to_utc": f"SELECT * REPLACE ({_UTC.format('ts')} AS ts) FROM events",
         "generated_column":
             "SELECT *, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS day_key FROM events",
@@ -575,11 +564,13 @@ def oracle_sql() -> dict[str, str]:
         "partition_date": "SELECT * REPLACE (CAST(ts AS DATE) AS ts) FROM events",
         "ingested_at": f"SELECT TIMESTAMP '{INGESTED}' AS _platform_ingested_at, * FROM part",
         "nested_passthrough": """
-            SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims,
-                   CAST(embedding[1] AS DOUBLE) AS head FROM embeddings""",
+            SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+                   CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings
+            UNION ALL
+            SELECT vec_id, label, NULL, NULL FROM embeddings WHERE coalesce(len(embedding), 0) = 0""",
         "partition_values": "SELECT DISTINCT lang FROM documents WHERE lang <> 'en'",
         "partition_scoped": """
-            SELECT * EXCLUDE (text) FROM documents WHERE source IN (
+            SELECT * FROM documents WHERE source IN (
                 SELECT source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)""",
         "replace_window": _REPLACED,
         "replace_window_written": _REPLACED,
@@ -589,9 +580,9 @@ def oracle_sql() -> dict[str, str]:
         "upsert": _upsert_sql(False),
         "upsert_scoped": _upsert_sql(True),
         "upsert_to_null": """
-            SELECT doc_id, CAST(n_chars > 1000 AS INTEGER) AS quality, CAST(NULL AS INTEGER) AS toxic
+            SELECT doc_id, CAST(n_chars > 1000 AS INTEGER) AS quality, CAST(NULL AS INTEGER) AS toxic, text
             FROM documents
-            UNION ALL SELECT * FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)""",
+            UNION ALL SELECT *, NULL FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)""",
         "upsert_composite": """
             WITH s AS (SELECT conv_id, turn + 1 AS turn, role, upper(role) AS text FROM conversations)
             SELECT * FROM s
