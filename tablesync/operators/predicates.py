@@ -15,7 +15,8 @@ from tablesync.functions.names import col, resolve
 from tablesync.functions.times import day_start
 
 # Up to this many partition values become literals, which prune directories
-# while planning; beyond it the values stay a DataFrame and are joined.
+# while planning; beyond it the values stay a DataFrame and are joined, and
+# only the smallest and the largest one prune.
 MAX_LITERALS = 10_000
 
 COPIES = "__copies"
@@ -82,6 +83,7 @@ class PartitionScope:
     values: DataFrame
     literals: tuple | None  # None when there are more than MAX_LITERALS values
     has_null: bool = False
+    ends: tuple | None = None  # smallest and largest value, where there are no literals
 
     @property
     def is_empty(self) -> bool:
@@ -94,18 +96,23 @@ class PartitionScope:
         name = f"{qualifier}.`{self.column}`" if qualifier else f"`{self.column}`"
         if not self.literals:
             return F.lit(False)
-        values = self.literals
-        if isinstance(self.values.schema[self.column].dataType, T.TimestampType):
-            values = [F.timestamp_micros(F.lit(v)) for v in values]
-        if isinstance(self.values.schema[self.column].dataType, T.TimestampNTZType):
+        return F.col(name).isin(*map(self._literal, self.literals))
+
+    def _literal(self, value) -> Column:
+        dtype = self.values.schema[self.column].dataType
+        if isinstance(dtype, T.TimestampType):
+            return F.timestamp_micros(F.lit(value))
+        if isinstance(dtype, T.TimestampNTZType):
             # A Python datetime would become a zoned literal.
-            values = [F.lit(v.isoformat(" ")).cast("timestamp_ntz") for v in values]
-        return F.col(name).isin(*values)
+            return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
+        return F.lit(value)
 
     def inside(self, df: DataFrame) -> DataFrame:
         """Rows in the touched partitions; literals prune at planning time."""
         if self.literals is not None:
             return df.where(self.predicate())
+        if self.ends is not None:
+            df = df.where(col(self.column).between(*map(self._literal, self.ends)))
         return df.join(self.values, self.column, "left_semi").select(df.columns)
 
     def tag(self, df: DataFrame, flag: str) -> DataFrame:
@@ -124,13 +131,14 @@ def partition_scope(df: DataFrame, column: str, max_literals: int = MAX_LITERALS
     distinct = distinct_keys(df, [name])
     # Instants travel as numbers: a wall clock on the driver can't tell the two sides of an overlap.
     zoned = isinstance(df.schema[name].dataType, T.TimestampType)
-    shown = distinct.select(F.unix_micros(col(name)) if zoned else col(name))
+    shown = distinct.select((F.unix_micros(col(name)) if zoned else col(name)).alias(name))
     found = [row[0] for row in shown.limit(max_literals + 2).collect()]
     known = [v for v in found if v is not None]
     if len(known) <= max_literals:
         return PartitionScope(name, distinct.dropna(), tuple(known), len(known) < len(found))
     has_null = len(known) < len(found) or not df.where(col(name).isNull()).isEmpty()
-    return PartitionScope(name, distinct.dropna(), None, has_null)
+    ends = tuple(shown.agg(F.min(col(name)), F.max(col(name))).first())
+    return PartitionScope(name, distinct.dropna(), None, has_null, None if None in ends else ends)
 
 
 def key_equality(

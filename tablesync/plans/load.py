@@ -20,7 +20,14 @@ from tablesync.sinks import catalog, files
 from tablesync.sinks.sweep import sweep
 from tablesync.sinks.table import cluster_table, land, upsert_table, write
 from tablesync.sources.frames import filtered, redistribute
-from tablesync.sources.jdbc import JdbcSource, Split, custom_schema, query_as_table, table_name
+from tablesync.sources.jdbc import (
+    JdbcSource,
+    Split,
+    custom_schema,
+    filtered_table,
+    query_as_table,
+    table_name,
+)
 from tablesync.spec import LoadSpec
 
 log = logging.getLogger("tablesync")
@@ -54,7 +61,11 @@ def target_predicate(spec: LoadSpec, df: DataFrame) -> Column | None:
 
 
 def scan(spark: SparkSession, spec: LoadSpec, source: DataFrame | None = None) -> DataFrame:
-    """Rows to load: from ``source`` if given, else from the JDBC table or query."""
+    """Rows to load: from ``source`` if given, else from the JDBC table or query.
+
+    A JDBC source gets the user's predicate as text, too, since Spark hands on
+    only what it can translate.
+    """
     if source is not None:
         rows = filtered(source, source_predicate(spec, source))
         return redistribute(rows, spec.partitions_number)
@@ -64,6 +75,8 @@ def scan(spark: SparkSession, spec: LoadSpec, source: DataFrame | None = None) -
         spec.jdbcUrl, spec.jdbc_driver, spec.fetch_size, spec.partitions_number, spec.jdbc_options
     )
     dbtable = query_as_table(spec.query) if spec.query else table_name(spec.schema, spec.tab)
+    if spec.where_at_source and spec.where.strip():
+        dbtable = filtered_table(dbtable, spec.where)
     types = custom_schema(spark, jdbc, spec.schema, spec.tab) if spec.override_types else ""
     options = jdbc.reader_options(dbtable, custom_schema=types)
     columns = spark.read.format("jdbc").options(**options).load()  # schema only

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tablesync.functions.names import resolve
+from tablesync.sinks import files
 from tablesync.sinks.table import read_table, table_exists
 
 
@@ -27,6 +28,19 @@ def create_database(spark: SparkSession, database: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION {_text(location)}")
 
 
+def _check_same(spark: SparkSession, name: str, path: str, partitions: Sequence[str]) -> None:
+    """Refuse a catalog table of that name over another folder or of another layout."""
+    rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    details = dict(rows[[c for c, _ in rows].index("# Detailed Table Information") :])
+    present = files.qualified(spark, details["Location"]).rstrip("/")
+    wanted = files.qualified(spark, path).rstrip("/")
+    if present != wanted:
+        raise ValueError(f"{name} is registered at {present}, not at {wanted}")
+    layout = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if [c.lower() for c in layout] != [c.lower() for c in partitions]:
+        raise ValueError(f"{name} is registered with partitions {layout}, not {list(partitions)}")
+
+
 def register_table(
     spark: SparkSession,
     database: str,
@@ -36,6 +50,8 @@ def register_table(
 ) -> bool:
     """External table over an existing folder; new columns and partitions are picked up.
 
+    A table of that name at another place or with other partition columns raises.
+
     Returns whether there was a folder to register.
     """
     if not table_exists(spark, path):
@@ -48,6 +64,7 @@ def register_table(
         f"CREATE EXTERNAL TABLE IF NOT EXISTS {name} ({_columns(frame.schema.fields)}) "
         f"USING parquet {by} LOCATION {_text(path)}"
     )
+    _check_same(spark, name, path, partitions)
     known = {c.lower() for c in spark.table(name).columns}
     added = [f for f in frame.schema if f.name.lower() not in known]
     if added:

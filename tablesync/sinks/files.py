@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_NAMES_PER_GLOB = 200
 LISTING = "struct<path: string, modificationTime: timestamp, length: bigint>"
 
 
@@ -87,11 +90,25 @@ def staging_root(spark: SparkSession, path: str) -> str:
     return f"{shared.rstrip('/')}/tablesync/{name}-{digest}"
 
 
+def _as_glob(name: str) -> str:
+    return re.sub(r"([\\*?{}\[\],])", r"\\\1", name)
+
+
+def folders_named(spark: SparkSession, root: str, level: int, names: Sequence[str]) -> list[str]:
+    """Folders with one of the names, ``level`` steps below ``root``, by their paths from there.
+
+    Lists the folders above that level, but no files.
+    """
+    start, found = len(qualified(spark, root)) + 1, []
+    for i in range(0, len(names), _NAMES_PER_GLOB):
+        own = ",".join(map(_as_glob, names[i : i + _NAMES_PER_GLOB]))
+        for path, _ in matching(spark, f"{root.rstrip('/')}/{'*/' * (level - 1)}{{{own}}}"):
+            found.append(path[start:])
+    return found
+
+
 def folders(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct folders holding files below ``root``: full path, ``relative`` part, ``last`` level."""
+    """Distinct folders holding files below ``root``, by their paths from there (``relative``)."""
     folder = F.regexp_replace("path", "/[^/]+$", "")
-    return listing(spark, root).select(
-        folder.alias("folder"),
-        F.substring(folder, len(qualified(spark, root)) + 2, 2**31 - 1).alias("relative"),
-        F.substring_index(folder, "/", -1).alias("last"),
-    ).distinct()
+    relative = F.substring(folder, len(qualified(spark, root)) + 2, 2**31 - 1)
+    return listing(spark, root).select(relative.alias("relative")).distinct()

@@ -352,6 +352,7 @@ def _replace_partitions(
     are rebalanced. Each last-level value in ``content`` receives rows, but with
     several partition columns rows can leave one directory for another of the
     same last value. Staging shows which directories were emptied; those go last.
+    The driver sees the touched directories, never the files of the table.
     """
     if len(partition_cols) == 1:
         one_folder = len(scope.literals or ()) == 1 and not scope.has_null
@@ -363,10 +364,10 @@ def _replace_partitions(
         return
 
     def emptied() -> list[str]:
-        staged = files.folders(spark, stage)
-        before = files.folders(spark, path)
-        gone = before.join(staged, "last", "left_semi").join(staged, "relative", "left_anti")
-        return [row["folder"] for row in gone.select("folder").collect()]
+        staged = {row["relative"] for row in files.folders(spark, stage).collect()}
+        last = sorted({folder.rsplit("/", 1)[-1] for folder in staged})
+        before = files.folders_named(spark, path, len(partition_cols), last)
+        return [f"{path.rstrip('/')}/{folder}" for folder in before if folder not in staged]
 
     content = arrange(content) if arrange else _rebalanced(content, partition_cols)
     _replace(spark, content, path, partition_cols, stage, emptied)

@@ -106,6 +106,11 @@ def query_as_table(query: str) -> str:
     return f"({query}) subq"
 
 
+def filtered_table(dbtable: str, where: str) -> str:
+    """A table or query whose rows the source itself filters, by its own reading of ``where``."""
+    return f"(SELECT * FROM {dbtable} WHERE {where}) filtered"
+
+
 def quoted_name(name: Column) -> Column:
     """Names that aren't plain words in backquotes."""
     quoted = F.concat(F.lit("`"), F.replace(name, F.lit("`"), F.lit("``")), F.lit("`"))

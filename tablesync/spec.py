@@ -76,6 +76,7 @@ class LoadSpec:
     jdbc_driver: str | None = None
     jdbc_options: Mapping[str, str] = field(default_factory=dict, repr=False)
     split_column: str = ""  # parallel JDBC read; a date window splits on dtflt by default
+    where_at_source: bool = True  # put ``where`` into the JDBC query as well; its text must suit both
     override_types: bool = False  # look source types up in the source catalog first
     load_tag: str = ""
     ingested_at: datetime | Column | None = None
@@ -88,6 +89,7 @@ class LoadSpec:
         for name in (
             "write_partitioned", "use_merge", "generate_column", "force_partition",
             "change_tracking", "disable_platform_ingested_at", "full_overwrite", "override_types",
+            "where_at_source",
         ):
             put(name, _flag(getattr(self, name)))
         for name in ("calc_min_dt", "calc_max_dt", "exec_date"):

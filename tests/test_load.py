@@ -136,3 +136,15 @@ def test_nested_columns_survive_a_load(spark, folder):
     stored = table.read_table(spark, done.path)
     assert stored.schema.simpleString() == vectors.schema.simpleString()
     assert stored.exceptAll(vectors).isEmpty() and stored.count() == vectors.count()
+
+
+def test_registration_refuses_another_place_or_layout(spark, folder):
+    params = {"hive_db": "odd_db", "hive_db_location": f"{folder}/db", "mode": "append"}
+    done = load(spark, folder, DAYS, **params)
+    catalog.register_table(spark, "odd_db", "dbo__t", done.path + "/")
+    table.write(spark, spark.sql("SELECT 1 id, 2 p"), f"{folder}/other", partition_cols=["p"])
+    with pytest.raises(ValueError, match="is registered at"):
+        catalog.register_table(spark, "odd_db", "dbo__t", f"{folder}/other", ["p"])
+    catalog.register_table(spark, "odd_db", "other", f"{folder}/other", ["p"])
+    with pytest.raises(ValueError, match="is registered with partitions"):
+        catalog.register_table(spark, "odd_db", "other", f"{folder}/other")

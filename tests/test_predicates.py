@@ -108,3 +108,15 @@ def test_checked(spark):
     assert pred.checked(df.where("id < 2"), F.col("p").isNotNull(), "p", "bad").count() == 2
     with pytest.raises(Exception, match="bad row"):
         pred.checked(df, F.col("p") >= 0, "p", "bad row").collect()
+
+
+def test_joined_scope_prunes_partitions_by_its_ends(spark, folder):
+    df = spark.range(10).withColumn("p", F.col("id") % 5)
+    df.write.partitionBy("p").parquet(f"{folder}/t")
+    stored = spark.read.schema(df.schema).parquet(f"{folder}/t")
+    scope = pred.partition_scope(spark.range(2, 4).toDF("p"), "p", max_literals=1)
+    assert scope.literals is None and scope.ends == (2, 3)
+    text = plan(scope.inside(stored))
+    assert "(p#" in text and ">= 2)" in text and "<= 3)" in text
+    assert text.index("PartitionFilters: [isnotnull(p") > 0
+    assert {r["p"] for r in scope.inside(stored).collect()} == {2, 3}

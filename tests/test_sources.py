@@ -102,6 +102,19 @@ def test_window_splits_the_read(spark):
     assert rows.rdd.getNumPartitions() != 4
 
 
+def test_the_source_gets_the_predicate_as_text(spark):
+    spec = SPEC | {"where": "o_custkey > 5"}
+    reader = Reader({"dbo.orders": orders(spark)})
+    wanted = orders(spark).where("o_custkey > 5").count()
+    assert scan(reader, LoadSpec.from_params(spec)).count() == wanted
+    assert reader.asked[-1]["dbtable"] == "(SELECT * FROM dbo.orders WHERE o_custkey > 5) filtered"
+    assert scan(reader, LoadSpec.from_params(spec | {"where_at_source": "false"})).count() == wanted
+    assert reader.asked[-1]["dbtable"] == "dbo.orders"
+    reader = Reader({"(select * from t) subq": orders(spark)})
+    scan(reader, LoadSpec.from_params(spec | {"query": "select * from t"}))
+    assert "FROM (select * from t) subq WHERE" in reader.asked[-1]["dbtable"]
+
+
 def test_text_windows_do_not_split(spark):
     reader = Reader({"dbo.orders": orders(spark)})
     spec = LoadSpec.from_params(SPEC | {"dtflt": "o_orderstatus", "exec_date": "1996-01-02"})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from test_merge import NAMES, SCHEMA, SOURCE, TARGET, dicts
 from tablesync.operators import predicates
-from tablesync.sinks import files, table
+from tablesync.sinks import files, loadlog, table
 from tablesync.sinks.loadlog import DONE, load_log
 from tablesync.sinks.sweep import expired_files, sweep
 
@@ -287,3 +287,27 @@ def test_hot_partition_is_split_over_files(spark, path):
         spark.conf.set(setting, before)
     assert len([f for f in data_files(path) if "/p=0/" in f]) > 1
     assert stored(spark, path) == brute.bag(df)
+
+
+def test_odd_names_of_emptied_folders(spark, path):
+    """Rows that leave a folder for another of the same last value, whose name is no plain word."""
+    names = ["a,b", "c{d}", "e*f?", "g[h]", "i\\j", "k:l"]
+    old = spark.createDataFrame([(i, "x", n) for i, n in enumerate(names)], "id int, q string, r string")
+    table.write(spark, old, path, partition_cols=["q", "r"])
+    new = old.withColumn("q", F.lit("y")).where("id <> 0")
+    table.write(spark, new, path, "overwrite", ["q", "r"])
+    kept = {(r["id"], r["q"], r["r"]) for r in table.read_table(spark, path).collect()}
+    assert kept == {(0, "x", "a,b")} | {(i, "y", n) for i, n in enumerate(names) if i}
+    folders = {r["relative"] for r in files.folders(spark, path).collect()}
+    assert len(folders) == len(names)
+
+
+def test_log_is_compacted_and_keeps_its_records(spark, path, monkeypatch):
+    monkeypatch.setattr(loadlog, "MAX_FILES", 3)
+    for i in range(4):
+        table.write(spark, frame(spark, SOURCE), path, "append", tag=f"v{i}")
+    listed = files.matching(spark, f"{loadlog.log_path(path)}/*.parquet")
+    assert len(listed) <= 3
+    done = load_log(spark, path).where(F.col("status") == DONE)
+    assert sorted(r["load_tag"] for r in done.collect()) == ["v0", "v1", "v2", "v3"]
+    assert load_log(spark, path).groupBy("seq").count().where("count > 1").isEmpty()
