@@ -4,7 +4,8 @@ Entities are found by patterns, and each distinct one gets a surrogate of its ow
 kind from a keyed hash. The same entity gets the same surrogate everywhere, two
 entities never share one, and no surrogate is an entity of the corpus: candidates
 that collide are drawn again. Formats, letter cases, scripts and, for names, the
-gender of the title are kept.
+gender of the title are kept. Names are found behind titles, with all their parts;
+the parts found in a text are replaced wherever else they stand in it.
 """
 
 from __future__ import annotations
@@ -33,7 +34,11 @@ NAMES = {
     "family:cyrillic:f": ["Абрамова", "Белова", "Волкова", "Громова", "Демидова", "Ершова", "Жукова", "Зимина", "Климова", "Лебедева", "Морозова", "Носова"],
 }
 
-_NAME = r"\p{Lu}\p{Ll}+"
+_NAME = r"\p{Lu}(?:['’]?\p{Lu}\p{M}*|\p{Ll}\p{M}*)+"
+_PART = rf"(?:\p{{Lu}}\.|{_NAME})"
+#: Between parts: blanks, hyphens, and small words within names.
+_SMALL = r"(?:(?:van|von|der|den|de|la|las|los|del|di|da|dos|du|le|ten|ter|zu|zur|bin|al)[ \u00a0]){0,3}"
+_JOIN = rf"(?:[ \u00a0]|[-‐‑]|(?<=\.)){_SMALL}"
 _TITLE = "|".join(t for titles in TITLES.values() for t in sorted(titles, key=len, reverse=True))
 _PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -44,11 +49,11 @@ _PATTERNS = {
     "card": r"(?<![0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
-    "name": rf"(?<![\p{{L}}-])(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
+    "name": rf"(?<![\p{{L}}-])(?:{_TITLE})\.? {_SMALL}(?:\p{{Lu}}\. ?)*{_NAME}(?:{_JOIN}{_PART})*+",
 }
 _ANY = "|".join(f"(?:{p})" for p in _PATTERNS.values())
 #: Texts without any of these hold no entity.
-_HINT = rf"[0-9@=:]|(?:{_TITLE})\.? \p{{Lu}}"
+_HINT = rf"[0-9@=:]|(?:{_TITLE})\.? {_SMALL}\p{{Lu}}"
 
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -57,21 +62,31 @@ def kind_of(match: Column) -> Column:
     """The kind of a match, by its form."""
     return (
         F.when(F.contains(match, F.lit("@")), "email")
-        .when(match.rlike(rf"^(?:{_TITLE})\.? {_NAME}"), "name")
+        .when(match.rlike(rf"^(?:{_TITLE})\.? {_SMALL}(?:\p{{Lu}}\. ?)*{_NAME}"), "name")
         .when(match.rlike("^AKIA[0-9A-Z]{16}$"), "key")
         .when(match.rlike(r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$"), "ip")
         .when(match.rlike("^[0-9]{4}(?:[ -]?[0-9]{4}){3}$"), "card")
         .when(match.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
-        .when(match.rlike(r"^\+?[0-9().\- ]+$"), "phone")
+        .when(match.rlike(f"^{_PATTERNS['phone']}$"), "phone")
         .when(match.rlike("^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9])+$"), "iban")
         .otherwise("secret")
     )
 
 
-def _parts(match: Column, kind: Column) -> Column:
-    """``kind``, normal form and what stands before it, for each name or other entity of a match."""
+def _proper(name: Column) -> Column:
+    """The form of a name part that all its letter cases share: capital first."""
+    return F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substring(name, F.lit(2), F.char_length(name))))
+
+
+def _name_parts(match: Column) -> Column:
+    """``kind``, normal form, ``raw`` and what stands before it, for each part of a titled name.
+
+    The parts behind the last blank, joined by hyphens, are the family name.
+    """
     title = F.regexp_extract(match, rf"^(?:{_TITLE})\.? ", 0)
-    names = F.split(F.substring(match, F.char_length(title) + 1, F.char_length(match)), " ")
+    rest = F.substring(match, F.char_length(title) + 1, F.char_length(match))
+    raw = F.regexp_extract_all(rest, F.lit(_PART), F.lit(0))
+    gaps = F.split(rest, _PART, -1)
     bare = F.rtrim(F.replace(title, F.lit("."), F.lit("")))
     side = reduce(
         lambda done, item: done.when(bare.isin(item[1]), F.lit(":".join(item[0]))),
@@ -79,6 +94,21 @@ def _parts(match: Column, kind: Column) -> Column:
     )
     family = F.when(F.startswith(side, F.lit("latin")), F.lit("family:latin")).otherwise(F.concat(F.lit("family:"), side))
     given = F.concat(F.lit("given:"), side)
+    behind = F.size(F.regexp_extract_all(F.regexp_extract(rest, r"[^ \u00a0]*$", 0), F.lit(_PART), F.lit(0)))
+
+    def part(name: Column, i: Column) -> Column:
+        return F.struct(
+            F.when(i >= F.size(raw) - behind, family).otherwise(given).alias("kind"),
+            F.when(name.endswith("."), name).otherwise(_proper(name)).alias("norm"),
+            name.alias("raw"),
+            F.concat(F.when(i == 0, title).otherwise(F.lit("")), F.get(gaps, i)).alias("before"),
+        )
+
+    return F.transform(raw, part)
+
+
+def _parts(match: Column, kind: Column, known: Column) -> Column:
+    """The parts of a titled name; for other entities, and mentions of a ``known`` name, a single one."""
     plain = (
         F.when(kind == "email", F.lower(match))
         .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(match, "[^0-9]", ""))
@@ -86,16 +116,26 @@ def _parts(match: Column, kind: Column) -> Column:
         .otherwise(match)
     )
 
-    def part(kind: Column, norm: Column, before: Column) -> Column:
-        return F.struct(kind.alias("kind"), norm.alias("norm"), before.alias("before"))
+    def single(kind: Column, norm: Column) -> Column:
+        return F.array(F.struct(kind.alias("kind"), norm.alias("norm"), match.alias("raw"), F.lit("").alias("before")))
 
     return (
-        F.when(kind != "name", F.array(part(kind, plain, F.lit(""))))
-        .when(F.size(names) == 1, F.array(part(family, names[0], title)))
-        .otherwise(F.array(part(given, names[0], title), part(family, names[1], F.lit(" "))))
+        F.when(known.isNotNull(), single(known["kind"], known["norm"]))
+        .when(kind != "name", single(kind, plain))
+        .otherwise(_name_parts(match))
     )
 
 
+def _names_of(matches: Column) -> Column:
+    """``kind`` and ``norm`` of the name parts among matches, each with its ``forms``; initials left out."""
+    titled = F.filter(matches, lambda m: kind_of(m) == "name")
+    parts = F.flatten(F.transform(titled, _name_parts))
+    parts = F.filter(parts, lambda p: ~p["norm"].endswith("."))
+    return F.array_distinct(F.transform(parts, lambda p: F.struct(
+        p["kind"].alias("kind"), p["norm"].alias("norm"), F.array(p["raw"], p["norm"], F.upper(p["raw"])).alias("forms")
+    )))
+
+
 def _number(stream: Column, place: Column) -> Column:
     """The ``place``-th (from 0) byte of a stream of hex digits."""
     return F.conv(F.substring(stream, 2 * place + 1, F.lit(2)), 16, 10).cast("int")
@@ -151,7 +191,7 @@ def candidate(kind: Column, norm: Column, attempt: int, key: str) -> Column:
             F.substring(norm, F.lit(1), start), high(100), some(digits, 1, 2), high(101), some(digits, 3, 6)))
         .when(kind == "iban", F.concat(some(norm, 1, 2), _shaped(F.substring(norm, F.lit(3), F.char_length(norm)), stream)))
         .when(kind == "key", F.concat(F.lit("AKIA"), _shaped(F.substring(norm, F.lit(5), F.char_length(norm)), stream)))
-        .when((kind == "secret") & norm.rlike("^[0-9a-f]+$"), F.substring(F.repeat(stream, F.char_length(norm).cast("int")), F.lit(1), F.char_length(norm)))
+        .when((kind == "secret") & norm.rlike("^[0-9]*[a-f][0-9a-f]*$"), F.substring(F.repeat(stream, F.char_length(norm).cast("int")), F.lit(1), F.char_length(norm)))
     )
     for pool, names in NAMES.items():
         values = F.array(*map(F.lit, names))
@@ -198,6 +238,7 @@ def _formatted(match: Column, kind: Column, surrogate: Column) -> Column:
     return (
         F.when(kind.isin("phone", "card", "ssn", "iban"), spaced)
         .when((kind == "email") & (F.upper(match) == match), F.upper(surrogate))
+        .when(kind.rlike("^(?:given|family):") & (F.upper(match) == match) & ~match.endswith("."), F.upper(surrogate))
         .otherwise(surrogate)
     )
 
@@ -209,25 +250,33 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = "corpus
     entities stay where they are. Entities meet their surrogates in a join of two
     plain scans, so that Spark splits a hot entity, and texts with entities meet
     their replacements by a 128-bit hash of the text, so that copies share them.
+    Mentions of a name without its title are entities, too; a part that the text
+    has as a given and as a family name counts there as what it was first.
     Null and empty texts become empty.
     """
     base = packed(docs, text=text_col).withColumn("text", text_of())
     found = F.when(F.col("text").rlike(_HINT), F.regexp_extract_all("text", F.lit(_ANY), F.lit(0)))
-    base = base.withColumn("matches", F.coalesce(found, F.expr("cast(array() as array<string>)")))
+    base = base.withColumn("first", F.coalesce(found, F.expr("cast(array() as array<string>)")))
     base = base.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), F.col("text"))})
-    quiet = base.where("size(matches) = 0").select(
+    quiet = base.where("size(first) = 0").select(
         "row", F.col("text").alias("safe_text"), F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds")
     )
-    loud = base.where("size(matches) > 0")
-
-    places = loud.select("h1", "h2", F.posexplode("matches").alias("pos", "match"))
-    places = places.withColumn("kind", kind_of(F.col("match")))
-    places = places.select("h1", "h2", "pos", "match", F.posexplode(_parts(F.col("match"), F.col("kind"))).alias("nth", "part"))
-    places = written(places.select("h1", "h2", "pos", "nth", "match", "part.*"))
+    loud = base.where("size(first) > 0").withColumn("names", _names_of(F.col("first")))
+    forms = F.array_sort(F.array_distinct(F.flatten(F.col("names.forms"))))
+    mention = F.concat(F.lit(rf"{_ANY}|(?<![\p{{L}}\p{{M}}])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{M}])"))
+    loud = loud.withColumn("pattern", F.when(F.size("names") > 0, mention).otherwise(F.lit(_ANY)))
+    again = F.when(F.size("names") > 0, F.regexp_extract_all("text", F.col("pattern"), F.lit(0)))
+    loud = loud.withColumn("matches", F.coalesce(again, F.col("first")))
+
+    places = loud.select("h1", "h2", "names", F.posexplode("matches").alias("pos", "match"))
+    known = F.get(F.filter("names", lambda n: F.array_contains(n["forms"], F.col("match"))), F.lit(0))
+    places = places.withColumns({"kind": kind_of(F.col("match")), "known": known})
+    parts = _parts(F.col("match"), F.col("kind"), F.col("known"))
+    places = written(places.select("h1", "h2", "pos", F.posexplode(parts).alias("nth", "part")).select("h1", "h2", "pos", "nth", "part.*"))
     surrogates = assign(written(places.select("kind", "norm").distinct()), key)
     shown = places.join(surrogates, ["kind", "norm"]).select(
         "h1", "h2", "pos", "nth", "kind",
-        F.concat("before", _formatted(F.col("match"), F.col("kind"), F.col("surrogate"))).alias("shown"),
+        F.concat("before", _formatted(F.col("raw"), F.col("kind"), F.col("surrogate"))).alias("shown"),
     )
     whole = shown.groupBy("h1", "h2", "pos").agg(
         F.sort_array(F.collect_set(F.struct("nth", "shown"))).alias("parts"), F.min_by("kind", "nth").alias("kind")
@@ -238,7 +287,7 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = "corpus
         F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds"),
     )
     pieces = F.zip_with(
-        F.split("text", _ANY, -1), F.col("shown.shown"), lambda piece, s: F.concat(piece, F.coalesce(s, F.lit("")))
+        F.split("text", F.col("pattern"), -1), F.col("shown.shown"), lambda piece, s: F.concat(piece, F.coalesce(s, F.lit("")))
     )
     changed = loud.join(told, ["h1", "h2"]).select(
         "row", F.array_join(pieces, "").alias("safe_text"), F.size("matches").cast("long").alias("n_entities"), "kinds"

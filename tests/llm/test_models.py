@@ -214,5 +214,32 @@ def test_surrogates_are_distinct(spark):
         assert luhn(digits) and digits not in cards
 
 
+def test_whole_names_and_untitled_mentions(spark):
+    texts = {
+        1: "Mr John Paul Smith met Mrs Anna Smith-Jones. Smith said that Jones's house, SMITH's and Anna's, was sold. Smithers stays.",
+        2: "Ms O'Brien and Mr J. McDonald: O'Brien left, McDonald stayed; Herr von Goethe, Goethe.",
+        3: "Smith, without a title.",
+    }
+    got, _ = replaced(spark, texts.items())
+    out = {i: r["safe_text"] for i, r in got.items()}
+    for i, name in [(1, "John"), (1, "Paul"), (1, "Jones"), (1, "Anna"), (2, "O'Brien"), (2, "McDonald"), (2, "Goethe"), (2, "J.")]:
+        assert name not in out[i], (name, out[i])
+    assert not re.search("(?i)smith(?!ers)", out[1]) and out[1].endswith("Smithers stays.") and out[3] == texts[3]
+    family, hyphened = re.match(r"Mr \S+ \S+ (\S+) met Mrs \S+ (\S+)\. ", out[1]).groups()
+    assert f" {family} said" in out[1] and f" {family.upper()}'s" in out[1] and hyphened.startswith(f"{family}-")
+    assert got[1]["n_entities"] == 6 and got[1]["kinds"] == "family:latin,given:latin:f,given:latin:m"
+
+
+def test_numeric_secrets(spark):
+    """Eight and nine digits are no phone numbers; many of them keep surrogates of their own."""
+    texts = [(i, f"password={12345600 + i}") for i in range(100)] + [(200, "token: 123456789"), (201, "secret=123-45678")]
+    got, _ = replaced(spark, texts)
+    shown = {i: r["safe_text"] for i, r in got.items()}
+    assert {r["kinds"] for r in got.values()} == {"secret"}
+    assert len(set(shown.values())) == len(texts) and not set(shown.values()) & {t for _, t in texts}
+    assert all(re.fullmatch(r"password=[0-9]{8}", shown[i]) for i in range(100))
+    assert re.fullmatch(r"token: [0-9]{9}", shown[200]) and re.fullmatch(r"secret=[0-9]{3}-[0-9]{5}", shown[201])
+
+
 def test_no_documents(spark):
     assert replaced(spark, [])[1] == []
