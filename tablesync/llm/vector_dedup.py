@@ -5,8 +5,11 @@ centroids, so that shards overlap; each shard builds a flat graph with robust
 pruning, and the neighbours that a node got in its shards are united. In each
 shard every member searches that graph: greedily from the medoid with a beam, and
 from the nodes in range on to their neighbours until no more are in range. Links
-are verified in double precision. The recall is audited against brute force for a
-bounded set of queries; as long as it is too low, the search is repeated wider.
+are verified in double precision. A link to a member of a shard that the other
+end was not dealt to leads on: the two shards are compared as a whole, until no
+link leads to two shards not yet compared. The recall is audited against brute
+force for bounded sets of queries, of any and of those with links; as long as it
+is too low, the search is repeated wider, and in the end it fails.
 """
 
 from __future__ import annotations
@@ -34,7 +37,8 @@ class Settings:
     These bound what is broadcast; all vectors are indexed and all are queries.
     A shard that outgrows ``shard`` is worked on in blocks, so that memory grows
     with its vectors and not with their square. ``audit`` queries, the first by a
-    hash of their id, are compared with all vectors.
+    hash of their id, are compared with all vectors, and so are as many with links,
+    half of them those with the most. A recall under ``least`` is an error.
     """
 
     shard: int = 1500
@@ -48,6 +52,7 @@ class Settings:
     beam: int = 32
     audit: int = 64
     recall: float = 0.95
+    least: float = 0.9
     tries: int = 3
     block: int = 1024
 
@@ -104,7 +109,9 @@ def _assigned(centroids: dict[int, np.ndarray], overlap: int, first: dict[int, i
                 at = np.flatnonzero(dims == d)
                 near = -(_matrix([units[i] for i in at]) @ centroids[int(d)].T)
                 k = min(overlap, near.shape[1])
-                best = np.sort(np.argpartition(near, k - 1, axis=1)[:, :k], axis=1) + first[int(d)]
+                best = np.argpartition(near, k - 1, axis=1)[:, :k]
+                order = np.argsort(np.take_along_axis(near, best, 1), axis=1, kind="stable")
+                best = np.take_along_axis(best, order, 1) + first[int(d)]  # the first is the home
                 for i, own in zip(at, best.astype(np.int32).tolist()):
                     shards[i] = own
             out = pa.array(shards, pa.list_(pa.int32()))
@@ -231,11 +238,13 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _search(s: Settings, radius: float):
-    """For each member of a shard: weight of the linked members that this shard counts, and links for components.
+def _shards_of(lists, overlap: int) -> np.ndarray:
+    return np.stack([np.pad(np.asarray(v, np.int64), (0, overlap - len(v)), constant_values=-1) for v in lists])
 
-    Two members share several shards; the smallest of them counts their link.
-    """
+
+def _search(s: Settings, radius: float):
+    """For each member of a shard: weight of the linked members at home there, a link for components,
+    and, in ``more``, the shards to be compared with its own home."""
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id")
@@ -252,21 +261,129 @@ def _search(s: Settings, radius: float):
         pairs = np.unique(np.concatenate(pairs))
         a, b = pairs // n, pairs % n
         a, b = a[a != b], b[a != b]
-        linked = np.einsum("pd,pd->p", x[a], x[b]) >= radius
+        linked = np.concatenate([np.empty(0, bool), *(
+            np.einsum("pd,pd->p", x[a[i : i + 65536]], x[b[i : i + 65536]]) >= radius for i in range(0, len(a), 65536)
+        )])
         a, b = a[linked], b[linked]
-        shards = np.stack([np.pad(np.asarray(v, np.int64), (0, s.overlap - len(v)), constant_values=-1) for v in frame["shards"]])
-        common = np.where((shards[a][:, :, None] == shards[b][:, None, :]).any(2) & (shards[a] >= 0), shards[a], 1 << 40)
-        counted = common.min(1) == own
-        links = np.zeros(n, np.int64)
-        np.add.at(links, a[counted], weight[b[counted]])
-        np.add.at(links, b[counted], weight[a[counted]])
-        tree = _roots(n, a, b)
-        near = {j: i for i, j in ((min(t), max(t)) for t in tree)}
-        return pd.DataFrame({"id": ids, "links": links, "to": [ids[near[k]] if k in near else None for k in range(n)]}).astype({"to": "Int64"})
+        shards = _shards_of(frame["shards"], s.overlap)
+        links, more = np.zeros(n, np.int64), [set() for _ in range(n)]
+        for one, two in ((a, b), (b, a)):
+            here = shards[two, 0] == own
+            np.add.at(links, one[here], weight[two[here]])
+            first = {}
+            for k in range(s.overlap):
+                codes, at = np.unique(shards[one, 0] * (1 << 32) + shards[two, k] + 1, return_index=True)
+                first |= dict(zip(codes.tolist(), one[at].tolist()))
+            for code, row in first.items():
+                home, shard = code >> 32, (code & 0xFFFFFFFF) - 1
+                if shard >= 0 and shard != home:
+                    more[row].add(shard)
+        near = {j: i for i, j in ((min(t), max(t)) for t in _roots(n, a, b))}
+        return pd.DataFrame({
+            "id": ids, "links": links, "to": [ids[near[k]] if k in near else None for k in range(n)],
+            "home": shards[:, 0], "more": [sorted(m) for m in more],
+        }).astype({"to": "Int64"})
 
     return search
 
 
+def _blocks(s: Settings):
+    """The vectors at home in a shard, packed in rows of at most ``block``."""
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("id")
+        parts = [frame.iloc[i : i + s.block] for i in range(0, len(frame), s.block)]
+        return pd.DataFrame({
+            "home": [int(p["home"].iloc[0]) for p in parts],
+            "ids": [p["id"].to_numpy() for p in parts],
+            "weights": [p["weight"].to_numpy() for p in parts],
+            "units": [b"".join(p["unit"]) for p in parts],
+            "shards": [_shards_of(p["shards"], s.overlap).ravel() for p in parts],
+        })
+
+    return pack
+
+
+def _compared(radius: float):
+    """All vectors of one shard against all of another; what the searches have counted is left out.
+
+    A task sums up what it finds, so that its rows grow with the vectors it sees.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links: dict[int, int] = {}
+        parent: dict[int, int] = {}
+        more: set[tuple[int, int]] = set()
+
+        def find(i: int) -> int:
+            while parent.setdefault(i, i) != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                side = []
+                for c in "ab":
+                    value = {k: batch.column(f"{c}_{k}")[row] for k in ("home", "ids", "weights", "units", "shards")}
+                    ids = np.array(value["ids"].values)
+                    units = np.frombuffer(value["units"].as_py(), np.float64).reshape(len(ids), -1)
+                    shards = np.array(value["shards"].values).reshape(len(ids), -1)
+                    side.append((value["home"].as_py(), ids, np.array(value["weights"].values), units, shards))
+                linked = side[0][3] @ side[1][3].T >= radius
+                if not linked.any():
+                    continue
+                for (home, ids, _, _, shards), (other, _, weights, _, theirs), found in (
+                    (side[0], side[1], linked), (side[1], side[0], linked.T)
+                ):
+                    fresh = ~(shards == other).any(1)
+                    for i, n in zip(ids[fresh].tolist(), (found[fresh] @ weights).tolist()):
+                        if n:
+                            links[i] = links.get(i, 0) + n
+                    met = np.unique(theirs[found.any(0)])
+                    more |= {(min(home, m), max(home, m)) for m in met.tolist() if m >= 0 and m != home}
+                one, two = side[0][1], side[1][1]
+                before = None
+                while before is None or (one != before[0]).any() or (two != before[1]).any():
+                    before = one, two
+                    one = np.minimum(one, np.where(linked, two[None], 1 << 62).min(1))
+                    two = np.minimum(two, np.where(linked, one[:, None], 1 << 62).min(0))
+                for i, j in zip([*side[0][1].tolist(), *side[1][1].tolist()], [*one.tolist(), *two.tolist()]):
+                    if i != j:
+                        i, j = find(i), find(j)
+                        parent[max(i, j)] = min(i, j)
+        ids = sorted({*links, *parent})
+        some = sorted(more)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*ids, *[None] * len(some)], pa.int64()), pa.array([*(links.get(i, 0) for i in ids), *[0] * len(some)], pa.int64()),
+             pa.array([*(find(i) if i in parent else None for i in ids), *[None] * len(some)], pa.int64()),
+             pa.array([*[None] * len(ids), *(a for a, _ in some)], pa.int32()), pa.array([*[None] * len(ids), *(b for _, b in some)], pa.int32())],
+            names=["id", "links", "to", "a", "b"],
+        )
+
+    return compare
+
+
+def _across(placed: DataFrame, searched: DataFrame, s: Settings, radius: float) -> DataFrame:
+    """``id``, ``links`` and ``to`` of the searches, and of the pairs of shards that links lead to."""
+    out = searched.select("id", "links", "to")
+    a, b = F.least("home", "shard"), F.greatest("home", "shard")
+    left = written(searched.select("home", F.explode("more").alias("shard")).select(a.alias("a"), b.alias("b")).distinct())
+    if left.isEmpty():
+        return out
+    kind = "home int, ids array<long>, weights array<long>, units binary, shards array<int>"
+    blocks = written(placed.withColumn("home", F.get("shards", F.lit(0))).groupBy("home").applyInPandas(_blocks(s), kind))
+    one, two = (blocks.select(*(F.col(n).alias(f"{c}_{n}") for n in blocks.columns)) for c in "ab")
+    done = left
+    while not left.isEmpty():
+        pairs = left.join(one, F.col("a") == F.col("a_home")).join(two, F.col("b") == F.col("b_home")).drop("a", "b")
+        found = written(map_batches(pairs, _compared(radius), "id long, links long, `to` long, a int, b int"))
+        out = out.union(found.where("id is not null").select("id", "links", "to"))
+        left = written(found.where("a is not null").select("a", "b").distinct().join(done, ["a", "b"], "left_anti"))
+        done = done.union(left)
+    return out
+
+
 def _exact(queries: np.ndarray, radius: float, digests: list[bytes]):
     """Links of the audited queries, by brute force in blocks of all vectors."""
 
@@ -283,6 +400,25 @@ def _exact(queries: np.ndarray, radius: float, digests: list[bytes]):
     return count
 
 
+def _recall(nodes: DataFrame, placed: DataFrame, links: DataFrame, s: Settings, radius: float, truth: dict[int, int]) -> float:
+    """Share of the links of the audited vectors that were found; ``truth`` keeps what brute force has counted."""
+    order = F.xxhash64("digest", F.lit(1))
+    counted = nodes.join(links, "id", "left").select("id", "unit", "digest", "weight", F.coalesce("links", F.lit(0)).alias("links"))
+    some = counted.where("links > 0")
+    parts = (counted.orderBy(order).limit(s.audit), some.orderBy(order).limit(s.audit - s.audit // 2),
+             some.orderBy(F.desc("links"), order).limit(s.audit // 2))
+    audited = {r["id"]: r for part in parts for r in part.collect()}
+    new = [r for i, r in audited.items() if i not in truth]
+    for d in {len(r["unit"]) for r in new}:
+        own = [r for r in new if len(r["unit"]) == d]
+        queries, ids = _matrix([bytes(r["unit"]) for r in own]), {bytes(r["digest"]): r["id"] for r in own}
+        counts = map_batches(placed.select("unit", "weight"), _exact(queries, radius, [bytes(r["digest"]) for r in own]), "digest binary, n long")
+        truth.update({ids[bytes(r["digest"])]: r["n"] for r in counts.groupBy("digest").agg(F.sum("n").alias("n")).collect()})
+    wanted = {i: truth[i] - r["weight"] for i, r in audited.items()}
+    total = sum(wanted.values())
+    return sum(min(audited[i]["links"], n) for i, n in wanted.items()) / total if total else 1.0
+
+
 def near_vectors(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -308,36 +444,31 @@ def near_vectors(
         F.min("id").alias("id"), F.count("*").alias("weight"), F.min_by("unit", "id").alias("unit"), F.first("dims").alias("dims")
     ))
 
-    centroids, first, at = {}, {}, 0
-    for row in nodes.groupBy("dims").agg(F.count("*").alias("n")).orderBy("dims").collect():
-        sample = nodes.where(F.col("dims") == row["dims"]).orderBy(F.xxhash64("digest")).limit(s.sample)
-        x = _matrix([bytes(r["unit"]) for r in sample.select("unit").collect()])
-        k = int(min(s.max_shards, max(1, row["n"] * s.overlap // s.shard), len(x)))
-        centroids[row["dims"]], first[row["dims"]], at = fit_centroids(x, k, s.rounds), at, at + k
-    placed = map_batches(nodes.select("id", "unit", "dims"), _assigned(centroids, s.overlap, first), "id long, unit binary, shards array<int>")
-    placed = written(placed.join(nodes.select("id", "weight"), "id"))
-
-    members = placed.select("id", "unit", "weight", "shards", F.explode("shards").alias("shard"))
-    graphs = members.select("id", "unit", "shard").groupBy("shard").applyInPandas(_build(s), "id long, near array<long>")
-    graph = written(graphs.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
-    audited = nodes.orderBy(F.xxhash64("digest", F.lit(1))).limit(s.audit).select("id", "unit", "digest", "weight").collect()
-    truth: dict[bytes, int] = {}
-    for d in {len(r["unit"]) for r in audited}:
-        own = [r for r in audited if len(r["unit"]) == d]
-        queries = _matrix([bytes(r["unit"]) for r in own])
-        counts = map_batches(placed.select("unit", "weight"), _exact(queries, radius, [bytes(r["digest"]) for r in own]), "digest binary, n long")
-        truth |= {bytes(r["digest"]): r["n"] for r in counts.groupBy("digest").agg(F.sum("n").alias("n")).collect()}
-    wanted = {r["id"]: truth[bytes(r["digest"])] - r["weight"] for r in audited}
-
+    sizes = nodes.groupBy("dims").agg(F.count("*").alias("n")).orderBy("dims").collect()
+    truth: dict[int, int] = {}
     for _ in range(s.tries):
-        searched = members.join(graph, "id").groupBy("shard").applyInPandas(_search(s, radius), 'id long, links long, `to` long')
-        searched = written(searched)
-        links = searched.groupBy("id").agg(F.sum("links").alias("links"))
-        got = {r["id"]: r["links"] for r in links.where(F.col("id").isin(list(wanted))).collect()}
-        recall = sum(min(got.get(i, 0), n) for i, n in wanted.items()) / max(1, sum(wanted.values())) if sum(wanted.values()) else 1.0
+        centroids, first, at = {}, {}, 0
+        for row in sizes:
+            sample = nodes.where(F.col("dims") == row["dims"]).orderBy(F.xxhash64("digest")).limit(s.sample)
+            x = _matrix([bytes(r["unit"]) for r in sample.select("unit").collect()])
+            k = int(min(s.max_shards, max(1, row["n"] * s.overlap // s.shard), len(x)))
+            centroids[row["dims"]], first[row["dims"]], at = fit_centroids(x, k, s.rounds), at, at + k
+        placed = map_batches(nodes.select("id", "unit", "dims"), _assigned(centroids, s.overlap, first), "id long, unit binary, shards array<int>")
+        placed = written(placed.join(nodes.select("id", "weight"), "id"))
+
+        members = placed.select("id", "unit", "weight", "shards", F.explode("shards").alias("shard"))
+        graphs = members.select("id", "unit", "shard").groupBy("shard").applyInPandas(_build(s), "id long, near array<long>")
+        graph = written(graphs.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
+        kind = "id long, links long, `to` long, home int, more array<int>"
+        searched = written(members.join(graph, "id").groupBy("shard").applyInPandas(_search(s, radius), kind))
+        searched = _across(placed, searched, s, radius)
+        links = written(searched.groupBy("id").agg(F.sum("links").alias("links")))
+        recall = _recall(nodes, placed, links, s, radius, truth)
         if recall >= s.recall:
             break
-        s = replace(s, beam=2 * s.beam)
+        s = replace(s, beam=2 * s.beam, overlap=s.overlap + 1)
+    if recall < s.least:
+        raise RuntimeError(f"only {recall:.3f} of the links of the audited vectors were found")
     joined = components(searched.where("`to` is not null").select(F.col("id").alias("a"), F.col("to").alias("b"))).toDF("node", "component")
     found = nodes.select("digest", F.col("id").alias("node"), "weight").join(links.toDF("node", "links"), "node").join(joined, "node", "left")
     found = written(found.select("digest", (F.col("links") + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component")))

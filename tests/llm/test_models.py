@@ -150,6 +150,24 @@ def test_near_vectors(spark):
         assert got[i]["component"] % 60 == i % 60 or i >= 2000
 
 
+def test_dense_group_over_many_shards(spark):
+    """Different vectors, all linked, in far more shards than each is dealt to."""
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(16)
+    rows = [(i, (centre + 0.05 * rng.standard_normal(16)).tolist()) for i in range(600)]
+    rows += [(600 + i, rng.standard_normal(16).tolist()) for i in range(1200)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    settings = vector_dedup.Settings(shard=100, tries=1)
+    got = {r["id"]: r for r in vector_dedup.near_vectors(vectors, settings=settings).collect()}
+    x = np.array([v for _, v in rows])
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    truth = (x @ x.T >= 0.95).sum(1) - 1
+    links = np.array([got[i]["n_links"] for i, _ in rows])
+    assert truth[:600].min() > 500 and (links <= truth).all()
+    assert links.sum() >= 0.98 * truth.sum() and got[0]["audited_recall"] >= 0.95
+    assert {got[i]["component"] for i in range(600)} == {0}
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_dedup.near_vectors(empty).collect() == []
