@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import ahocorasick
@@ -12,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.llm.frames import bytes_of, map_batches, packed, text_of
+from tablesync.llm.frames import bytes_of, discard, map_batches, packed, text_of, written
 
 WINDOW = 13
-MAX_AUTOMATON_BYTES = 32 << 20
+#: Of distinct windows, which are the patterns; each byte takes a node of about 40 bytes at most in every worker.
+MAX_AUTOMATON_BYTES = 8 << 20
 
 #: Bytes that are not in a word become blanks, A-Z become a-z.
 _FOLD = bytes(
@@ -114,23 +114,34 @@ def _merged(ranges: list[tuple[int, int]]) -> list[dict]:
     return out
 
 
-def _patterns(bench: DataFrame, size: int, max_bytes: int) -> list[list[tuple[str, tuple[str, ...]]]]:
-    """Windows with their items, in parts of at most ``max_bytes`` of item text each.
+def _item_windows(size: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), bytes_of(batch, "text")):
+                own = list(dict.fromkeys(windows(text, size)))
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array([item] * len(own), pa.string())], names=["window", "item"])
+
+    return cut
+
 
-    Each part of the items comes to the driver by itself, so no more than the
-    bound is ever broadcast at once; a larger benchmark takes several scans.
+def _patterns(bench: DataFrame, size: int, max_bytes: int) -> Iterator[list[tuple[str, tuple[str, ...]]]]:
+    """Distinct windows with their items, in parts of about ``max_bytes`` of windows and names of items each.
+
+    Windows are cut, deduplicated and summed up in Spark and dealt to the parts
+    by their hash. A part comes to the driver when it is asked for, so no more
+    than the bound is there or broadcast at once; a larger benchmark takes
+    several scans. Without windows there is one empty part.
     """
-    total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cut = map_batches(bench, _item_windows(size), "window binary, item string")
+    kept = written(cut.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items")))
+    size_of = F.octet_length("window") + F.octet_length(F.array_join("items", ""))
+    total = kept.agg(F.sum(size_of)).first()[0] or 0
     parts = -(-total // max_bytes) or 1
-    out = []
     for part in range(parts):
-        items = bench.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).collect()
-        by_window: dict[bytes, set[str]] = defaultdict(set)
-        for r in items:
-            for window in windows(r["text"].encode(), size):
-                by_window[window].add(r["item"])
-        out.append([(w.decode("latin-1"), tuple(sorted(i))) for w, i in by_window.items()])
-    return out
+        own = kept.where(F.pmod(F.xxhash64("window"), F.lit(parts)) == part).collect()
+        if own or parts == 1:
+            yield [(bytes(r["window"]).decode("latin-1"), tuple(r["items"])) for r in own]
+    discard(kept)
 
 
 def find_benchmark(
@@ -146,7 +157,10 @@ def find_benchmark(
 
     All windows of all items form one Aho-Corasick automaton, which passes over
     the folded text once; ``spans`` holds the character offsets of the hit runs
-    in the original text. No shuffle: documents stay where they are read.
+    in the original text. No shuffle: documents stay where they are read. Windows
+    of more than ``max_automaton_bytes`` take an automaton and a scan for each
+    part, and what is found so far is written in between, so that a worker has
+    one automaton at a time.
     ``contaminated``: some word is hit, and hit words are a twentieth or more.
 
     Null and empty texts have no words. Items without words or without id match
@@ -163,8 +177,17 @@ def find_benchmark(
     )
     sc = docs.sparkSession.sparkContext
     schema = state.schema
+    scanned = before = None
     for part in _patterns(items, window, max_automaton_bytes):
-        state = map_batches(state, _scanner(_Patterns(sc.broadcast(part))), schema)
+        if scanned is not None:
+            state = written(scanned)
+            last.unpersist()
+            if before is not None:
+                discard(before)
+            before = state
+        last = sc.broadcast(part)
+        scanned = map_batches(state, _scanner(_Patterns(last)), schema)
+    state = scanned
     hit = map_batches(state, _located, _located_schema(schema))
     return hit.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
 

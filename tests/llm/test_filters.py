@@ -155,6 +155,22 @@ def test_empty_benchmark(spark):
     assert [(r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in found] == [(2, 0, [], False)]
 
 
+def test_large_benchmark_comes_in_bounded_parts(spark):
+    """The bound holds for what the automaton is built from, windows, and not for the text of the items."""
+    items = [(str(i), " ".join(f"w{i}x{k}" for k in range(60))) for i in range(30)]
+    items += [("copy", items[0][1])]
+    bench = spark.createDataFrame(items, "item string, text string")
+    bound = 20_000
+    sizes, seen = [], {}
+    for part in decontaminate._patterns(bench, 13, bound):
+        sizes.append(sum(len(w) for w, _ in part))
+        assert not seen.keys() & {w for w, _ in part}
+        seen |= dict(part)
+    assert sum(len(t) for _, t in items) < bound < max(sum(sizes) / 5, bound + 1) and max(sizes) < 1.5 * bound
+    assert seen.keys() == {w.decode() for _, t in items for w in decontaminate.windows(t.encode(), 13)}
+    assert seen[decontaminate.windows(items[0][1].encode(), 13)[0].decode()] == ("0", "copy")
+
+
 def test_licences(spark):
     mit = "Released under the MIT License. Enjoy.\nSee the GNU General Public License for more details."
     rows = [(1, mit), (2, None), (3, ""), (4, "This work is licensed under the GNU General Public License, version 3."),
