@@ -2,6 +2,8 @@
 
 Texts are cut into sentences, sentences are normalised, known ones become
 identifiers, and the sequence of identifiers is matched against ordered rules.
+A known sentence may run over several of the cuts: published texts are wrapped,
+and hold colons, semicolons and abbreviations.
 """
 
 from __future__ import annotations
@@ -78,6 +80,19 @@ def sentences(text: Column) -> Column:
     return F.filter(plain, lambda s: s != "")
 
 
+#: Words that mark comments, in front of a line.
+_MARKS = r"(?<=\n)(?:dnl|rem)(?: |(?=\n))"
+
+
+def known_runs(parts: Column, known: dict[str, str]) -> Column:
+    """The known sentences in order; each begins and ends with a piece, whatever cuts lie between."""
+    line = F.concat(F.lit("\n"), F.array_join(parts, "\n"), F.lit("\n"))
+    line = F.regexp_replace(F.regexp_replace(line, _MARKS, ""), r"\bhttps\b", "http")
+    runs = "|".join(k.replace(" ", r"[ \n]+") for k in sorted(known, key=len, reverse=True))
+    found = F.regexp_extract_all(line, F.lit(rf"(?<=\n)(?:(?:[0-9]{{1,2}}|[a-z]) )?({runs})(?=\n)"), F.lit(1))
+    return F.transform(found, lambda s: F.regexp_replace(s, r"\n+", " "))
+
+
 def _tag(names: list[str]) -> str:
     return "".join(f"<{n}>" for n in names)
 
@@ -91,7 +106,9 @@ def scan_licenses(
     """``row``, ``n_sentences``, ``sentence_ids`` and ``licenses`` of every row.
 
     Built-in functions within the row: no shuffle, and hot sources or sentences
-    make no difference. Sentences that are not known are left out of the
+    make no difference. Known sentences are also found wrapped over lines, behind
+    comment marks and numbers of a list, and over the cuts inside them, though
+    ``n_sentences`` counts each piece. Sentences that are not known are left out of the
     sequence, so a licence may be interrupted by other text. ``licenses`` names
     each licence once, in the order of the rules. Null and empty texts have no
     sentences.
@@ -99,7 +116,7 @@ def scan_licenses(
     names = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
     base = packed(docs, text=text_col).withColumn("parts", sentences(text_of()))
     base = base.withColumn(
-        "ids", F.filter(F.transform("parts", lambda s: names[s]), lambda i: i.isNotNull())
+        "ids", F.filter(F.transform(known_runs(F.col("parts"), known), lambda s: names[s]), lambda i: i.isNotNull())
     )
     joined = F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
     table = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(_tag(s)).alias("tag")) for n, s in rules))
