@@ -1,7 +1,8 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling.
 
 A word enters as its own vector, if it was frequent among the training words,
-beside the mean vector of its character trigrams. The network reads a window of
+beside the mean vector of all its character trigrams. Long runs without a blank
+enter as several overlapping words. The network reads a window of
 words in both directions, attention pools the states, and a logistic output
 scores the window. All overlapping windows of a text are scored; the largest
 counts, and a logistic curve fitted on whole documents turns it into the score.
@@ -9,6 +10,7 @@ counts, and a logistic curve fitted on whole documents turns it into the score.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -20,12 +22,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.llm.decontaminate import words as words_of
+from tablesync.llm.decontaminate import words as folded_words
 from tablesync.llm.frames import bytes_of, map_batches, packed, text_of, written
 
 WINDOW, STEP = 64, 32
-_GRAMS, _CHAR_BUCKETS = 10, 4096
+_CHAR_BUCKETS = 4096
 _BLOCK = 1024
+#: Words of more than ``_LONG`` bytes are cut after every ``_PIECE``; two bytes overlap, so no trigram is lost.
+_LONG, _PIECE = 48, 16
+#: Blanks, dashes, quotes and full stops beyond ASCII.
+_BETWEEN = re.compile(rb"\xc2[\xa0\xab\xbb]|\xe2\x80[\x80-\xaf]|\xe3\x80[\x80-\x82]|\xef\xbc[\x81\x8c\x9a\x9b\x9f]")
 
 
 @dataclass(frozen=True)
@@ -50,6 +56,14 @@ class Settings:
     seed: int = 5
 
 
+def words_of(text: bytes) -> list[bytes]:
+    """Words as the network reads them; every byte of a word is in one of them."""
+    own = folded_words(text if text.isascii() else _BETWEEN.sub(b" ", text))
+    if not own or max(map(len, own)) <= _LONG:
+        return own
+    return [p for w in own for p in ([w] if len(w) <= _LONG else [w[i : i + _PIECE + 2] for i in range(0, len(w) - 2, _PIECE)])]
+
+
 def window_bounds(n_words: int) -> list[tuple[int, int]]:
     """All windows of ``WINDOW`` words, ``STEP`` apart; the last one reaches the end."""
     if n_words <= WINDOW:
@@ -59,23 +73,25 @@ def window_bounds(n_words: int) -> list[tuple[int, int]]:
 
 
 def _grams(word: bytes) -> list[int]:
-    """Buckets (from 1) of the first, last and evenly spaced trigrams of a word."""
+    """Buckets of all trigrams of a word."""
     marked = b"^" + word + b"$"
-    starts = range(max(1, len(marked) - 2))
-    if len(starts) > _GRAMS:
-        starts = [round(i * (len(starts) - 1) / (_GRAMS - 1)) for i in range(_GRAMS)]
-    return [1 + xxhash.xxh32_intdigest(marked[s : s + 3]) % _CHAR_BUCKETS for s in starts]
+    return [xxhash.xxh32_intdigest(marked[s : s + 3]) % _CHAR_BUCKETS + 1 for s in range(len(marked) - 2)]
 
 
 def _features(words: list[bytes], known: dict[bytes, int]):
-    """Word numbers, trigram buckets (0: none) and trigram weights."""
+    """Word numbers, the trigram buckets of all words behind each other, and how many each word has."""
     ids = np.array([known.get(w, 0) for w in words], np.int64)
-    grams = np.zeros((len(words), _GRAMS), np.int64)
-    for row, word in enumerate(words):
-        own = _grams(word)
-        grams[row, : len(own)] = own
-    weights = (grams > 0).astype(np.float32)
-    return ids, grams, weights / np.maximum(weights.sum(1, keepdims=True), 1)
+    grams = [_grams(w) for w in words]
+    sizes = np.fromiter(map(len, grams), np.int64, len(grams))
+    return ids, np.fromiter((g for own in grams for g in own), np.int64, int(sizes.sum())), sizes
+
+
+def _picked(features, used: np.ndarray):
+    """The features of some words."""
+    ids, grams, sizes = features
+    starts, own = np.cumsum(sizes) - sizes, sizes[used]
+    at = np.arange(own.sum()) + np.repeat(starts[used] - (np.cumsum(own) - own), own)
+    return ids[used], grams[at], own
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -110,10 +126,17 @@ class Network:
             "out_b": np.zeros(1, np.float32),
         })
 
-    def inputs(self, ids, grams, gram_weights) -> np.ndarray:
+    def inputs(self, ids, grams, sizes) -> np.ndarray:
         p = self.weights
-        chars = np.einsum("ngc,ng->nc", p["char"][grams], gram_weights)
-        return np.concatenate([p["word"][ids], chars], axis=1)
+        out = np.empty((len(ids), p["word"].shape[1] + p["char"].shape[1]), p["char"].dtype)
+        out[:, : p["word"].shape[1]] = p["word"][ids]
+        ends = np.cumsum(sizes)
+        for i in range(0, len(ids), 8192):  # the vectors of all trigrams would take much memory
+            own, start = sizes[i : i + 8192], ends[i] - sizes[i]
+            stop = ends[i + len(own) - 1]
+            sums = np.add.reduceat(p["char"][grams[start:stop]], np.cumsum(own) - own, axis=0)
+            out[i : i + 8192, p["word"].shape[1] :] = sums / own[:, None].astype(sums.dtype)
+        return out
 
     def projected(self, x: np.ndarray) -> np.ndarray:
         """What a word adds to the gates, for both directions."""
@@ -161,8 +184,8 @@ class Network:
         p = self.weights
         used, local = np.unique(index, return_inverse=True)
         local = local.reshape(index.shape)
-        ids, grams, gram_weights = (f[used] for f in features)
-        x = self.inputs(ids, grams, gram_weights)
+        ids, grams, sizes = _picked(features, used)
+        x = self.inputs(ids, grams, sizes)
         gates, kept = self.projected(x), []
         states = self.states(gates, local, mask, kept)
         both, hidden, share, pool, logit = self.pooled(states, mask)
@@ -205,7 +228,7 @@ class Network:
         g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
         np.add.at(g["word"], ids, d_word_input[:, :words])
         g["word"][0] = 0
-        np.add.at(g["char"], grams, gram_weights[..., None] * d_word_input[:, None, words:])
+        np.add.at(g["char"], grams, np.repeat(d_word_input[:, words:] / sizes[:, None].astype(x.dtype), sizes, axis=0))
         g["char"][0] = 0
         return g
 

@@ -86,6 +86,22 @@ def test_windows_cover_the_text(n):
     assert all(b - a <= toxicity.WINDOW for a, b in bounds)
 
 
+def test_every_byte_is_scored():
+    """All trigrams of long words, and of runs without blanks as in Chinese, are read; other separators part words."""
+    net = toxicity.Network.fresh({}, toxicity.Settings())
+    for word in (b"donaudampfschifffahrt", "Überschwemmungsgebiet".lower().encode()):
+        means = {net.inputs(*toxicity._features([w], {}))[0].tobytes() for k in range(len(word)) for w in [word[:k] + b"~" + word[k + 1 :]]}
+        assert len(means) == len(word)  # no place without effect
+    run = ("这是一个很长的句子" * 200).encode()
+    pieces = toxicity.words_of(run)
+    assert max(map(len, pieces)) <= toxicity._LONG and len(pieces) > 2 * toxicity.WINDOW
+    for k in (0, 17, 1000, 2701, len(run) - 1):
+        assert toxicity.words_of(run[:k] + b"\x80" + run[k + 1 :]) != pieces or run[k : k + 1] == b"\x80"
+    grams = {run[i : i + 3] for i in range(len(run) - 2)}
+    assert grams <= {p[i : i + 3] for p in pieces for i in range(len(p) - 2)}
+    assert toxicity.words_of("a\u00a0b\u3000c\u2014d “e”".encode()) == [b"a", b"b", b"c", b"d", b"e"]
+
+
 def toxic_corpus(n: int):
     rng = random.Random(1)
     docs, labels = [], []
