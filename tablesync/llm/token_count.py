@@ -9,9 +9,12 @@ encoding of a prefix is unique, and two tokens may follow each other exactly if
 encoding their joined bytes gives the two again. States and transitions are
 compiled when they are first needed and kept by the worker, up to a bound.
 
-A long text is cut into chunks. Each has a state map: what it does to any state
-in which it may be entered. Maps compose, and a prefix scan over them gives the
-count of the whole.
+A long text is cut into chunks. The map of a chunk is no table over the states in
+which it may be entered: it holds the text before its first and after its last
+boundary of words, and the tokens between, which no neighbour changes. A fold over
+the chunks counts what lies between their boundaries and keeps only a running
+total and the text that is still open. Blanks and digits are boundaries; a run
+without any is counted in one go.
 """
 
 from __future__ import annotations
@@ -37,7 +40,10 @@ _SPACE = r"\t-\r \x85\xa0"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: Beyond this range the library itself normalises and cuts into words, in its own version of Unicode.
 _BEYOND = regex.compile("[^\x00-ſ]")
-_CUT = regex.compile(rf"[{_SPACE}]")
+#: White space parts words, and each digit is a word of its own, whatever stands beside it.
+_CUT = regex.compile(rf"[{_SPACE}0-9]")
+#: Longer words are counted anew each time, as keeping them would take much memory.
+_KEPT_BYTES = 1024
 
 
 def _byte_characters() -> dict[str, int]:
@@ -149,15 +155,17 @@ class Transducer:
         if known is None:
             if len(self.states) > MAX_STATES or len(self.words) > MAX_WORDS:
                 self.forget()
-            known = self.words[word] = self.run(word)[1]
+            known = self.run(word)[1]
+            if len(word) <= _KEPT_BYTES:
+                self.words[word] = known
         return known
 
 
 @dataclass(frozen=True)
 class ChunkMap:
-    """What a chunk does to the run of letters it is entered in.
+    """What a chunk does to the open text it is entered in.
 
-    ``head`` and ``tail`` are the letters before the first and after the last
+    ``head`` and ``tail`` are the texts before the first and after the last
     word boundary, ``inner`` the tokens between. Without any boundary the chunk
     is all ``head`` and ``tail`` is None.
     """
@@ -178,17 +186,18 @@ class Counter:
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
 
-    def words(self, text: str) -> list[bytes]:
+    def words(self, text: str) -> Iterator[bytes]:
         if _BEYOND.search(text) is None:
-            return [w.encode() for w in _WORD.findall(text.lower())]
+            found = _WORD.findall(text.lower()) if len(text) <= CHUNK else (m[0] for m in _WORD.finditer(text.lower()))
+            return (w.encode() for w in found)
         pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-        return [bytes(_BYTES[c] for c in piece) for piece, _ in pieces]
+        return (bytes(_BYTES[c] for c in piece) for piece, _ in pieces)
 
     def plain(self, text: str) -> int:
         return sum(map(self.transducer.count, self.words(text)))
 
     def map_of(self, chunk: str) -> ChunkMap:
-        """The state map of a chunk. Boundaries that no neighbour can shift are white space."""
+        """The map of a chunk. Boundaries that no neighbour can shift are white space and digits."""
         first = _CUT.search(chunk)
         if first is None:
             return ChunkMap(chunk, 0, None)
@@ -216,8 +225,14 @@ class Counter:
     def segment(self, text: str) -> int:
         if len(text) <= CHUNK:
             return self.plain(text)
-        whole = self.scanned([self.map_of(text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)])[-1]
-        return self.plain(whole.head) + whole.inner + self.plain(whole.tail or "")
+        total, open_ = 0, []
+        for i in range(0, len(text), CHUNK):
+            own = self.map_of(text[i : i + CHUNK])
+            open_.append(own.head)
+            if own.tail is not None:
+                total += self.plain("".join(open_)) + own.inner
+                open_ = [own.tail]
+        return total + self.plain("".join(open_))
 
     def count(self, text: str) -> int:
         if self.special is None or "<|" not in text:

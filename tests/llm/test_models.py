@@ -48,6 +48,22 @@ def test_chunk_maps_compose(library):
         assert total == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_long_unbroken_texts_take_linear_memory(library):
+    """Neither prefixes nor words of a long text are kept; digits part chunks."""
+    import tracemalloc
+
+    counter = token_count.Counter(public_tokenizers.path(FILE))
+    letters, mixed = "ab" * 2_000_000, "aGVsbG8gd29ybGQ1/Zz=+x" * 100_000
+    for text in (letters, mixed):
+        expected = len(library.encode(text, add_special_tokens=False).ids)
+        tracemalloc.start()
+        assert counter.count(text) == expected
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 8 * len(text)
+    assert max(map(len, counter.transducer.words)) <= token_count._KEPT_BYTES
+
+
 def test_forgetting_changes_nothing(monkeypatch, library):
     monkeypatch.setattr(token_count, "MAX_STATES", 50)
     counter = token_count.Counter(public_tokenizers.path(FILE))
