@@ -27,11 +27,16 @@ def interim_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-interim"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table written to the shared folder: lineage ends there, and joins see a plain scan."""
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` as a table written to the shared folder: lineage ends there, and joins see a plain scan.
+
+    ``by``: columns that get folders, for tables of which parts are read.
+    """
     spark = df.sparkSession
     path = f"{interim_root(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if by:
+        df = df.hint("rebalance", *by)
+    df.write.partitionBy(*by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.interim_path = path
     return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablesync.llm import license_scan
+from tablesync.llm.conversation_trie import prefix_trie
 from tablesync.llm.decontaminate import find_benchmark
 from tablesync.llm.frames import table
 from tablesync.llm.jaccard_join import jaccard_components
@@ -88,6 +89,13 @@ def op10_decontaminate(spark, sf):
     )
 
 
+def op13_prefix_trie(spark, sf):
+    return prefix_trie(table(spark, sf, "conversations")).select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs",
+        "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_license_scan": op1_license_scan,
@@ -100,6 +108,7 @@ def queries() -> dict:
         "op8_surrogates": op8_surrogates,
         "op9_source_mix": op9_source_mix,
         "op10_decontaminate": op10_decontaminate,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -184,6 +193,47 @@ _MIX = r"""
     FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM copies)"""
 
 
+_TRIE = """
+    WITH t AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+            md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+        FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS donor, xor(4294967295::UBIGINT, list_reduce(
+            list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::UBIGINT),
+            lambda crc, d: list_reduce(
+                list_transform(range(8), lambda i: i::UBIGINT),
+                lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, d)),
+            4294967295::UBIGINT)) % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM t)),
+    turns AS (
+        SELECT c.conv_id, 1 AS part, pos, role, text FROM c JOIN t USING (conv_id) WHERE pos > h
+        UNION ALL SELECT c.conv_id, 0, pos, role, text FROM c JOIN t ON t.conv_id = donor WHERE pos <= h),
+    seqs AS (
+        SELECT conv_id, list({'role': role, 'text': text} ORDER BY part, pos) FILTER (part IS NOT NULL) AS seq
+        FROM c LEFT JOIN turns USING (conv_id) GROUP BY conv_id),
+    member AS (SELECT conv_id, coalesce(len(seq), 0) AS n, seq, unnest(range(0, coalesce(len(seq), 0) + 1)) AS depth FROM seqs),
+    node AS (
+        SELECT depth, coalesce(seq[:depth], []) AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+        FROM member GROUP BY ALL),
+    family AS (
+        SELECT p.depth, p.path, count(*) AS n_children FROM node p
+        JOIN node k ON k.depth = p.depth + 1 AND coalesce(k.path[:k.depth - 1], []) = p.path GROUP BY ALL),
+    full_node AS (
+        SELECT node.*, coalesce(n_children, 0) AS n_children,
+               (n_convs - 1) * CASE WHEN depth > 0 THEN strlen(path[depth].text) ELSE 0 END AS saved
+        FROM node LEFT JOIN family USING (depth, path)),
+    above AS (SELECT saved, n_children, path, unnest(range(0, depth + 1)) AS depth FROM full_node),
+    below AS (
+        SELECT depth, coalesce(path[:depth], []) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+        FROM above GROUP BY ALL)
+    SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+    FROM full_node f JOIN below USING (depth, path)
+    LEFT JOIN node p ON p.depth = f.depth - 1 AND p.path = coalesce(f.path[:f.depth - 1], [])"""
+
+
 def oracle_sql() -> dict:
     return {
         "op1_license_scan": license_scan.oracle_sql(),
@@ -191,4 +241,5 @@ def oracle_sql() -> dict:
         "op7_line_dedup": _LINES,
         "op9_source_mix": _MIX,
         "op10_decontaminate": _BENCH,
+        "op13_prefix_trie": _TRIE,
     }
