@@ -8,12 +8,14 @@ The trie is then peeled from its greatest depth upwards. At each depth the nodes
 that survived from below, stripped of their last turn, meet the conversations that
 end there; one grouping merges them into nodes and sums up what their subtrees
 hold, so nodes are discovered and aggregated in the same pass. Equal conversations
-are one row from the start, and a grouping sums up partly before it shuffles, so
-neither copies nor a first turn that many share make a hot task.
-
-Nodes carry the keys of their next ``BAND`` prefixes only. A band of depths is one
-Spark job; its nodes are written, those of its lowest depth start the next band.
-There is one grouping for each depth, so time grows with the longest conversation.
+are one row from the start.
+
+``BAND`` depths are peeled after one shuffle: what shares a prefix at the lowest of
+them meets there, and a worker peels one such group after the other. A group of
+more than ``GROUP_STEPS`` turns (a first turn that many share) doesn't go to one
+worker but is regrouped by Spark at each depth, by node and with partial sums.
+Nodes carry the keys of their prefixes within the band only. Each band is written,
+and the nodes of its lowest depth start the next; the root comes last.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.llm.frames import discard, map_batches, written
 
-BAND = 16
+BAND = 64
+#: Turns of one group, within a band, that a worker holds at once.
+GROUP_STEPS = 250_000
 #: Members of a node that are packed into one row before their digest is taken.
 PACKED_IDS = 2000
 
@@ -152,34 +155,133 @@ def _classes(paths: DataFrame) -> DataFrame:
 
 
 _SUMS = ["n_convs", "n_children", "n_leaves", "saved"]
+_STATE = ["conv", *_SUMS, "ends"]
+_NODES = ["depth", "k1", "k2", *_STATE, "p1", "p2"]
+_NODE_KIND = (
+    "depth long, k1 long, k2 long, conv long, n_convs long, n_children long, n_leaves long, saved long, ends string, p1 long, p2 long"
+)
+
+
+def _entering(n_children: int, ends: Column) -> list[Column]:
+    """What conversations (0) or surviving nodes (1) bring to the depth at which they are grouped."""
+    zero = F.lit(0).cast("long")
+    sums = [F.col(c) if n_children else zero.alias(c) for c in ("n_leaves", "saved")]
+    return [F.col("conv"), F.col("n_convs"), F.lit(n_children).cast("long").alias("n_children"), *sums, ends.alias("ends")]
+
+
+def _ended() -> list[Column]:
+    return _entering(0, F.col("ends"))
+
+
+def _surviving() -> list[Column]:
+    return _entering(1, F.lit(None).cast("string"))
 
 
 def _regrouped(rows: DataFrame, depth: int) -> DataFrame:
-    """Rows that stand at ``depth`` merged into its nodes."""
+    """Rows that stand at ``depth`` merged into its nodes, by Spark."""
     last = F.element_at("path", -1)
-    rows = rows.select(last["k1"].alias("k1"), last["k2"].alias("k2"), "*")
-    nodes = rows.groupBy("k1", "k2").agg(
+    nodes = rows.select(last["k1"].alias("k1"), last["k2"].alias("k2"), "*").groupBy("k1", "k2").agg(
         F.min("conv").alias("conv"), *(F.sum(c).alias(c) for c in _SUMS), F.max("ends").alias("ends"),
-        *(F.any_value(c).alias(c) for c in ("path", "p1", "p2")),
+        *(F.any_value(c).alias(c) for c in ("path", "q1", "q2")),
     )
-    own = (F.col("n_convs") - 1) * last["n_bytes"]
+    above = F.when(F.size("path") > 1, F.get("path", F.size("path") - 2))
     return nodes.select(
         F.lit(depth).cast("long").alias("depth"), "k1", "k2", "conv", "n_convs", "n_children",
         F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")).alias("n_leaves"),
-        (F.col("saved") + own).alias("saved"), "ends", "path", "p1", "p2",
+        (F.col("saved") + (F.col("n_convs") - 1) * last["n_bytes"]).alias("saved"), "ends",
+        *(F.coalesce(above[f"k{i}"], F.col(f"q{i}")).alias(f"p{i}") for i in (1, 2)), "path", "q1", "q2",
     )
 
 
-def _entering(conv: str = "conv", n_children: int = 0, ends: Column | None = None) -> list[Column]:
-    """What conversations (0) or surviving nodes (1) bring to the depth at which they are grouped."""
-    sums = ["n_leaves", "saved"] if n_children else [F.lit(0).cast("long").alias(c) for c in ("n_leaves", "saved")]
-    ends = F.lit(None).cast("string") if ends is None else ends
-    return [F.col(conv), F.col("n_convs"), F.lit(n_children).cast("long").alias("n_children"), *sums, ends.alias("ends")]
+def _by_depth(rows: DataFrame, lowest: int, highest: int) -> DataFrame | None:
+    """The nodes of large groups: a grouping and a written table for each depth."""
+    nodes, above = None, None
+    for depth in range(highest, lowest - 1, -1):
+        here = rows.where(F.size("path") == depth - lowest + 1).drop("b1", "b2")
+        if above is not None:
+            stripped = F.slice("path", F.lit(1), F.size("path") - 1).alias("path")
+            here = here.unionByName(above.select(*_surviving(), stripped, "q1", "q2"))
+        above = written(_regrouped(here, depth))
+        nodes = above.select(_NODES) if nodes is None else nodes.union(above.select(_NODES))
+    return nodes
+
+
+def _peeled(lowest: int):
+    """The nodes of groups that follow each other, each peeled as a whole."""
+
+    def peel(group: list[tuple]) -> Iterator[tuple]:
+        entering: dict[int, list[tuple]] = {}
+        for row in group:
+            entering.setdefault(len(row[6]), []).append(row)
+        alive: dict[tuple[int, int], list] = {}
+        for size in range(max(entering), 0, -1):
+            stripped = ((n[0], n[1], 1, n[3], n[4], None, *n[6:]) for n in alive.values())
+            merged: dict[tuple[int, int], list] = {}
+            for row in (*entering.get(size, ()), *stripped):
+                key = row[6][size - 1], row[7][size - 1]
+                node = merged.get(key)
+                if node is None:
+                    merged[key] = list(row)
+                else:
+                    node[0] = min(node[0], row[0])
+                    for k in (1, 2, 3, 4):
+                        node[k] += row[k]
+                    node[5] = node[5] or row[5]
+            for (k1, k2), node in merged.items():
+                conv, convs, children, leaves, saved, ends, ones, twos, n_bytes, q1, q2 = node
+                node[3] = leaves = leaves if children else 1
+                node[4] = saved = saved + (convs - 1) * n_bytes[size - 1]
+                parent = (ones[size - 2], twos[size - 2]) if size > 1 else (q1, q2)
+                yield (lowest + size - 1, k1, k2, conv, convs, children, leaves, saved, ends, *parent)
+            alive = merged
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string() if c == "ends" else pa.int64() for c in _NODES]
+        columns = [*_STATE, "ones", "twos", "sizes", "q1", "q2"]
+        group, at, done = [], None, []
+
+        def flushed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=_NODES)
+
+        for batch in batches:
+            own = zip(*(batch.column(c).to_pylist() for c in ("b1", "b2")))
+            for key, *row in zip(own, *(batch.column(c).to_pylist() for c in columns)):
+                if key != at and group:
+                    done += peel(group)
+                    group = []
+                    if len(done) > 20_000:
+                        yield flushed()
+                        done = []
+                at = key
+                group.append(tuple(row))
+        if group:
+            done += peel(group)
+        if done:
+            yield flushed()
+
+    return run
+
+
+def _band_nodes(rows: DataFrame, lowest: int, highest: int, group_steps: int) -> DataFrame:
+    """All nodes of the depths from ``lowest`` to ``highest``; ``rows`` is a written table."""
+    sizes = rows.groupBy("b1", "b2").agg(F.sum(F.size("path")).alias("steps"))
+    large = written(sizes.where(F.col("steps") > group_steps).select("b1", "b2"))
+    if large.isEmpty():
+        small, nodes = rows, None
+    else:
+        small = rows.join(large, ["b1", "b2"], "left_anti")
+        nodes = _by_depth(rows.join(large, ["b1", "b2"], "left_semi").select(rows.columns), lowest, highest)
+    parts = (F.col(f"path.{f}").alias(n) for f, n in (("k1", "ones"), ("k2", "twos"), ("n_bytes", "sizes")))
+    flat = small.select("b1", "b2", *_STATE, *parts, "q1", "q2")
+    flat = flat.repartition("b1", "b2").sortWithinPartitions("b1", "b2")
+    peeled = map_batches(flat, _peeled(lowest), _NODE_KIND)
+    return peeled if nodes is None else peeled.union(nodes)
 
 
 def prefix_trie(
-    conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
-) -> DataFrame:
+    conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+    group_steps: int = GROUP_STEPS,
+) -> DataFrame:
     """One row for each node of the trie of rebuilt conversations (``rebuilt_turns``).
 
     ``conv`` (smallest member), ``depth``, ``parent`` (smallest member of the
@@ -193,51 +295,43 @@ def prefix_trie(
     """
     paths = written(prefix_keys(rebuilt_turns(conversations, conv, turn, role, text)))
     classes = written(_classes(paths))
-    owned = paths.join(classes.select("conv"), "conv", "left_semi").withColumn("band", F.floor(F.col("pos") / BAND))
-    step = F.struct("pos", "k1", "k2", "n_bytes")
+    band_of = F.floor((F.col("pos") - 1) / BAND)
+    owned = paths.where("pos > 0").join(classes.select("conv"), "conv", "left_semi").withColumn("band", band_of)
     slices = owned.groupBy("conv", "band").agg(
-        F.sort_array(F.collect_list(step)).alias("path"), F.min_by("p1", "pos").alias("p1"), F.min_by("p2", "pos").alias("p2")
+        F.sort_array(F.collect_list(F.struct("pos", "k1", "k2", "n_bytes"))).alias("path"),
+        *(F.min_by(f"p{i}", "pos").alias(f"q{i}") for i in (1, 2)),
     )
     slices = written(slices, "band")
-    ended = classes.withColumn("band", F.floor(F.col("depth") / BAND)).join(slices, ["conv", "band"])
-    ended = written(ended.select("depth", *_entering(ends=F.col("ends")), "path", "p1", "p2"), "depth")
+    ended = classes.where("depth > 0").withColumn("band", F.floor((F.col("depth") - 1) / BAND)).join(slices, ["conv", "band"])
+    ended = written(ended.select("band", *_ended(), "path", "q1", "q2"), "band")
     deepest = classes.agg(F.max("depth")).first()[0]
 
     bands, live = [], None
-    for band in range(-1 if deepest is None else deepest // BAND, -1, -1):
-        rows, levels = None, []
+    for band in range(-1 if deepest is None else (deepest + BAND - 1) // BAND - 1, -1, -1):
+        lowest, highest = band * BAND + 1, min(deepest, band * BAND + BAND)
+        rows = ended.where(F.col("band") == band).drop("band")
         if live is not None:
-            own = slices.where(F.col("band") == band).select("conv", "path", "p1", "p2")
-            rows = live.select(_entering(n_children=1)).join(own, "conv")
-        for depth in range(min(deepest, band * BAND + BAND - 1), band * BAND - 1, -1):
-            new = ended.where(F.col("depth") == depth).drop("depth")
-            level = _regrouped(new if rows is None else rows.unionByName(new), depth).persist(StorageLevel.DISK_ONLY)
-            levels.append(level)
-            stripped = F.slice("path", F.lit(1), F.size("path") - 1).alias("path")
-            rows = level.select(*_entering(n_children=1), stripped, "p1", "p2")
-        nodes = levels[0]
-        for level in levels[1:]:
-            nodes = nodes.union(level)
-        above = F.when(F.size("path") > 1, F.get("path", F.size("path") - 2))
-        nodes = nodes.select(
-            "depth", "k1", "k2", "conv", *_SUMS, "ends",
-            *(F.coalesce(above[f"k{i}"], F.col(f"p{i}")).alias(f"p{i}") for i in (1, 2)),
-        )
-        bands.append(written(nodes))
-        for level in levels:
-            level.unpersist()
-        live = bands[-1].where(F.col("depth") == band * BAND)
-    if not bands:
-        return classes.selectExpr(
-            "conv", "depth", "conv AS parent", "n_convs", "n_convs AS n_children", "n_convs AS n_leaves", "n_convs AS saved", "ends"
-        )
-    nodes = bands[0]
-    for band in bands[1:]:
+            own = slices.where(F.col("band") == band).drop("band")
+            rows = rows.unionByName(live.select(_surviving()).join(own, "conv"))
+        bottom = F.get("path", F.lit(0))
+        rows = written(rows.select(bottom["k1"].alias("b1"), bottom["k2"].alias("b2"), "*"))
+        bands.append(written(_band_nodes(rows, lowest, highest, group_steps)))
+        discard(rows)
+        live = bands[-1].where(F.col("depth") == lowest)
+    root = classes.where("depth = 0").select(_ended())
+    if live is not None:
+        root = root.union(live.select(_surviving()))
+    root = root.agg(F.min("conv").alias("conv"), *(F.sum(c).alias(c) for c in _SUMS), F.max("ends").alias("ends"))
+    zero = F.lit(0).cast("long")
+    leaves = F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")).alias("n_leaves")
+    nodes = root.where("conv IS NOT NULL").select(
+        *(zero.alias(c) for c in ("depth", "k1", "k2")), "conv", "n_convs", "n_children", leaves, "saved", "ends",
+        *(zero.alias(c) for c in ("p1", "p2")),
+    )
+    for band in bands:
         nodes = nodes.union(band)
     parents = nodes.select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv").alias("parent"))
     named = nodes.join(parents, ["depth", "p1", "p2"], "left")
     for table in (paths, slices, ended):
         discard(table)
-    return named.select(
-        "conv", "depth", "parent", *_SUMS, F.coalesce("ends", F.sha2(F.lit(""), 256)).alias("ends")
-    )
+    return named.select("conv", "depth", "parent", *_SUMS, F.coalesce("ends", F.sha2(F.lit(""), 256)).alias("ends"))
