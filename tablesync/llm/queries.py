@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablesync.llm import license_scan
+from tablesync.llm.bpe_codec import decode_ids, encode_texts
 from tablesync.llm.conversation_trie import prefix_trie
 from tablesync.llm.decontaminate import find_benchmark
 from tablesync.llm.frames import table
@@ -89,6 +90,16 @@ def op10_decontaminate(spark, sf):
     )
 
 
+def op11_bpe_codec(spark, sf):
+    encoded = encode_texts(table(spark, sf, "documents"))
+    decoded = decode_ids(encoded.select(F.col("row.doc_id").alias("doc_id"), "ids"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_prefix_trie(spark, sf):
     return prefix_trie(table(spark, sf, "conversations")).select(
         F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs",
@@ -108,6 +119,7 @@ def queries() -> dict:
         "op8_surrogates": op8_surrogates,
         "op9_source_mix": op9_source_mix,
         "op10_decontaminate": op10_decontaminate,
+        "op11_bpe_codec": op11_bpe_codec,
         "op13_prefix_trie": op13_prefix_trie,
     }
 
