@@ -9,6 +9,7 @@ from tablesync.llm.bpe_codec import decode_ids, encode_texts
 from tablesync.llm.conversation_trie import prefix_trie
 from tablesync.llm.decontaminate import find_benchmark
 from tablesync.llm.frames import table
+from tablesync.llm.hard_negatives import hard_negatives
 from tablesync.llm.jaccard_join import jaccard_components
 from tablesync.llm.license_scan import scan_licenses
 from tablesync.llm.line_dedup import dedup_lines
@@ -100,6 +101,16 @@ def op11_bpe_codec(spark, sf):
     )
 
 
+def op12_hard_negatives(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives(vectors.withColumn("label", moved), is_anchor=F.col("vec_id") % 100 == 0)
+    return found.select(
+        F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank",
+        F.col("negative").alias("negative_id"), "positive_score", "negative_score",
+    )
+
+
 def op13_prefix_trie(spark, sf):
     return prefix_trie(table(spark, sf, "conversations")).select(
         F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs",
@@ -120,6 +131,7 @@ def queries() -> dict:
         "op9_source_mix": op9_source_mix,
         "op10_decontaminate": op10_decontaminate,
         "op11_bpe_codec": op11_bpe_codec,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_prefix_trie": op13_prefix_trie,
     }
 
@@ -205,6 +217,28 @@ _MIX = r"""
     FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM copies)"""
 
 
+_NEGATIVES = """
+    WITH v AS (
+        SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+        SELECT a.id AS anchor, b.id, a.label = b.label AS same,
+               CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+        FROM v a, v b WHERE a.id % 100 = 0 AND a.id <> b.id AND len(a.q) = len(b.q)),
+    pos AS (
+        SELECT * FROM pairs WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+    neg AS (
+        SELECT p.anchor, p.id AS positive_id, p.score AS positive_score, n.id AS negative_id, n.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id) AS rank
+        FROM pos p JOIN pairs n ON n.anchor = p.anchor AND NOT n.same
+         AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+    SELECT anchor AS anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM neg WHERE rank <= 5"""
+
 _TRIE = """
     WITH t AS (
         SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
@@ -253,5 +287,6 @@ def oracle_sql() -> dict:
         "op7_line_dedup": _LINES,
         "op9_source_mix": _MIX,
         "op10_decontaminate": _BENCH,
+        "op12_hard_negatives": _NEGATIVES,
         "op13_prefix_trie": _TRIE,
     }

@@ -6,6 +6,8 @@ import hashlib
 import re
 from collections import defaultdict
 
+import numpy as np
+
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -100,3 +102,63 @@ def benchmark_hits(text: str | None, items: dict, window: int) -> tuple:
                     hit.update(range(j, j + size))
                     names.add(str(item))
     return len(own), len(hit), sorted(names)
+
+
+def prefix_trie(rows: list[tuple]) -> set[tuple]:
+    """Nodes of (conversation, turn, role, text) rows, from all prefixes of all conversations."""
+    import zlib
+
+    def turn_order(row):
+        own = (row[2] or "").encode()
+        digest = hashlib.md5(f"{len(own)}:".encode() + own + (row[3] or "").encode()).hexdigest()
+        return row[1] is not None, row[1] or 0, row[2] or "", int(digest[:15], 16), int(digest[15:30], 16)
+
+    talks = defaultdict(list)
+    for row in sorted((r for r in rows if r[0] is not None), key=turn_order):
+        talks[row[0]].append((row[2] or "", row[3] or ""))
+    members = defaultdict(list)
+    for c, own in sorted(talks.items()):
+        h = zlib.crc32(str(c).encode()) % 9
+        donor = c - (abs(c) % 5 if c >= 0 else -(abs(c) % 5))
+        whole = tuple(talks.get(donor, [])[:h] + own[h:])
+        for d in range(len(whole) + 1):
+            members[whole[:d]].append((c, d == len(whole)))
+    children = defaultdict(int)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, own in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += (len(own) - 1) * len(node[-1][1].encode()) if node else 0
+    return {
+        (own[0][0], len(node), members[node[:-1]][0][0] if node else None, len(own), children[node], leaves[node],
+         saved[node], sha(",".join(str(c) for c, ends in own if ends)))
+        for node, own in members.items()
+    }
+
+
+def hard_negatives(rows: list[tuple], anchors: set, n_pos: int, n_neg: int, low: tuple[int, int], scale: float) -> set[tuple]:
+    """(anchor, positive, rank, negative, positive score, negative score) from all pairs of (id, label, vector) rows."""
+    import math
+
+    usable = {
+        (i, label, tuple(math.floor(scale * x) for x in v))
+        for i, label, v in rows
+        if i is not None and label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    }
+    asking = {}
+    for a, label, own in usable:
+        order = label, np.array(own, np.int32).tobytes()
+        if a in anchors and (a not in asking or order < asking[a][0]):
+            asking[a] = order, label, own
+    out = set()
+    for a, (_, label, own) in asking.items():
+        scored = sorted(
+            (-sum(x * y for x, y in zip(own, v)), i, other) for i, other, v in usable if i != a and len(v) == len(own)
+        )
+        for p, positive, _ in [s for s in scored if s[2] == label][:n_pos]:
+            fits = [s for s in scored if s[2] != label and low[0] * -p <= low[1] * -s[0] <= low[1] * -p]
+            out |= {(a, positive, k + 1, i, -p, -n) for k, (n, i, _) in enumerate(fits[:n_neg])}
+    return out

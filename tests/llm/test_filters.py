@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from brute import benchmark_hits, jaccard_components, kept_lines, kept_words, sha
+from brute_llm import benchmark_hits, jaccard_components, kept_lines, kept_words, sha
 
 from tablesync.llm import decontaminate, jaccard_join, mix, substring_dedup
 from tablesync.llm.components import components
