@@ -356,12 +356,11 @@ def sweep_keeps_table(spark, sf):
 
 
 @contextmanager
-def _failing(name: str, cleared: str):
-    """A step of the sink that fails after ``cleared``, a folder of the table, is cleared."""
+def _failing(name: str):
+    """A step of the sink that is never reached, after all that comes before it."""
     real = getattr(table, name)
 
-    def fail(spark, path, *_args, **_named):
-        files.remove(spark, f"{path}/{cleared}".rstrip("/"))
+    def fail(*_args, **_named):
         raise RuntimeError("lost")
 
     setattr(table, name, fail)
@@ -374,27 +373,53 @@ def _failing(name: str, cleared: str):
 
 
 def upsert_after_failure(spark, sf):
-    """The load is repeated after its replacement failed with the table already cleared."""
+    """The load is repeated after it failed with its content written, but not switched to."""
     orders, path = _t(spark, sf, "orders"), f"{_scratch(spark)}/orders"
     target, source = _history(orders), _increment(orders)
     table.write(spark, target, path, "append")
-    with _failing("_swap", cleared=""):
+    with _failing("_commit"):
         table.upsert_table(spark, source, path, ["o_orderkey"])
     table.upsert_table(spark, source, path, ["o_orderkey"])
     return table.read_table(spark, path)
 
 
+def upsert_same_load_id(spark, sf):
+    """Two loads of one id, the second of which fails and is repeated."""
+    orders, path = _t(spark, sf, "orders"), f"{_scratch(spark)}/orders"
+    table.write(spark, _history(orders), path, "append", ["o_orderstatus"])
+    first = _history(orders).withColumn("o_totalprice", F.lit(0.0))
+    table.upsert_table(spark, first, path, ["o_orderkey"], ["o_orderstatus"], load_id="nightly")
+    with _failing("_commit"):
+        table.upsert_table(spark, _history(orders), path, ["o_orderkey"], ["o_orderstatus"], load_id="nightly")
+    table.upsert_table(spark, _history(orders), path, ["o_orderkey"], ["o_orderstatus"], load_id="nightly")
+    table.upsert_table(spark, _increment(orders), path, ["o_orderkey"], ["o_orderstatus"], load_id="nightly")
+    return table.read_table(spark, path)
+
+
 def replace_after_failure(spark, sf):
     orders, path = _t(spark, sf, "orders"), f"{_scratch(spark)}/orders"
     table.write(spark, orders, path, "append", ["o_orderstatus"])
     new = orders.where(_window_1996(orders) & (F.col("o_orderstatus") == "F"))
     new = new.withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    with _failing("_swap", cleared="o_orderstatus=F"):
+    with _failing("_commit"):
         table.write(spark, new, path, "overwrite", ["o_orderstatus"], where=_window_1996(orders))
     table.write(spark, new, path, "overwrite", ["o_orderstatus"], where=_window_1996(orders))
     return table.read_table(spark, path)
 
 
+def append_after_failure(spark, sf):
+    """An append is cut off with its files moved in, read past, and repeated; so is one of the same id that ended."""
+    events, path = _t(spark, sf, "events"), f"{_scratch(spark)}/events"
+    clicks = F.col("event_type") == "click"
+    table.write(spark, events.where(clicks), path, "append", ["event_type"])
+    with _failing("_commit"):
+        table.write(spark, events.where(~clicks), path, "append", ["event_type"], load_id="others")
+    if table.read_table(spark, path).where(~clicks).isEmpty():
+        table.write(spark, events.where(~clicks), path, "append", ["event_type"], load_id="others")
+        table.write(spark, events.where(~clicks), path, "append", ["event_type"], load_id="others")
+    return table.read_table(spark, path)
+
+
 def first_load_repeated(spark, sf):
     """A first load that failed leaves no table, so ``ignore`` loads when it is repeated."""
     customer, path = _t(spark, sf, "customer"), f"{_scratch(spark)}/customer"
@@ -493,7 +518,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orphan_files": orphan_files,
         "sweep_keeps_table": sweep_keeps_table,
         "upsert_after_failure": upsert_after_failure,
+        "upsert_same_load_id": upsert_same_load_id,
         "replace_after_failure": replace_after_failure,
+        "append_after_failure": append_after_failure,
         "first_load_repeated": first_load_repeated,
         "full_load": full_load,
     } | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
@@ -610,7 +637,9 @@ def oracle_sql() -> dict[str, str]:
                    'append' AS mode, count(*) AS n_rows FROM events GROUP BY 1""",
         "orphan_files": "SELECT * FROM orders",
         "upsert_after_failure": _upsert_sql(False),
+        "upsert_same_load_id": _upsert_sql(True),
         "replace_after_failure": _REPLACED,
+        "append_after_failure": "SELECT * FROM events",
         "first_load_repeated": "SELECT * FROM customer",
         "sweep_keeps_table": "SELECT *, CAST(0 AS BIGINT) AS files_left FROM orders",
         "full_load": f"""

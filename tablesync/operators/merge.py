@@ -143,10 +143,9 @@ def upsert(
     in_scope = target
     flag = None
     if scope is not None:
-        in_scope = scope.inside(target)
-        if scope.literals is None:
-            target = scope.tag(target, _IN_SCOPE)
-            flag = F.col(f"target.{_IN_SCOPE}")
+        target = scope.tag(target, _IN_SCOPE)
+        in_scope = target.where(col(_IN_SCOPE))
+        flag = F.col(f"target.{_IN_SCOPE}")
 
     has_keys = conjunction(*[col(k).isNotNull() for k in keys])
     representative = [F.first(col(c)).alias(c) for c in others]
@@ -164,7 +163,7 @@ def upsert(
 
     updated = (
         target.alias("target")
-        .join(per_key.alias("source"), conjunction(flag, merge_condition(keys, scope)), "left")
+        .join(per_key.alias("source"), merge_condition(keys, flag), "left")
         .select([merged(f) for f in schema])
     )
 

@@ -14,11 +14,6 @@ from pyspark.sql import types as T
 from tablesync.functions.names import col, resolve
 from tablesync.functions.times import day_start
 
-# Up to this many partition values become literals, which prune directories
-# while planning; beyond it the values stay a DataFrame and are joined, and
-# only the smallest and the largest one prune.
-MAX_LITERALS = 10_000
-
 COPIES = "__copies"
 _KEY_HASH = "__key_hash"
 
@@ -77,68 +72,43 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class PartitionScope:
-    """The partitions a load touches: its distinct non-null partition values."""
+    """The partitions a load touches, by the distinct values of its partition column.
+
+    The values stay a DataFrame, however many there are. A table's sink finds the
+    folders of these values; any other frame is joined with them.
+    """
 
     column: str
-    values: DataFrame
-    literals: tuple | None  # None when there are more than MAX_LITERALS values
-    has_null: bool = False
-    ends: tuple | None = None  # smallest and largest value, where there are no literals
+    all_values: DataFrame  # with null, if it occurs
+
+    @property
+    def values(self) -> DataFrame:
+        """Distinct non-null values."""
+        return self.all_values.dropna()
+
+    @property
+    def has_null(self) -> bool:
+        return not self.all_values.where(col(self.column).isNull()).isEmpty()
 
     @property
     def is_empty(self) -> bool:
-        return self.literals == ()
-
-    def predicate(self, qualifier: str = "") -> Column | None:
-        """``column IN (values)`` with typed literals, if there are few enough."""
-        if self.literals is None:
-            return None
-        name = f"{qualifier}.`{self.column}`" if qualifier else f"`{self.column}`"
-        if not self.literals:
-            return F.lit(False)
-        return F.col(name).isin(*map(self._literal, self.literals))
-
-    def _literal(self, value) -> Column:
-        dtype = self.values.schema[self.column].dataType
-        if isinstance(dtype, T.TimestampType):
-            return F.timestamp_micros(F.lit(value))
-        if isinstance(dtype, T.TimestampNTZType):
-            # A Python datetime would become a zoned literal.
-            return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
-        return F.lit(value)
+        return self.values.isEmpty()
 
     def inside(self, df: DataFrame) -> DataFrame:
-        """Rows in the touched partitions; literals prune at planning time."""
-        if self.literals is not None:
-            return df.where(self.predicate())
-        if self.ends is not None:
-            df = df.where(col(self.column).between(*map(self._literal, self.ends)))
+        """Rows in the touched partitions."""
         return df.join(self.values, self.column, "left_semi").select(df.columns)
 
     def tag(self, df: DataFrame, flag: str) -> DataFrame:
         """``df`` plus a boolean column telling whether the row is inside."""
-        if self.literals is not None:
-            return df.withColumn(flag, is_true(self.predicate()))
         marked = self.values.withColumn(flag, F.lit(True))
         joined = df.join(marked, self.column, "left")
         return joined.select(*[col(c) for c in df.columns], is_true(col(flag)).alias(flag))
 
 
-def partition_scope(df: DataFrame, column: str, max_literals: int = MAX_LITERALS) -> PartitionScope:
-    """Read the distinct partition values of ``df``: one aggregation, at most
-    ``max_literals + 2`` rows on the driver."""
+def partition_scope(df: DataFrame, column: str) -> PartitionScope:
+    """The distinct values of a partition column; nothing runs yet."""
     name = resolve(df, column)
-    distinct = distinct_keys(df, [name])
-    # Instants travel as numbers: a wall clock on the driver can't tell the two sides of an overlap.
-    zoned = isinstance(df.schema[name].dataType, T.TimestampType)
-    shown = distinct.select((F.unix_micros(col(name)) if zoned else col(name)).alias(name))
-    found = [row[0] for row in shown.limit(max_literals + 2).collect()]
-    known = [v for v in found if v is not None]
-    if len(known) <= max_literals:
-        return PartitionScope(name, distinct.dropna(), tuple(known), len(known) < len(found))
-    has_null = len(known) < len(found) or not df.where(col(name).isNull()).isEmpty()
-    ends = tuple(shown.agg(F.min(col(name)), F.max(col(name))).first())
-    return PartitionScope(name, distinct.dropna(), None, has_null, None if None in ends else ends)
+    return PartitionScope(name, distinct_keys(df, [name]))
 
 
 def key_equality(
@@ -159,12 +129,11 @@ def key_equality(
 
 def merge_condition(
     keys: Sequence[str],
-    scope: PartitionScope | None = None,
+    in_scope: Column | None = None,
     source_prefix: str = "",
     target_prefix: str = "",
 ) -> Column:
-    """Partition scope on the target (where literals express it) and key equality."""
-    in_scope = scope.predicate("target") if scope else None
+    """Key equality, of target rows in scope only where a scope is given."""
     equal = key_equality(keys, source_prefix=source_prefix, target_prefix=target_prefix)
     return equal if in_scope is None else in_scope & equal
 

@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from tablesync.functions.names import resolve
 from tablesync.sinks import files
-from tablesync.sinks.table import read_table, table_exists
+from tablesync.sinks.loadlog import VERSIONS, History
+from tablesync.sinks.table import live_units, table_exists, table_schema, unit_at
+
+_SEQ = "tablesync.registered"  # the newest load record that a catalog table has caught up with
+_BATCH = 100  # partitions a statement adds or drops
 
 
 def _quoted(name: str) -> str:
@@ -32,7 +35,7 @@ def _check_same(spark: SparkSession, name: str, path: str, partitions: Sequence[
     """Refuse a catalog table of that name over another folder or of another layout."""
     rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
     details = dict(rows[[c for c, _ in rows].index("# Detailed Table Information") :])
-    present = files.qualified(spark, details["Location"]).rstrip("/")
+    present = files.qualified(spark, details["Location"]).rstrip("/").split(f"/{VERSIONS}/")[0]
     wanted = files.qualified(spark, path).rstrip("/")
     if present != wanted:
         raise ValueError(f"{name} is registered at {present}, not at {wanted}")
@@ -41,6 +44,44 @@ def _check_same(spark: SparkSession, name: str, path: str, partitions: Sequence[
         raise ValueError(f"{name} is registered with partitions {layout}, not {list(partitions)}")
 
 
+def _spec(unit: str, layout: Sequence[str]) -> str:
+    """A partition as SQL names it, from its folder."""
+    values = [files.folder_value(part)[1] for part in unit.split("/")]
+    return "(" + ", ".join(f"{_quoted(c)} = {'NULL' if v is None else _text(v)}" for c, v in zip(layout, values)) + ")"
+
+
+def _follow(spark: SparkSession, name: str, history: History, layout: Sequence[str], seen: int | None) -> None:
+    """Bring the partitions of a catalog table to where the table's are.
+
+    Only those that loads after record ``seen`` have touched are named, all if it
+    is None. A partition that moved is switched by one statement, so a reader
+    finds its old or its new rows.
+    """
+    root = history.path.rstrip("/")
+    if seen is None:
+        live, moved, gone = live_units(history), [], []
+    else:
+        new = [r for r in history.done if r["seq"] > seen]
+        touched = {unit_at(u) for r in new for u in [*r["units"], *r["emptied"]]}
+        last = {u.rsplit("/", 1)[-1] for u in touched}
+        now = live_units(history, sorted(last)) if touched else {}
+        live = {u: place for u, place in now.items() if u in touched}
+        moved = [u for u, place in live.items() if place.startswith(f"{VERSIONS}/")]
+        gone = sorted(touched - set(live))
+    def location(u: str) -> str:
+        return f"LOCATION {_text(f'{root}/{live[u]}')}"
+
+    units = sorted(live)
+    for i in range(0, len(units), _BATCH):
+        added = " ".join(f"PARTITION {_spec(u, layout)} {location(u)}" for u in units[i : i + _BATCH])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+    for u in moved:
+        spark.sql(f"ALTER TABLE {name} PARTITION {_spec(u, layout)} SET {location(u)}")
+    for i in range(0, len(gone), _BATCH):
+        specs = ", ".join(f"PARTITION {_spec(u, layout)}" for u in gone[i : i + _BATCH])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+
+
 def register_table(
     spark: SparkSession,
     database: str,
@@ -50,27 +91,39 @@ def register_table(
 ) -> bool:
     """External table over an existing folder; new columns and partitions are picked up.
 
+    The catalog table remembers up to which load it has followed the table; a
+    later registration names only the partitions that loads since then touched.
     A table of that name at another place or with other partition columns raises.
 
     Returns whether there was a folder to register.
     """
     if not table_exists(spark, path):
         return False
-    frame = read_table(spark, path)
-    partitions = [resolve(frame, c) for c in partition_cols]
+    schema = table_schema(spark, path)
+    by_name = {f.name.lower(): f.name for f in schema}
+    partitions = [by_name.get(c.lower(), c) for c in partition_cols]
+    history = History.of(spark, path)
+    history.assumed = partitions
     name = f"{_quoted(database)}.{_quoted(table)}"
     by = f"PARTITIONED BY ({', '.join(map(_quoted, partitions))})" if partitions else ""
+    root = path.rstrip("/") if partitions else f"{path.rstrip('/')}/{live_units(history).get('', '')}".rstrip("/")
     spark.sql(
-        f"CREATE EXTERNAL TABLE IF NOT EXISTS {name} ({_columns(frame.schema.fields)}) "
-        f"USING parquet {by} LOCATION {_text(path)}"
+        f"CREATE EXTERNAL TABLE IF NOT EXISTS {name} ({_columns(schema.fields)}) "
+        f"USING parquet {by} LOCATION {_text(root)}"
     )
     _check_same(spark, name, path, partitions)
     known = {c.lower() for c in spark.table(name).columns}
-    added = [f for f in frame.schema if f.name.lower() not in known]
+    added = [f for f in schema if f.name.lower() not in known]
     if added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(added)})")
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    seen = int(properties[_SEQ]) if _SEQ in properties else None
     if partitions:
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        _follow(spark, name, history, partitions, seen)
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(root)}")
+    if history.done:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_text(_SEQ)} = {_text(str(history.done[-1]['seq']))})")
     spark.sql(f"REFRESH TABLE {name}")
     return True
 

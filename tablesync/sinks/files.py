@@ -46,6 +46,52 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p)
+
+
+def names(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
+    """Names of the visible entries of a folder."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return []
+    found = (s.getPath().getName() for s in fs.listStatus(p))
+    return sorted(n for n in found if n.endswith(suffix) and ("=" in n or not n.startswith(("_", "."))))
+
+
+def create(spark: SparkSession, path: str, content: str) -> None:
+    """A new small file, seen whole or not at all; one of that name is never overwritten."""
+    fs, p = _hadoop(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(f"{path} is there already: another load is running")
+    folder, name = path.rsplit("/", 1)
+    draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    out = fs.create(_hadoop(spark, draft)[1], False)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+    move(spark, draft, path)
+
+
+def text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, p = _hadoop(spark, path)
+    source = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file within its file system; a target that is there already is an error."""
+    fs, source = _hadoop(spark, path)
+    if not fs.rename(source, _hadoop(spark, target)[1]):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below ``path``."""
     fs, p = _hadoop(spark, path)
@@ -90,16 +136,35 @@ def staging_root(spark: SparkSession, path: str) -> str:
     return f"{shared.rstrip('/')}/tablesync/{name}-{digest}"
 
 
+#: What a partition folder's name writes as % and two digits.
+_ESCAPED = {*map(chr, range(1, 32)), *"\"#%'*/:=?\\\x7f{[]^"}
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def folder_name(column: str, value: str | None) -> str:
+    """Name of a partition's folder; ``value`` as Spark casts it to text."""
+    escaped = ("".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in part) for part in (column, value or NULL_PARTITION))
+    return "=".join(escaped)
+
+
+def folder_value(name: str) -> tuple[str, str | None]:
+    """Column and value of a partition folder's name."""
+    column, value = (re.sub("%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), part) for part in name.split("=", 1))
+    return column, None if value == NULL_PARTITION else value
+
+
 def _as_glob(name: str) -> str:
     return re.sub(r"([\\*?{}\[\],])", r"\\\1", name)
 
 
-def folders_named(spark: SparkSession, root: str, level: int, names: Sequence[str]) -> list[str]:
-    """Folders with one of the names, ``level`` steps below ``root``, by their paths from there.
+def folders_named(spark: SparkSession, root: str, level: int, names: Sequence[str] | None) -> list[str]:
+    """Folders with one of the names (None: any), ``level`` steps below ``root``, by their paths from there.
 
     Lists the folders above that level, but no files.
     """
     start, found = len(qualified(spark, root)) + 1, []
+    if names is None:
+        return [path[start:] for path, _ in matching(spark, f"{root.rstrip('/')}/{'/'.join(['*=*'] * level)}")]
     for i in range(0, len(names), _NAMES_PER_GLOB):
         own = ",".join(map(_as_glob, names[i : i + _NAMES_PER_GLOB]))
         for path, _ in matching(spark, f"{root.rstrip('/')}/{'*/' * (level - 1)}{{{own}}}"):

@@ -1,16 +1,21 @@
 """Parquet tables: write modes, conditional overwrite, upsert and clustering.
 
-Rewrites touch only the partitions that receive rows. Their final, clustered
-content is staged first; then the replacement is logged with the folder of the
-stage, and the stage is copied over the old content. A replacement that fails or
-loses its driver half-way is repeated from its stage by whatever looks at the
-table next, so neither old nor new rows can be lost.
+Nothing is ever written over. A replacement writes the final, clustered content of
+the partitions that receive rows into a new folder, once; its record in the load
+log makes that folder the place of those partitions, in one step. Appended rows are
+staged beside it and then moved into the partitions' present folders under names
+that tell the load; its record makes them part of the table. So a reader sees a load
+whole or not at all, reading writes nothing, and a load that failed, wherever, is
+repeated by running it again. What was replaced stays until the sweep's retention
+is over, for those who read it still.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -30,16 +35,9 @@ from tablesync.operators.merge import (
 )
 from tablesync.operators.predicates import PartitionScope, partition_scope
 from tablesync.sinks import files
-from tablesync.sinks.loadlog import (
-    DONE,
-    REPLACED,
-    REPLACING,
-    STARTED,
-    has_landed,
-    logged_layout,
-    pending_replacement,
-    record,
-)
+from tablesync.sinks.loadlog import DONE, STARTED, UNDONE, VERSIONS, History, mark
+
+_MOVERS = 16  # files renamed at once
 
 
 @dataclass(frozen=True)
@@ -50,11 +48,32 @@ class Written:
     clustered: bool = False
 
 
+def _opened(spark: SparkSession, path: str, partition_cols: Sequence[str]) -> History:
+    history = History.of(spark, path)
+    history.assumed = partition_cols
+    return history
+
+
+def _present(history: History) -> bool:
+    spark, path = history.spark, history.path
+    if history.done:
+        return files.exists(spark, path)
+    return not history.creating and files.has_visible_child(spark, path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds data, or was loaded with no rows. A failed first load leaves no table."""
-    if files.has_visible_child(spark, path):
-        return True
-    return files.exists(spark, path) and has_landed(spark, path)
+    return _present(History.of(spark, path))
+
+
+def _schema(history: History, partition_cols: Sequence[str] | None = None) -> T.StructType:
+    logged = history.layout()
+    if logged is None:
+        return history.spark.read.option("mergeSchema", "true").parquet(history.path).schema
+    schema, layout = logged
+    if partition_cols is not None and [c.lower() for c in partition_cols] != [c.lower() for c in layout]:
+        raise ValueError(f"{history.path} is partitioned by {layout}, not by {list(partition_cols)}")
+    return schema
 
 
 def table_schema(
@@ -64,20 +83,74 @@ def table_schema(
 
     Given partition columns must be those the table was written with.
     """
-    logged = logged_layout(spark, path)
-    if logged is None:
-        return spark.read.option("mergeSchema", "true").parquet(path).schema
-    schema, layout = logged
-    if partition_cols is not None and [c.lower() for c in partition_cols] != [c.lower() for c in layout]:
-        raise ValueError(f"{path} is partitioned by {layout}, not by {list(partition_cols)}")
-    return schema
+    return _schema(History.of(spark, path), partition_cols)
+
+
+def live_units(history: History, names: Sequence[str] | None = None) -> dict[str, str]:
+    """Partition folders (relative) of the table and where each is now, relative to the table's folder.
 
+    ``names`` restricts the last level to folders of these names; no others are
+    listed. An unpartitioned table is one unit, the empty path.
+    """
+    places = history.versions()
+    if not history.depth:
+        version = places.get("", (None,))[0]
+        return {"": f"{VERSIONS}/{version}" if version else ""}
+    found = {unit: unit for unit in files.folders_named(history.spark, history.path, history.depth, names)}
+    wanted = None if names is None else set(names)
+    for unit, (version, _) in places.items():
+        if wanted is None or unit.rsplit("/", 1)[-1] in wanted:
+            found.pop(unit, None)
+            if version:
+                found[unit] = f"{VERSIONS}/{version}/{unit}"
+    return found
+
+
+def _root_of(unit: str, place: str) -> str:
+    """The folder below which ``place`` lies by the path of its unit."""
+    return place[: len(place) - len(unit)].rstrip("/")
+
+
+def _read(history: History, schema: T.StructType, names: Sequence[str] | None = None) -> DataFrame:
+    spark, path = history.spark, history.path.rstrip("/")
+    reader = spark.read.schema(schema)
+    parts = []
+    if names is None and not history.versions():
+        parts.append(reader.parquet(path))
+    else:
+        by_root: dict[str, list[str]] = {}
+        for unit, place in live_units(history, names).items():
+            by_root.setdefault(_root_of(unit, place), []).append(place)
+        for root, places in sorted(by_root.items()):
+            base = f"{path}/{root}".rstrip("/")
+            parts.append(reader.option("basePath", base).parquet(*[f"{path}/{p}".rstrip("/") for p in sorted(places)]))
+    hidden = [mark(r["load_id"]) for r in history.unfinished()]
+    rows = None
+    for part in parts:
+        for prefix in hidden:
+            part = part.where(~F.col("_metadata.file_name").startswith(prefix))
+        part = part.select([col(f.name) for f in schema])
+        rows = part if rows is None else rows.union(part)
+    return spark.createDataFrame([], schema) if rows is None else rows
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, scope: PartitionScope | None = None
+) -> DataFrame:
+    """The table with its columns in order and partition values in their declared types.
+
+    It reads what the last finished load left, and changes nothing. With the
+    ``scope`` of a partitioned table, only the folders of its values (and of null,
+    if it has one) are listed and read.
+    """
+    history = History.of(spark, path)
+    return _read(history, schema or _schema(history), None if scope is None else _folder_names(scope))
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The table with its columns in order and partition values in their declared types."""
-    recover(spark, path)
-    schema = schema or table_schema(spark, path)
-    return spark.read.schema(schema).parquet(path).select([col(f.name) for f in schema])
+
+def _folder_names(scope: PartitionScope) -> list[str]:
+    """Folders of the touched values, each of which the load is going to write."""
+    shown = scope.all_values.select(col(scope.column).cast("string").alias("value")).collect()
+    return sorted({files.folder_name(scope.column, row["value"]) for row in shown})
 
 
 def blank_partitions_to_null(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
@@ -102,15 +175,13 @@ def land(spark: SparkSession, df: DataFrame, folder: str) -> tuple[DataFrame, in
     Rewrites look at the incoming data several times: a fixed copy keeps a
     changing source consistent and survives lost executors, unlike a cache.
     """
-    n_rows = _put(df, folder, "overwrite", ())
+    n_rows = _put(df, folder, ())
     landed = spark.read.schema(df.schema).parquet(folder)
     return landed, landed.count() if n_rows is None else n_rows
 
 
-def _put(
-    df: DataFrame, path: str, mode: str, partition_cols: Sequence[str], arranged: bool = False
-) -> int | None:
-    """Write with one of Spark's own modes; returns the number of rows, if known.
+def _put(df: DataFrame, folder: str, partition_cols: Sequence[str], arranged: bool = False) -> int | None:
+    """Write into a folder of its own; returns the number of rows, if known.
 
     Rows are counted in the stage that writes them, where a retried task does
     not count twice.
@@ -119,54 +190,115 @@ def _put(
     if partition_cols and not arranged:
         df = _rebalanced(df, partition_cols)
     df = df.observe(counted, F.count(F.lit(1)).alias("n"))
-    df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(folder)
     return _rows(counted)
 
 
-def _swap(spark: SparkSession, path: str, stage: str, schema: T.StructType, partition_cols: Sequence[str], emptied: Sequence[str] = ()) -> None:
-    """Copy a stage over the table. May be repeated: it depends on nothing but the stage."""
-    if not files.exists(spark, stage):
-        raise FileNotFoundError(f"the staged content {stage} of {path} is gone")
-    rows = spark.read.schema(schema).parquet(stage).select([col(f.name) for f in schema])
-    if partition_cols:
-        _put_partitions(rows, path, partition_cols)
-    else:
-        rows.write.mode("overwrite").parquet(path)
-    for folder in emptied:
-        files.remove(spark, folder)
+def _new_version(path: str) -> tuple[str, str]:
+    """Name and folder of content to be written. No two loads share one, whatever their ids."""
+    version = uuid.uuid4().hex
+    return version, f"{path.rstrip('/')}/{VERSIONS}/{version}"
+
+
+def _commit(
+    history: History, load_id: str, tag: str, mode: str, n_rows: int, schema: T.StructType,
+    partition_cols: Sequence[str], version: str | None = None, units: Sequence[str] = (), emptied: Sequence[str] = (),
+) -> None:
+    """The record by which a load becomes part of the table."""
+    files.make_folder(history.spark, history.path)
+    history.record(load_id, tag, mode, DONE, n_rows, schema, partition_cols, version, units, emptied)
+
+
+def _staged_units(spark: SparkSession, folder: str, depth: int) -> list[str]:
+    return files.folders_named(spark, folder, depth, None) if depth else [""]
 
 
 def _replace(
-    spark: SparkSession, content: DataFrame, path: str, partition_cols: Sequence[str], stage: str,
-    emptied: Callable[[], Sequence[str]] = tuple,
-) -> None:
-    """Stage ``content``, log the replacement, carry it out and log its end."""
-    load_id = stage.rstrip("/").rsplit("/", 2)[-2]
-    content.write.mode("overwrite").partitionBy(*partition_cols).parquet(stage)
+    history: History, content: DataFrame, partition_cols: Sequence[str], names: Sequence[str] | None,
+    load_id: str, tag: str, mode: str, n_rows: int | None, arranged: bool = False,
+) -> int | None:
+    """Write ``content`` once and make it the place of all partitions of ``names`` (None: of the table).
+
+    Rows can leave one folder for another of the same name; a folder that is left
+    without rows is no longer part of the table.
+    """
+    spark = history.spark
+    version, folder = _new_version(history.path)
+    counted = _put(content, folder, partition_cols, arranged)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in content.schema])
-    gone = list(emptied())
-    record(spark, path, load_id, "", "replace", REPLACING, None, schema, partition_cols, stage, gone)
-    _swap(spark, path, stage, schema, partition_cols, gone)
-    record(spark, path, load_id, "", "replace", REPLACED, None, schema, partition_cols, stage, gone)
-
-
-def recover(spark: SparkSession, path: str) -> bool:
-    """Carry out a replacement that was cut off; returns whether there was one."""
-    pending = pending_replacement(spark, path)
-    if pending is None:
-        return False
-    schema = T.StructType.fromJson(json.loads(pending["table_schema"]))
-    _swap(spark, path, pending["stage"], schema, pending["partition_cols"], pending["emptied"])
-    record(
-        spark, path, pending["load_id"], "", "replace", REPLACED, None, schema,
-        pending["partition_cols"], pending["stage"], pending["emptied"],
+    units = _staged_units(spark, folder, len(partition_cols))
+    emptied = sorted(set(live_units(history, names)) - set(units)) if partition_cols else []
+    if n_rows is None:
+        n_rows = spark.read.schema(schema).parquet(folder).count() if counted is None else counted
+    _commit(history, load_id, tag, mode, n_rows, schema, partition_cols, version, units, emptied)
+    return n_rows
+
+
+def _undo(history: History, load_id: str, places: Sequence[str]) -> None:
+    """Remove the files that an append has moved into these folders."""
+    for place in places:
+        folder = f"{history.path.rstrip('/')}/{place}".rstrip("/")
+        for file in files.names(history.spark, folder):
+            if file.startswith(mark(load_id)):
+                files.remove(history.spark, f"{folder}/{file}")
+
+
+def recover(history: History) -> None:
+    """Undo the appends that were cut off. Only loads do this, before anything else."""
+    for r in history.unfinished():
+        _undo(history, r["load_id"], r["units"])
+        schema = T.StructType.fromJson(json.loads(r["table_schema"]))
+        history.record(r["load_id"], r["load_tag"], r["mode"], UNDONE, None, schema, r["partition_cols"])
+
+
+def _append(
+    history: History, df: DataFrame, schema: T.StructType, partition_cols: Sequence[str],
+    load_id: str, tag: str, mode: str, present: bool, arranged: bool,
+) -> int:
+    """Stage rows, log where they go, move their files there, log the end.
+
+    An append of the same id that ended before is taken back first, so that
+    repeating a load doesn't repeat its rows.
+    """
+    spark, path = history.spark, history.path.rstrip("/")
+    version, folder = _new_version(path)
+    n_rows = _put(df, folder, partition_cols, arranged)
+    if n_rows is None:
+        n_rows = spark.read.schema(schema).parquet(folder).count()
+    staged = _staged_units(spark, folder, len(partition_cols))
+    replaced = history.versions()
+    # A partition that has been emptied starts anew in the staged folder.
+    own = [u for u in staged if u in replaced and replaced[u][0] is None]
+    place = {
+        u: f"{VERSIONS}/{replaced[u][0]}/{u}".rstrip("/") if u in replaced else u for u in staged if u not in own
+    }
+    earlier = [r for r in history.done if r["load_id"] == load_id and r["mode"] == mode and not r["version"]]
+    before = sorted({p for r in earlier for p in r["units"]})
+    if any(unit_at(p) in replaced and replaced[unit_at(p)][1]["seq"] > r["seq"] for r in earlier for p in r["units"]):
+        raise ValueError(f"the rows of load {load_id} have been rewritten since; they can't be appended again")
+    history.record(
+        load_id, tag, mode, STARTED, None, schema, partition_cols,
+        units={*place.values(), *before}, creates=not present,
     )
-    return True
+    _undo(history, load_id, before)
+    moves = []
+    for unit, target in place.items():
+        files.make_folder(spark, f"{path}/{target}".rstrip("/"))
+        source = f"{folder}/{unit}".rstrip("/")
+        moves += [(f"{source}/{f}", f"{path}/{target}".rstrip("/") + f"/{mark(load_id)}-{f}") for f in files.names(spark, source, ".parquet")]
+    with ThreadPoolExecutor(_MOVERS) as pool:
+        list(pool.map(lambda m: files.move(spark, *m), moves))
+    if own:
+        _commit(history, load_id, tag, mode, n_rows, schema, partition_cols, version, own)
+    else:
+        _commit(history, load_id, tag, mode, n_rows, schema, partition_cols, units=sorted(place.values()))
+        files.remove(spark, folder)
+    return n_rows
 
 
-def _put_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_cols).parquet(path)
+def unit_at(place: str) -> str:
+    """The unit that lies at a place."""
+    return "/".join(place.split("/")[2:]) if place.startswith(f"{VERSIONS}/") else place
 
 
 def _rebalanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
@@ -196,41 +328,34 @@ def write(
     mode = mode.lower()
     load_id = load_id or files.new_load_id()
     partition_cols = [resolve(df, c) for c in partition_cols]
-    recover(spark, path)
-    present = table_exists(spark, path)
+    history = _opened(spark, path, partition_cols)
+    present = _present(history)
     if mode == "overwrite" and partition_cols and present:
         return overwrite_where(spark, df, path, partition_cols, where, tag, load_id, zorder_cols)
     if present and mode == "ignore":
         return Written(0)
     if present and mode in ("error", "errorifexists", "default"):
         raise FileExistsError(f"{path} already exists")
+    recover(history)
     df = blank_partitions_to_null(df, partition_cols)
-    present_schema = table_schema(spark, path, partition_cols) if present else T.StructType()
+    present_schema = _schema(history, partition_cols) if present else T.StructType()
     schema = evolved_schema(present_schema, df.schema)
     df = conform(df, schema)
     if mode == "overwrite" and partition_cols:
         df = check_incoming(df, where, partition_cols[-1])
-    if schema != present_schema:
-        record(spark, path, load_id, tag, mode, STARTED, None, schema, partition_cols)
-    replaces = present and mode == "overwrite"
-    folder = f"{files.staging_root(spark, path)}/{load_id}"
     arranged = bool(zorder_cols) and not (present and partition_cols)
-    if replaces:
-        # Spark clears the folder first: a source that fails must do so before that.
-        landed, n_rows = land(spark, df, f"{folder}/incoming")
-        _replace(spark, zorder(landed, zorder_cols) if zorder_cols else landed, path, (), f"{folder}/stage")
-        files.remove(spark, folder)
+    folder = f"{files.staging_root(spark, path)}/{load_id}"
+    if arranged:
+        # Clustering looks at the rows several times; the source is read once.
+        landed, _ = land(spark, df, f"{folder}/incoming")
+        df = zorder(landed, zorder_cols, partition_cols)
+    if present and mode == "overwrite":
+        n_rows = _replace(history, df, (), None, load_id, tag, mode, None, arranged)
     else:
         # What the other modes allow has been settled above.
-        if arranged:
-            # Clustering looks at the rows several times; the source is read once.
-            landed, _ = land(spark, df, f"{folder}/incoming")
-            df = zorder(landed, zorder_cols, partition_cols)
-        n_rows = _put(df, path, "append", partition_cols, arranged)
-        n_rows = df.count() if n_rows is None else n_rows
-        if arranged:
-            files.remove(spark, folder)
-    record(spark, path, load_id, tag, mode, DONE, n_rows, schema, partition_cols)
+        n_rows = _append(history, df, schema, partition_cols, load_id, tag, mode, present, arranged)
+    if arranged:
+        files.remove(spark, folder)
     return Written(n_rows, clustered=arranged)
 
 
@@ -250,23 +375,21 @@ def overwrite_where(
     """
     load_id = load_id or files.new_load_id()
     partition_cols = [resolve(df, c) for c in partition_cols]
-    recover(spark, path)
-    if not table_exists(spark, path):
+    history = _opened(spark, path, partition_cols)
+    if not _present(history):
         return write(spark, df, path, "overwrite", partition_cols, tag, where, load_id, zorder_cols)
+    recover(history)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
-    present = table_schema(spark, path, partition_cols)
+    present = _schema(history, partition_cols)
     incoming = blank_partitions_to_null(df, partition_cols)
     incoming, n_rows = land(spark, incoming, f"{folder}/incoming")
     if n_rows:
         scope = partition_scope(incoming, partition_cols[-1])
-        schema = evolved_schema(present, incoming.schema)
-        target = scope.inside(read_table(spark, path, present))
+        names = _folder_names(scope)
+        target = _read(history, present, names)
         content = replace_touched(target, incoming, where, scope.column)
-        if schema != present:
-            record(spark, path, load_id, tag, "overwrite", STARTED, None, schema, partition_cols)
         arrange = _clustering(zorder_cols, partition_cols, target, incoming)
-        _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage", scope, arrange)
-        record(spark, path, load_id, tag, "overwrite", DONE, n_rows, schema, partition_cols)
+        _replace_partitions(history, content, partition_cols, names, arrange, load_id, tag, "overwrite", n_rows)
     files.remove(spark, folder)
     return Written(n_rows, clustered=bool(zorder_cols))
 
@@ -288,28 +411,28 @@ def upsert_table(
     """
     load_id = load_id or files.new_load_id()
     partition_cols = [resolve(df, c) for c in partition_cols]
-    recover(spark, path)
-    if not table_exists(spark, path):
+    history = _opened(spark, path, partition_cols)
+    if not _present(history):
         return write(spark, df, path, mode, partition_cols, tag, None, load_id, zorder_cols)
+    recover(history)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
-    schema = table_schema(spark, path, partition_cols)
+    schema = _schema(history, partition_cols)
     incoming = blank_partitions_to_null(df, partition_cols)
     incoming, n_rows = land(spark, incoming, f"{folder}/incoming")
-    target = read_table(spark, path, schema)
     if n_rows and partition_cols:
-        scope = partition_scope(incoming, partition_cols[-1])
-        touched = scope.inside(target)
-        content = upsert(touched, incoming, keys)
-        if scope.has_null:
-            # Inserts land in the null partition, whose directory is rewritten: carry its rows.
-            content = content.unionByName(target.where(col(scope.column).isNull()))
-        arrange = _clustering(zorder_cols, partition_cols, touched, incoming)
-        _replace_partitions(spark, content, path, partition_cols, f"{folder}/stage", scope, arrange)
+        names = _folder_names(partition_scope(incoming, partition_cols[-1]))
+        target = _read(history, schema, names)
+        # Rows of the null partition match nothing; they are carried, as inserts may land beside them.
+        nowhere = col(partition_cols[-1]).isNull()
+        content = upsert(target.where(~nowhere), incoming, keys).unionByName(target.where(nowhere))
+        arrange = _clustering(zorder_cols, partition_cols, target, incoming)
+        _replace_partitions(history, content, partition_cols, names, arrange, load_id, tag, "merge", n_rows)
     elif n_rows:
-        content = upsert(target, incoming, keys)
-        arrange = (lambda df: zorder(df, zorder_cols)) if zorder_cols else None
-        _replace_table(spark, content, path, f"{folder}/stage", arrange)
-    record(spark, path, load_id, tag, "merge", DONE, n_rows, schema, partition_cols)
+        content = upsert(_read(history, schema), incoming, keys)
+        content = zorder(content, zorder_cols) if zorder_cols else content
+        _replace(history, content, (), None, load_id, tag, "merge", n_rows, bool(zorder_cols))
+    else:
+        _commit(history, load_id, tag, "merge", 0, schema, partition_cols)
     files.remove(spark, folder)
     return Written(n_rows, clustered=bool(zorder_cols))
 
@@ -338,45 +461,17 @@ def _clustering(
 
 
 def _replace_partitions(
-    spark: SparkSession,
-    content: DataFrame,
-    path: str,
-    partition_cols: Sequence[str],
-    stage: str,
-    scope: PartitionScope,
-    arrange: Arrange | None,
-) -> None:
-    """Put ``content`` in place of every directory it touches.
+    history: History, content: DataFrame, partition_cols: Sequence[str], names: Sequence[str],
+    arrange: Arrange | None, load_id: str, tag: str, mode: str, n_rows: int,
+) -> None:
+    """Put ``content`` in place of the folders it touches.
 
-    A single directory takes the splits its content was computed in, several
-    are rebalanced. Each last-level value in ``content`` receives rows, but with
-    several partition columns rows can leave one directory for another of the
-    same last value. Staging shows which directories were emptied; those go last.
-    The driver sees the touched directories, never the files of the table.
+    A single folder takes the splits its content was computed in, several are
+    rebalanced. The driver sees the touched folders, never the files of the table.
     """
-    if len(partition_cols) == 1:
-        one_folder = len(scope.literals or ()) == 1 and not scope.has_null
-        if arrange:
-            content = arrange(content)
-        elif not one_folder:
-            content = _rebalanced(content, partition_cols)
-        _replace(spark, content, path, partition_cols, stage)
-        return
-
-    def emptied() -> list[str]:
-        staged = {row["relative"] for row in files.folders(spark, stage).collect()}
-        last = sorted({folder.rsplit("/", 1)[-1] for folder in staged})
-        before = files.folders_named(spark, path, len(partition_cols), last)
-        return [f"{path.rstrip('/')}/{folder}" for folder in before if folder not in staged]
-
-    content = arrange(content) if arrange else _rebalanced(content, partition_cols)
-    _replace(spark, content, path, partition_cols, stage, emptied)
-
-
-def _replace_table(
-    spark: SparkSession, content: DataFrame, path: str, stage: str, arrange: Arrange | None
-) -> None:
-    _replace(spark, arrange(content) if arrange else content, path, (), stage)
+    one_folder = len(partition_cols) == 1 and len(names) == 1
+    content = arrange(content) if arrange else content
+    _replace(history, content, partition_cols, names, load_id, tag, mode, n_rows, bool(arrange) or one_folder)
 
 
 def cluster_table(
@@ -389,16 +484,9 @@ def cluster_table(
     load_id: str | None = None,
 ) -> None:
     """Z-order the touched partitions (or the whole table) by ``columns``."""
-    recover(spark, path)
-    schema = table_schema(spark, path, partition_cols)
-    table = read_table(spark, path, schema)
-    if scope is not None:
-        table = scope.inside(table)
-    folder = f"{files.staging_root(spark, path)}/{load_id or files.new_load_id()}"
-    if partition_cols:
-        _replace(spark, zorder(table, columns, partition_cols, files_per_write), path, partition_cols, f"{folder}/stage")
-        files.remove(spark, folder)
-        return
-    arrange = lambda df: zorder(df, columns, (), files_per_write)
-    _replace_table(spark, table, path, f"{folder}/stage", arrange)
-    files.remove(spark, folder)
+    history = _opened(spark, path, partition_cols)
+    recover(history)
+    schema = _schema(history, partition_cols)
+    names = _folder_names(scope) if scope is not None and partition_cols else None
+    content = zorder(_read(history, schema, names), columns, partition_cols, files_per_write)
+    _replace(history, content, partition_cols, names, load_id or files.new_load_id(), "", "cluster", None, True)
