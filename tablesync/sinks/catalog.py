@@ -62,7 +62,7 @@ def _follow(spark: SparkSession, name: str, history: History, layout: Sequence[s
         live, moved, gone = live_units(history), [], []
     else:
         new = [r for r in history.done if r["seq"] > seen]
-        touched = {unit_at(u) for r in new for u in [*r["units"], *r["emptied"]]}
+        touched = {u for r in new for u in [*r["units"], *r["emptied"], *map(unit_at, r["places"])]}
         last = {u.rsplit("/", 1)[-1] for u in touched}
         now = live_units(history, sorted(last)) if touched else {}
         live = {u: place for u, place in now.items() if u in touched}

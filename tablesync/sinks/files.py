@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Where a data file's name has the mark of the write that made it.
+JOB_IN_NAME = r"^part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
 _NAMES_PER_GLOB = 200
 LISTING = "struct<path: string, modificationTime: timestamp, length: bigint>"
 
@@ -18,9 +20,16 @@ def new_load_id() -> str:
     return uuid.uuid4().hex
 
 
+_systems: dict[tuple, object] = {}
+
+
 def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, asked for once, and the path."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+    key = id(spark._jvm), re.match(r"(?:[^:/]+:(?://[^/]*)?)?", path)[0]
+    if key not in _systems:
+        _systems[key] = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return _systems[key], hadoop_path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -86,12 +95,18 @@ def text(spark: SparkSession, path: str) -> str:
 
 
 def move(spark: SparkSession, path: str, target: str) -> None:
-    """Rename a file within its file system; a target that is there already is an error."""
+    """Rename a file or folder within its file system; a target that is there already is an error."""
     fs, source = _hadoop(spark, path)
     if not fs.rename(source, _hadoop(spark, target)[1]):
         raise OSError(f"{path} could not be moved to {target}")
 
 
+def job_of(file: str) -> str | None:
+    """The mark that all data files of one Spark write carry in their names."""
+    found = re.match(JOB_IN_NAME, file)
+    return found and found[1]
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below ``path``."""
     fs, p = _hadoop(spark, path)

@@ -48,7 +48,7 @@ def replaced_folders(spark: SparkSession, path: str, retention_hours: float = RE
             found += [f"{root}/{VERSIONS}/{version}"] if modified_ms <= cutoff.timestamp() * 1000 else []
             continue
         units = files.folders_named(spark, folder, history.depth, None) if history.depth else [""]
-        gone = [u for u in units if f"{VERSIONS}/{version}/{u}".rstrip("/") not in live and since[u] <= cutoff]
+        gone = [u for u in units if f"{VERSIONS}/{version}/{u}".rstrip("/") not in live and since.get(u, cutoff) <= cutoff]
         whole = len(gone) == len(units)
         found += [f"{root}/{VERSIONS}/{version}"] if whole else [f"{root}/{VERSIONS}/{version}/{u}" for u in gone]
     return found

@@ -35,7 +35,7 @@ from tablesync.operators.merge import (
 )
 from tablesync.operators.predicates import PartitionScope, partition_scope
 from tablesync.sinks import files
-from tablesync.sinks.loadlog import DONE, STARTED, UNDONE, VERSIONS, History, mark
+from tablesync.sinks.loadlog import CREATING, DONE, STARTED, UNDONE, VERSIONS, History
 
 _MOVERS = 16  # files renamed at once
 
@@ -124,11 +124,11 @@ def _read(history: History, schema: T.StructType, names: Sequence[str] | None =
         for root, places in sorted(by_root.items()):
             base = f"{path}/{root}".rstrip("/")
             parts.append(reader.option("basePath", base).parquet(*[f"{path}/{p}".rstrip("/") for p in sorted(places)]))
-    hidden = [mark(r["load_id"]) for r in history.unfinished()]
+    hidden = history.hidden()
     rows = None
     for part in parts:
-        for prefix in hidden:
-            part = part.where(~F.col("_metadata.file_name").startswith(prefix))
+        if hidden:
+            part = part.where(~F.regexp_extract("_metadata.file_name", files.JOB_IN_NAME, 1).isin(hidden))
         part = part.select([col(f.name) for f in schema])
         rows = part if rows is None else rows.union(part)
     return spark.createDataFrame([], schema) if rows is None else rows
@@ -202,11 +202,11 @@ def _new_version(path: str) -> tuple[str, str]:
 
 def _commit(
     history: History, load_id: str, tag: str, mode: str, n_rows: int, schema: T.StructType,
-    partition_cols: Sequence[str], version: str | None = None, units: Sequence[str] = (), emptied: Sequence[str] = (),
+    partition_cols: Sequence[str], **places,
 ) -> None:
     """The record by which a load becomes part of the table."""
     files.make_folder(history.spark, history.path)
-    history.record(load_id, tag, mode, DONE, n_rows, schema, partition_cols, version, units, emptied)
+    history.record(load_id, tag, mode, DONE, n_rows, schema, partition_cols, **places)
 
 
 def _staged_units(spark: SparkSession, folder: str, depth: int) -> list[str]:
@@ -230,23 +230,26 @@ def _replace(
     emptied = sorted(set(live_units(history, names)) - set(units)) if partition_cols else []
     if n_rows is None:
         n_rows = spark.read.schema(schema).parquet(folder).count() if counted is None else counted
-    _commit(history, load_id, tag, mode, n_rows, schema, partition_cols, version, units, emptied)
+    _commit(history, load_id, tag, mode, n_rows, schema, partition_cols, version=version, units=units, emptied=emptied)
     return n_rows
 
 
-def _undo(history: History, load_id: str, places: Sequence[str]) -> None:
-    """Remove the files that an append has moved into these folders."""
-    for place in places:
+def _undo(history: History, record: dict) -> None:
+    """Remove the files that an append has moved into the table."""
+    for place in record["places"] if record["mark"] else ():
         folder = f"{history.path.rstrip('/')}/{place}".rstrip("/")
-        for file in files.names(history.spark, folder):
-            if file.startswith(mark(load_id)):
-                files.remove(history.spark, f"{folder}/{file}")
+        left = files.names(history.spark, folder)
+        own = [file for file in left if files.job_of(file) == record["mark"]]
+        for file in own:
+            files.remove(history.spark, f"{folder}/{file}")
+        if place and own == left and place in record["creates"]:
+            files.remove(history.spark, folder)
 
 
 def recover(history: History) -> None:
-    """Undo the appends that were cut off. Only loads do this, before anything else."""
+    """Take back the appends that were cut off. Only loads do this, before anything else."""
     for r in history.unfinished():
-        _undo(history, r["load_id"], r["units"])
+        _undo(history, r)
         schema = T.StructType.fromJson(json.loads(r["table_schema"]))
         history.record(r["load_id"], r["load_tag"], r["mode"], UNDONE, None, schema, r["partition_cols"])
 
@@ -257,7 +260,7 @@ def _append(
 ) -> int:
     """Stage rows, log where they go, move their files there, log the end.
 
-    An append of the same id that ended before is taken back first, so that
+    An append of the same id that ended before is replaced by this one, so that
     repeating a load doesn't repeat its rows.
     """
     spark, path = history.spark, history.path.rstrip("/")
@@ -267,31 +270,38 @@ def _append(
         n_rows = spark.read.schema(schema).parquet(folder).count()
     staged = _staged_units(spark, folder, len(partition_cols))
     replaced = history.versions()
+    last = sorted({u.rsplit("/", 1)[-1] for u in staged})
+    there = live_units(history, last if partition_cols else None) if present else {}
     # A partition that has been emptied starts anew in the staged folder.
     own = [u for u in staged if u in replaced and replaced[u][0] is None]
-    place = {
-        u: f"{VERSIONS}/{replaced[u][0]}/{u}".rstrip("/") if u in replaced else u for u in staged if u not in own
-    }
-    earlier = [r for r in history.done if r["load_id"] == load_id and r["mode"] == mode and not r["version"]]
-    before = sorted({p for r in earlier for p in r["units"]})
-    if any(unit_at(p) in replaced and replaced[unit_at(p)][1]["seq"] > r["seq"] for r in earlier for p in r["units"]):
-        raise ValueError(f"the rows of load {load_id} have been rewritten since; they can't be appended again")
-    history.record(
-        load_id, tag, mode, STARTED, None, schema, partition_cols,
-        units={*place.values(), *before}, creates=not present,
-    )
-    _undo(history, load_id, before)
+    place = {u: f"{VERSIONS}/{version}/{u}" if u in own else there.get(u, u) for u in staged}
+    earlier = [r for r in history.done if mode == "append" == r["mode"] and r["load_id"] == load_id and r["mark"]]
+    for r in earlier:
+        if any(replaced[u][1]["seq"] > r["seq"] for u in map(unit_at, r["places"]) if u in replaced):
+            raise ValueError(f"the rows of load {load_id} have been rewritten since; they can't be appended again")
+    new = [u for u in staged if u not in there and u not in own]
+    first = next((f for u in staged for f in files.names(spark, f"{folder}/{u}".rstrip("/"), ".parquet")), "")
+    job, places = files.job_of(first), sorted(place.values())
+    history.record(load_id, tag, mode, STARTED if present else CREATING, None, schema, partition_cols, places=places, creates=new, mark=job)
     moves = []
     for unit, target in place.items():
-        files.make_folder(spark, f"{path}/{target}".rstrip("/"))
-        source = f"{folder}/{unit}".rstrip("/")
-        moves += [(f"{source}/{f}", f"{path}/{target}".rstrip("/") + f"/{mark(load_id)}-{f}") for f in files.names(spark, source, ".parquet")]
+        source, to = f"{folder}/{unit}".rstrip("/"), f"{path}/{target}".rstrip("/")
+        if unit in own:
+            continue
+        if unit and unit in new:  # the whole folder
+            moves.append((source, to))
+        else:
+            moves += [(f"{source}/{f}", f"{to}/{f}") for f in files.names(spark, source, ".parquet")]
+    for parent in {to.rsplit("/", 1)[0] for _, to in moves} or {path}:
+        files.make_folder(spark, parent)
     with ThreadPoolExecutor(_MOVERS) as pool:
         list(pool.map(lambda m: files.move(spark, *m), moves))
-    if own:
-        _commit(history, load_id, tag, mode, n_rows, schema, partition_cols, version, own)
-    else:
-        _commit(history, load_id, tag, mode, n_rows, schema, partition_cols, units=sorted(place.values()))
+    undone = [r["mark"] for r in earlier]
+    _commit(history, load_id, tag, mode, n_rows, schema, partition_cols,
+            version=version if own else None, units=own, places=places, creates=new, mark=job, undone=undone)
+    for r in earlier:
+        _undo(history, r)
+    if not own:
         files.remove(spark, folder)
     return n_rows
 

@@ -109,6 +109,45 @@ def test_registration_follows_the_table(spark, folder):
     assert not catalog.register_table(spark, "reg_db", "nothing", f"{folder}/nothing")
 
 
+def test_registration_names_what_loads_touched(spark, folder, monkeypatch):
+    """No repair of all partitions; moved, new and emptied partitions follow, also after a registration that failed."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS follow_db LOCATION '{folder}/db'")
+    path, names = f"{folder}/t", "id int, q string, p string"
+    frame = lambda rows: spark.createDataFrame(rows, names)
+    table.write(spark, frame([(i, "x", f"p{i}") for i in range(20)] + [(50, "x", None)]), path, partition_cols=["q", "p"])
+    said = []
+    real = type(spark).sql
+
+    def sql(self, query, *args, **named):
+        said.append(query)
+        return real(self, query, *args, **named)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+
+    def followed():
+        said.clear()
+        catalog.register_table(spark, "follow_db", "t", path, ["q", "p"])
+        view = brute.bag(spark.table("follow_db.t").select("id", "q", "p"))
+        assert view == brute.bag(table.read_table(spark, path))
+        assert not any("MSCK" in s for s in said)
+        return " ".join(s for s in said if "PARTITION " in s)
+
+    assert "'p7'" in followed()
+    assert followed() == ""
+    table.write(spark, frame([(100, "x", "p3"), (101, "y", "p4")]), path, "overwrite", ["q", "p"])
+    statements = followed()
+    assert "'p3'" in statements and "DROP IF EXISTS" in statements and "'p7'" not in statements
+    table.write(spark, frame([(102, "x", "p4"), (103, "z", "new")]), path, "append", ["q", "p"])
+    table.upsert_table(spark, frame([(50, "x", None), (7, "x", "p7")]), path, ["id"], ["q", "p"])
+    statements = followed()
+    assert "'new'" in statements and "NULL" in statements and "'p9'" not in statements
+    table.write(spark, spark.sql("SELECT 1 id"), f"{folder}/u")
+    for n in (2, 3):
+        catalog.register_table(spark, "follow_db", "u", f"{folder}/u")
+        assert spark.table("follow_db.u").count() == table.read_table(spark, f"{folder}/u").count()
+        table.write(spark, spark.range(n).selectExpr("int(id) id"), f"{folder}/u", "overwrite")
+
+
 def test_change_tracking_is_refused(spark, folder):
     with pytest.raises(NotImplementedError):
         load(spark, folder, DAYS, change_tracking="true", primary_key="id")

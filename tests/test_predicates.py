@@ -63,12 +63,11 @@ def test_window_is_pushed_to_the_scan(spark):
         ("decimal(5,2)", [Decimal("1.50"), None]),
     ],
 )
-@pytest.mark.parametrize("max_literals", [100, 0])
-def test_scope_by_type(spark, type_name, values, max_literals):
+def test_scope_by_type(spark, type_name, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"id int, p {type_name}")
     doubled = df.union(df)
-    scope = pred.partition_scope(doubled, "P", max_literals)
-    assert scope.has_null and (scope.literals is None) == (max_literals == 0)
+    scope = pred.partition_scope(doubled, "P")
+    assert scope.has_null and not scope.is_empty
     assert scope.values.count() == len(values) - 1
     assert scope.inside(doubled).count() == 2 * (len(values) - 1)
     flags = {(r["p"], r["in"]) for r in scope.tag(doubled, "in").collect()}
@@ -87,19 +86,9 @@ def test_scope_of_wall_clocks(spark):
     assert pred.partition_scope(df, "p").inside(df).count() == 1
 
 
-def test_literal_scope_prunes_partitions(spark, folder):
-    df = spark.range(10).withColumn("p", (F.col("id") % 5).cast("string"))
-    df.write.partitionBy("p").parquet(f"{folder}/t")
-    stored = spark.read.schema(df.schema).parquet(f"{folder}/t")
-    scope = pred.partition_scope(spark.sql("SELECT '1' p"), "p")
-    text = plan(scope.inside(stored))
-    assert "PartitionFilters: [isnotnull(p" in text and "(p#" in text
-
-
 def test_merge_condition_text(spark):
-    scope = pred.partition_scope(spark.sql("SELECT 'a' p"), "p")
-    text = str(pred.merge_condition(["k", "l"], scope, "s_", "t_"))
-    for part in ("target.`p`", "source.`s_k`", "target.`t_k`", "source.`s_l`"):
+    text = str(pred.merge_condition(["k", "l"], F.col("target.inside"), "s_", "t_"))
+    for part in ("target.inside", "source.`s_k`", "target.`t_k`", "source.`s_l`"):
         assert part.replace("`", "") in text.replace("`", "")
 
 
@@ -108,15 +97,3 @@ def test_checked(spark):
     assert pred.checked(df.where("id < 2"), F.col("p").isNotNull(), "p", "bad").count() == 2
     with pytest.raises(Exception, match="bad row"):
         pred.checked(df, F.col("p") >= 0, "p", "bad row").collect()
-
-
-def test_joined_scope_prunes_partitions_by_its_ends(spark, folder):
-    df = spark.range(10).withColumn("p", F.col("id") % 5)
-    df.write.partitionBy("p").parquet(f"{folder}/t")
-    stored = spark.read.schema(df.schema).parquet(f"{folder}/t")
-    scope = pred.partition_scope(spark.range(2, 4).toDF("p"), "p", max_literals=1)
-    assert scope.literals is None and scope.ends == (2, 3)
-    text = plan(scope.inside(stored))
-    assert "(p#" in text and ">= 2)" in text and "<= 3)" in text
-    assert text.index("PartitionFilters: [isnotnull(p") > 0
-    assert {r["p"] for r in scope.inside(stored).collect()} == {2, 3}

@@ -1,6 +1,5 @@
 import os
 from datetime import date
-from functools import partial
 from types import SimpleNamespace
 
 import brute
@@ -8,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_merge import NAMES, SCHEMA, SOURCE, TARGET, dicts
-from tablesync.operators import predicates
+from tablesync.operators.predicates import partition_scope
 from tablesync.sinks import files, loadlog, table
 from tablesync.sinks.loadlog import DONE, load_log
 from tablesync.sinks.sweep import expired_files, sweep
@@ -125,7 +124,10 @@ def test_nested_partitions_leave_no_emptied_directory(spark, path):
     table.write(spark, frame(spark, rows), path, partition_cols=["v", "p"])
     table.write(spark, frame(spark, [(4, "a", "x", 4)]), path, "overwrite", ["v", "p"])
     assert sorted(stored(spark, path)) == [(3, "b", "y", 3), (4, "a", "x", 4)]
+    assert not [f for f in table.read_table(spark, path).inputFiles() if "/v=y/p=a/" in f]
+    sweep(spark, path, 0)
     assert not [f for f in data_files(path) if "/v=y/p=a/" in f]
+    assert sorted(stored(spark, path)) == [(3, "b", "y", 3), (4, "a", "x", 4)]
     assert staged_files(spark, path) == 0
 
 
@@ -161,7 +163,7 @@ def test_failed_upsert_leaves_the_table(spark, path, parts):
     assert staged_files(spark, path) > 0
     sweep(spark, path, 1)
     assert staged_files(spark, path) > 0
-    assert expired_files(spark, path, 0).count() == staged_files(spark, path)
+    assert expired_files(spark, path, 0).count() >= staged_files(spark, path)
     sweep(spark, path, 0)
     assert staged_files(spark, path) == 0
 
@@ -205,16 +207,14 @@ def test_load_log(spark, path):
     ]
 
 
-def test_many_partition_values_are_joined_not_listed(spark, path, monkeypatch):
-    few = partial(predicates.partition_scope, max_literals=1)
-    monkeypatch.setattr(table, "partition_scope", few)
-    table.write(spark, frame(spark, TARGET), path, partition_cols=["p"])
-    table.upsert_table(spark, frame(spark, SOURCE), path, ["id"], ["p"])
-    assert stored(spark, path) == brute.upsert(dicts(TARGET), dicts(SOURCE), "id", "p")
-    new = [(1, "a", "n", 1), (2, "b", "n", 2)]
-    now = [dict(zip(NAMES, r)) for r in table.read_table(spark, path).collect()]
-    table.write(spark, frame(spark, new), path, "overwrite", ["p"])
-    assert stored(spark, path) == brute.replace(now, dicts(new), "p", lambda t: True)
+@pytest.mark.parametrize("n_values", [3, 12_000])
+def test_only_touched_folders_are_listed(spark, path, n_values):
+    """However many values a load brings."""
+    table.write(spark, spark.range(0, 400, 1, 4).select("id", F.col("id").alias("p")), path, partition_cols=["p"])
+    values = spark.range(5, 5 + n_values * 200, 200).select(F.col("id").alias("p"))
+    rows = table.read_table(spark, path, scope=partition_scope(values, "p"))
+    assert sorted(r["id"] for r in rows.collect()) == [5, 205]
+    assert len(rows.inputFiles()) == 2 and "InMemoryFileIndex(2 paths)" in rows._jdf.queryExecution().toString()
 
 
 def test_partitioned_write_makes_few_files(spark, path):
@@ -298,16 +298,87 @@ def test_odd_names_of_emptied_folders(spark, path):
     table.write(spark, new, path, "overwrite", ["q", "r"])
     kept = {(r["id"], r["q"], r["r"]) for r in table.read_table(spark, path).collect()}
     assert kept == {(0, "x", "a,b")} | {(i, "y", n) for i, n in enumerate(names) if i}
-    folders = {r["relative"] for r in files.folders(spark, path).collect()}
-    assert len(folders) == len(names)
+    assert len(table.live_units(loadlog.History.of(spark, path))) == len(names)
 
 
 def test_log_is_compacted_and_keeps_its_records(spark, path, monkeypatch):
     monkeypatch.setattr(loadlog, "MAX_FILES", 3)
     for i in range(4):
         table.write(spark, frame(spark, SOURCE), path, "append", tag=f"v{i}")
-    listed = files.matching(spark, f"{loadlog.log_path(path)}/*.parquet")
-    assert len(listed) <= 3
+    listed = files.names(spark, loadlog.log_path(path))
+    assert len(listed) <= 4
+    assert stored(spark, path) == brute.bag(frame(spark, SOURCE * 4))
     done = load_log(spark, path).where(F.col("status") == DONE)
     assert sorted(r["load_tag"] for r in done.collect()) == ["v0", "v1", "v2", "v3"]
     assert load_log(spark, path).groupBy("seq").count().where("count > 1").isEmpty()
+
+
+def test_superseded_folders_stay_for_the_retention(spark, path):
+    """A reader that has begun goes on reading what has been replaced since."""
+    table.write(spark, frame(spark, TARGET), path, partition_cols=["p"])
+    before = table.read_table(spark, path)
+    table.write(spark, frame(spark, [(50, "a", "n", 1)]), path, "overwrite", ["p"])
+    table.upsert_table(spark, frame(spark, [(51, "a", "n", 1)]), path, ["id"], ["p"])
+    sweep(spark, path)
+    assert brute.bag(before) == brute.bag(frame(spark, TARGET))
+    now = stored(spark, path)
+    removed = sweep(spark, path, 0)
+    assert len(removed) == 2 and stored(spark, path) == now
+    assert sweep(spark, path, 0) == []
+
+
+def test_appends_follow_their_partitions(spark, path):
+    """Into the folder that an overwrite has switched to, and anew where a partition was emptied."""
+    rows = [(1, "a", "x", 1), (2, "a", "y", 2), (3, "b", "y", 3)]
+    table.write(spark, frame(spark, rows), path, partition_cols=["v", "p"])
+    table.write(spark, frame(spark, [(4, "a", "x", 4)]), path, "overwrite", ["v", "p"])
+    more = [(5, "a", "x", 5), (6, "a", "y", 6), (7, "b", "y", 7), (8, "c", "z", 8)]
+    table.write(spark, frame(spark, more), path, "append", ["v", "p"])
+    expected = [(3, "b", "y", 3), (4, "a", "x", 4), *more]
+    assert sorted(stored(spark, path)) == sorted(expected)
+    sweep(spark, path, 0)
+    assert sorted(stored(spark, path)) == sorted(expected)
+
+
+def test_unpartitioned_versions(spark, path):
+    table.write(spark, frame(spark, TARGET), path)
+    for n in (1, 2):
+        table.write(spark, frame(spark, [(n, "a", "n", 1)]), path, "overwrite")
+    table.write(spark, frame(spark, [(9, "b", "n", 1)]), path, "append")
+    sweep(spark, path, 0)
+    assert sorted(stored(spark, path)) == [(2, "a", "n", 1), (9, "b", "n", 1)]
+    assert len({os.path.dirname(f) for f in data_files(path)}) == 1
+
+
+def test_a_table_without_a_log_can_be_loaded(spark, path):
+    """Written by something else, with partitions."""
+    frame(spark, TARGET).where("p IS NOT NULL").write.partitionBy("p").parquet(path)
+    own = [r for r in TARGET if r[1] is not None]
+    new = [(90, "a", "n", 1)]
+    table.write(spark, frame(spark, new).select("id", "v", "w", "p"), path, "overwrite", ["p"])
+    expected = brute.replace(dicts(own), dicts(new), "p", lambda t: True)
+    assert brute.bag(table.read_table(spark, path).select(NAMES)) == expected
+
+
+def test_folder_names(spark, path):
+    odd = ["a b", "x=y", "50%", 'q"', "{z}", "[n]", "tab\t", "ü", "^", "a\\b", "__HIVE_DEFAULT_PARTITION__x"]
+    rows = [(i, v, "v", i) for i, v in enumerate(odd)]
+    table.write(spark, frame(spark, rows), path, partition_cols=["p"])
+    names = {d for d in os.listdir(path) if d.startswith("p=")}
+    assert names == {files.folder_name("p", v) for v in odd}
+    assert {files.folder_value(n)[1] for n in names} == set(odd)
+    assert files.folder_value(files.folder_name("p", None)) == ("p", None)
+    for scoped in odd:
+        scope = partition_scope(frame(spark, [(0, scoped, "v", 0)]), "p")
+        assert table.read_table(spark, path, scope=scope).count() == 1
+
+
+def test_repeated_append_into_an_emptied_partition(spark, path):
+    rows = [(1, "a", "x", 1), (2, "a", "y", 2)]
+    table.write(spark, frame(spark, rows), path, partition_cols=["v", "p"])
+    table.write(spark, frame(spark, rows[:1]), path, "overwrite", ["v", "p"])
+    for _ in range(2):
+        table.write(spark, frame(spark, rows[1:]), path, "append", ["v", "p"], load_id="again")
+        assert sorted(stored(spark, path)) == rows
+    sweep(spark, path, 0)
+    assert sorted(stored(spark, path)) == rows
