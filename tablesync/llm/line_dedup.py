@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablesync.llm.frames import packed, text_of, written
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_ENDS = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+_ENDS = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z"  # "$" would also match before a last U+0085 or U+2028
 
 
 def line_key(line: Column) -> Column:

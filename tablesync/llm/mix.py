@@ -62,6 +62,17 @@ def _boundaries(rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda done: done["sums"])
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, with underscores where ``taken`` has them already."""
+    out, used = [], {t.lower() for t in taken}
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix(
     docs: DataFrame,
     rates: DataFrame,
@@ -76,8 +87,9 @@ def mix(
     Copies are dealt to partitions by a hash of ``mix_key`` and sorted by it
     there, so rows of one source or document spread over the whole output.
 
-    Repeated rows get equally many copies each; a missing id hashes as an empty
-    one. Rows of sources that ``rates`` lacks, or with rate 0, get no copy.
+    Repeated rows of one id get equally many copies each. A row without id draws
+    by its content and place in the input, so such rows don't live or die together.
+    Rows of sources that ``rates`` lacks, or with rate 0, get no copy.
     """
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / F.lit(PART)).cast("int"))
     plan = rates.where("rate > 0").withColumn("parts", parts)
@@ -86,6 +98,8 @@ def mix(
     )
     plan = written(plan)
     base = packed(docs, id=id_col, source=source_col)
+    place = F.concat_ws(":", F.lit("row"), F.xxhash64("row"), F.monotonically_increasing_id())
+    base = base.withColumn("id", F.coalesce(F.col("id").cast("string"), place))
     joined = base.join(plan, base["source"].eqNullSafe(plan["source"]))
     copies = F.aggregate(
         F.sequence(F.lit(1), F.col("parts")),
@@ -99,7 +113,7 @@ def mix(
         joined.withColumn("copies", copies)
         .where("copies > 0")
         .select("row", "id", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-        .select("row", "copy", F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("copy"))).alias("mix_key"))
+        .select("row", "copy", F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.col("id"), F.col("copy"))).alias("mix_key"))
         .repartition("mix_key")
         .sortWithinPartitions("mix_key")
     )

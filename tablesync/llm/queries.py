@@ -13,7 +13,7 @@ from tablesync.llm.hard_negatives import hard_negatives
 from tablesync.llm.jaccard_join import jaccard_components
 from tablesync.llm.license_scan import scan_licenses
 from tablesync.llm.line_dedup import dedup_lines
-from tablesync.llm.mix import mix, source_rates
+from tablesync.llm.mix import free_names, mix, source_rates
 from tablesync.llm.substring_dedup import remove_repeats
 from tablesync.llm.surrogates import replace_entities
 from tablesync.llm.token_count import count_tokens
@@ -78,7 +78,8 @@ def op8_surrogates(spark, sf):
 
 def op9_source_mix(spark, sf):
     docs = table(spark, sf, "documents")
-    return mix(docs, source_rates(docs)).select("row.*", "copy", "mix_key")
+    copy, key = free_names(docs.columns, "copy", "mix_key")
+    return mix(docs, source_rates(docs)).select("row.*", F.col("copy").alias(copy), F.col("mix_key").alias(key))
 
 
 def op10_decontaminate(spark, sf):
@@ -136,6 +137,27 @@ def queries() -> dict:
     }
 
 
+_JACCARD = r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    g AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+               ELSE list_transform(range(1, len(w) - 1), lambda p: array_to_string(w[p:p + 2], ' ')) END) AS gram FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+    met AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM g a JOIN g b USING (gram)
+        WHERE a.doc_id < b.doc_id GROUP BY ALL),
+    link AS (
+        SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+        WHERE 100 * both >= 90 * (x.n + y.n - both)),
+    edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+    reach AS (
+        SELECT doc_id AS id, doc_id AS root FROM documents
+        UNION SELECT edge.b, root FROM reach JOIN edge ON edge.a = reach.id WHERE root < edge.b)
+    SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(root) AS component_id FROM reach GROUP BY id) ON id = w.doc_id"""
+
 _REPEATS = r"""
     WITH d AS (
         SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -283,6 +305,7 @@ _TRIE = """
 def oracle_sql() -> dict:
     return {
         "op1_license_scan": license_scan.oracle_sql(),
+        "op2_jaccard_join": _JACCARD,
         "op5_substring_dedup": _REPEATS,
         "op7_line_dedup": _LINES,
         "op9_source_mix": _MIX,

@@ -281,3 +281,32 @@ def test_missing_source_is_a_source(spark):
     empty = docs.limit(0)
     assert mix.mix(empty, mix.source_rates(empty)).count() == 0
     assert sha("") == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+def test_line_ends_that_are_no_white_space(spark):
+    """U+0085, U+2028 and U+2029 end no line here, and blanks before them stay."""
+    rows = []
+    for k, odd in enumerate(["\x85", "\u2028", "\u2029", "\r"]):
+        rows += [(10 * k, f"hello there again{odd}"), (10 * k + 1, f"hello there again {odd}"), (10 * k + 2, f"hello there again{odd} ")]
+    got = sorted((r["row"]["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in dedup_lines(frame(spark, rows)).collect())
+    assert got == sorted(kept_lines(rows, 2, 10))
+
+
+def test_rows_without_id_draw_on_their_own(spark):
+    docs = spark.range(800).selectExpr("IF(id < 400, NULL, id) AS doc_id", "'same' AS text", "'s' AS source")
+    rates = spark.createDataFrame([("s", 1.0)], "source string, rate double")
+    kept = mix.mix(docs, rates).groupBy("row").count().where("row.doc_id IS NULL").first()["count"]
+    assert 300 < kept < 500
+
+
+def test_near_copies_of_a_chain_give_few_links(spark):
+    """Blocks unite components; they never give all pairs of a group."""
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(400)]
+    rows, own = [], rng.choices(words, k=120)
+    for i in range(160):
+        own = [*own]
+        own[rng.randrange(len(own))] = rng.choice(words)
+        rows.append((i, " ".join(own)))
+    got = jaccard_join.jaccard_components(frame(spark, rows), ngram=3, threshold=(9, 10)).collect()
+    assert {r["id"]: (r["n_grams"], r["component"]) for r in got} == jaccard_components(dict(rows), 3, 9, 10)
