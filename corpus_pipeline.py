@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages over documents, each on all that the one before it kept.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns the rows it keeps with the
-columns of ``documents``; the last one adds ``copy`` and ``mix_key``. ``run`` writes
+columns of ``documents``; the last one adds ``copy`` and ``mix_key`` (with underscores
+where documents have such columns). ``run`` writes
 each stage to the shared folder and rereads it. Rows without id pass the stages
 that compare documents; missing texts count as empty.
 """
@@ -15,7 +16,7 @@ from tablesync.llm.decontaminate import find_benchmark
 from tablesync.llm.frames import table, written
 from tablesync.llm.jaccard_join import jaccard_components
 from tablesync.llm.line_dedup import dedup_lines
-from tablesync.llm.mix import mix, source_rates
+from tablesync.llm.mix import free_names, mix, source_rates
 from tablesync.llm.toxicity import fit_network, score_toxicity
 
 MAX_TOXICITY = 0.5
@@ -56,7 +57,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents replicated to the target weights of their sources, in random order."""
-    return mix(docs, source_rates(docs)).select("row.*", "copy", "mix_key")
+    copy, key = free_names(docs.columns, "copy", "mix_key")
+    return mix(docs, source_rates(docs)).select("row.*", F.col("copy").alias(copy), F.col("mix_key").alias(key))
 
 
 STAGES = [
