@@ -15,11 +15,12 @@ by cost: a segment whose entries are shared too often is left out, and the cheap
 one is indexed with its neighbourhood instead.
 
 Copies of a set are one node. Of the sets under an entry, all are first compared
-with the one of the smallest id, which is linear in the entries. Then, where an
-entry still joins different components, its sets are dealt to blocks. Small
-histograms tell which sets of a block may be linked across components at all;
-only these meet again, whole, and are verified block by block. A link unites two
-components at once, so a block gives fewer links than it has sets, never pairs.
+with the one of the smallest id, which is linear in the entries. Then, in rounds,
+where an entry still joins different components, each of its sets proposes the few
+sets of other components that small histograms call nearest and don't rule out.
+Proposals that have not been compared yet are verified, and links unite components.
+From round to round more may be proposed, until a round leaves nothing out. Most
+sets are united by the first few, so a group never gives all its pairs.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ from tablesync.llm.components import components
 from tablesync.llm.frames import bytes_of, discard, map_batches, text_of, written
 
 NGRAM, P, Q = 5, 8, 10
-#: Sets and n-grams of a chunk; a block holds two.
-BINS, BLOCK, BLOCK_GRAMS = 64, 1024, 1 << 22
+BINS, BLOCK = 64, 1024
+#: Sets that one set proposes in the first round, of those under one entry; later rounds allow more.
+FIRST_PROPOSALS = 2
 _CELL = 1 << 24  # more segments than a band can have
 _KEY_BYTES = 6  # keys that meet by chance cost a comparison only
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -244,86 +246,73 @@ def _links(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     return written(map_batches(both.select("a", "b", "one", "two"), _verified(p, q), "a long, b long"))
 
 
-_UNIT = "key long, i long, j long, chunk long, id long, n long, comp long, bins binary"
+def _proposals(p: int, q: int, most: int):
+    """For each set of a block, the nearest sets of other components that may be linked to it, ``most`` at first.
 
+    A pair of nulls says that a set had more.
+    """
 
-def _by_unit(closed, kinds: list, names: list[str]):
-    """Rows that follow each other by ``key``, ``i`` and ``j``, handed to ``closed`` as one block."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def closed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if len(rows) < 2:
+            return
+        _, left, right, chunk, ids, sizes, comps, bins = zip(*rows)
+        chunk, ids, sizes, comps = (np.array(x, np.int64) for x in (chunk, ids, sizes, comps))
+        bins = np.frombuffer(b"".join(bins), np.uint8).reshape(len(rows), BINS).astype(np.int16)
+        one = np.flatnonzero(chunk == left[0])
+        two = one if left[0] == right[0] else np.flatnonzero(chunk == right[0])
+        a, b, left_out = [], [], False
+        for own, others in ((one, two), (two, one))[: 1 if left[0] == right[0] else 2]:
+            for k in own:
+                other = others[comps[others] != comps[k]]
+                apart = np.abs(bins[other] - bins[k]).sum(1, dtype=np.int64)
+                near = apart * (q + p) <= (sizes[other] + sizes[k]) * (q - p)
+                other, apart = other[near], apart[near]
+                if len(other) > most:
+                    left_out = True
+                    other = other[np.lexsort((ids[other], apart))[:most]]
+                a += [int(ids[k])] * len(other)
+                b += ids[other].tolist()
+        if left_out:
+            a, b = [*a, None], [*b, None]
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, rows = None, []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            found = closed(rows) if len(rows) > 1 else []
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
-
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:3] != unit:
-                    yield from done()
+                    yield from closed(rows)
                     unit, rows = row[:3], []
                 rows.append(row)
-        yield from done()
-
-    return run
-
-
-class _Block:
-    """The sets of one block; of two chunks, pairs across them only."""
-
-    def __init__(self, rows: list[tuple], p: int, q: int):
-        _, left, right, chunk, self.ids, sizes, comps, bins, *_ = zip(*rows)
-        self.chunk, self.sizes, self.comps = (np.array(x, np.int64) for x in (chunk, sizes, comps))
-        self.bins = np.frombuffer(b"".join(bins), np.uint8).reshape(len(rows), BINS).astype(np.int16)
-        self.one = np.flatnonzero(self.chunk == left[0])
-        self.same = left[0] == right[0]
-        self.two = self.one if self.same else np.flatnonzero(self.chunk == right[0])
-        self.p, self.q = p, q
-
-    def partners(self, k: int) -> np.ndarray:
-        """Sets of other components whose histograms don't rule out a link with ``k``."""
-        other = self.two[(self.comps[self.two] != self.comps[k]) & ((self.two > k) | (not self.same))]
-        apart = np.abs(self.bins[other] - self.bins[k]).sum(1, dtype=np.int64)
-        return other[apart * (self.q + self.p) <= (self.sizes[other] + self.sizes[k]) * (self.q - self.p)]
-
-
-def _hopeful(p: int, q: int):
-    """The rows of a block that may be linked to another component."""
-
-    def closed(rows: list[tuple]) -> list[tuple]:
-        block, hope = _Block(rows, p, q), np.zeros(len(rows), bool)
-        for k in block.one:
-            other = block.partners(k)
-            hope[other] = True
-            hope[k] |= len(other) > 0
-        return [rows[k] for k in np.flatnonzero(hope)]
-
-    kinds = [pa.int64()] * 7 + [pa.binary()]
-    return _by_unit(closed, kinds, ["key", "i", "j", "chunk", "id", "n", "comp", "bins"])
-
-
-def _uniting(p: int, q: int):
-    """Verified links that unite components of a block."""
-
-    def closed(rows: list[tuple]) -> list[tuple]:
-        block, out = _Block(rows, p, q), []
-        grams = [np.frombuffer(row[8], np.uint64) for row in rows]
-        for k in block.one:
-            for other in block.partners(k):
-                if block.comps[other] == block.comps[k]:
-                    continue
-                common = len(np.intersect1d(grams[k], grams[other], assume_unique=True))
-                if q * common >= p * (len(grams[k]) + len(grams[other]) - common):
-                    out.append((min(block.ids[k], block.ids[other]), max(block.ids[k], block.ids[other])))
-                    block.comps[block.comps == block.comps[other]] = block.comps[k]
-        return out
-
-    return _by_unit(closed, [pa.int64(), pa.int64()], ["a", "b"])
-
-
-def _dealt(units: DataFrame) -> DataFrame:
-    return units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "chunk", "id")
+        yield from closed(rows)
+
+    return propose
+
+
+def _united(members: DataFrame, sets: DataFrame, links: DataFrame, p: int, q: int) -> DataFrame:
+    """Components of all links between the sets under common entries."""
+    tried, most = links.limit(0), FIRST_PROPOSALS
+    while True:
+        found = written(components(links))
+        placed = members.join(found, "id", "left").withColumn("comp", F.coalesce("component", "id")).select("key", "id", "f", "comp")
+        placed = written(placed)
+        open_keys = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+        parts = placed.join(written(open_keys.select("key")), "key").join(sets.select("id", "n", "bins"), "id").selectExpr(
+            "key", "id", "n", "comp", "bins", f"(f + {BLOCK - 1}) div {BLOCK} AS chunks", f"pmod(xxhash64(id), (f + {BLOCK - 1}) div {BLOCK}) AS chunk"
+        )
+        units = parts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")).select(
+            "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "id", "n", "comp", "bins"
+        )
+        units = units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "chunk", "id")
+        pairs = map_batches(units, _proposals(p, q, most), "a long, b long")
+        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        new = written(pairs.where("a IS NOT NULL").join(tried, ["a", "b"], "left_anti"))
+        more = _links(new, sets, p, q)
+        if pairs.where("a IS NULL").isEmpty():
+            return components(links.union(more))
+        links, tried, most = written(links.union(more)), written(tried.union(new)), most * 8
+        discard(placed)
 
 
 def _swaps(stats: DataFrame, sizes: DataFrame, p: int, q: int, row_cost: float) -> DataFrame:
@@ -411,25 +400,7 @@ def jaccard_components(
     led = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     links = _links(led, sets, p, q)
 
-    first = written(components(links))
-    placed = members.join(first, "id", "left").withColumn("comp", F.coalesce("component", "id")).select("key", "id", "f", "comp")
-    placed = written(placed)
-    open_keys = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    parts = written(placed.join(written(open_keys.select("key")), "key").join(sets.select("id", "n", "bins"), "id"))
-    counts = parts.groupBy("key").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_GRAMS), F.lit(1).cast("long")
-    ).alias("chunks"))
-    parts = parts.join(written(counts), "key").select(
-        "key", "id", "n", "comp", "bins", "chunks", F.pmod(F.xxhash64("id"), "chunks").alias("chunk")
-    )
-    units = parts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")).select(
-        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "id", "n", "comp", "bins"
-    )
-    hopeful = written(map_batches(_dealt(units), _hopeful(p, q), _UNIT))
-    whole = hopeful.join(sets.select("id", "grams"), "id").select(*hopeful.columns, "grams")
-    more = written(map_batches(_dealt(whole), _uniting(p, q), "a long, b long"))
-
-    final = components(links.union(more)).toDF("rep", "component")
+    final = _united(members, sets, links, p, q).toDF("rep", "component")
     found = classes.join(final, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     return (
         profiles.select("id", "n", "d1", "d2")

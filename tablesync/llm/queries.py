@@ -146,11 +146,11 @@ _JACCARD = r"""
                ELSE list_transform(range(1, len(w) - 1), lambda p: array_to_string(w[p:p + 2], ' ')) END) AS gram FROM w),
     n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
     met AS (
-        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM g a JOIN g b USING (gram)
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b USING (gram)
         WHERE a.doc_id < b.doc_id GROUP BY ALL),
     link AS (
         SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-        WHERE 100 * both >= 90 * (x.n + y.n - both)),
+        WHERE 100 * common >= 90 * (x.n + y.n - common)),
     edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
     reach AS (
         SELECT doc_id AS id, doc_id AS root FROM documents
