@@ -55,12 +55,12 @@ def test_times_to_utc_in_any_session_zone(spark, mixed, zone):
 
 
 def test_generated_column(spark):
-    df = spark.sql("SELECT 1 id, DATE'2021-06-01' `date`, 'n7' name")
-    key = norm.add_generated_column(df, GeneratedColumn("k", "replace(cast(date as date), '-', '')", "int"))
-    assert key.first()["k"] == 20210601
+    df = spark.sql("SELECT 1 id, DATE'2021-06-01' made, 'n7' name")
+    key = norm.add_generated_column(df, GeneratedColumn("k", "year(made) * 100 + month(made)", "int"))
+    assert key.first()["k"] == 202106
     over = norm.add_generated_column(df, GeneratedColumn("name", "substring(name, 2)", "int"))
     assert over.columns == df.columns and over.first()["name"] == 7
-    texts = spark.sql("SELECT explode(array('12.7', ' +7 ', '-3.', 'x', '', '99999999999', NULL)) t")
+    texts = spark.sql("SELECT explode(array('12.7', ' +7 ', '-3.', '.5', '-.5', 'x', '', '99999999999', NULL)) t")
     whole = norm.add_generated_column(texts, GeneratedColumn("k", "t", "int"))
     assert [r["k"] for r in whole.collect()] == [12, 7, -3, None, None, None, None]
     bad = norm.add_generated_column(df, GeneratedColumn("k", "name", "int"))
