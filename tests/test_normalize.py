@@ -62,7 +62,7 @@ def test_generated_column(spark):
     assert over.columns == df.columns and over.first()["name"] == 7
     texts = spark.sql("SELECT explode(array('12.7', ' +7 ', '-3.', '.5', '-.5', 'x', '', '99999999999', NULL)) t")
     whole = norm.add_generated_column(texts, GeneratedColumn("k", "t", "int"))
-    assert [r["k"] for r in whole.collect()] == [12, 7, -3, None, None, None, None]
+    assert [r["k"] for r in whole.collect()] == [12, 7, -3, 0, 0, None, None, None, None]
     bad = norm.add_generated_column(df, GeneratedColumn("k", "name", "int"))
     assert bad.first()["k"] is None
 
