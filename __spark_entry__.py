@@ -288,6 +288,29 @@ def append_evolve_written(spark, sf):
     return table.read_table(spark, path)
 
 
+def append_evolve_nested(spark, sf):
+    """Struct fields that arrive later: in a struct, in elements of an array and in values of a map."""
+    lines, path = _t(spark, sf, "lineitem"), f"{_scratch(spark)}/lineitem"
+    first = lines.selectExpr(
+        "l_orderkey", "l_linenumber", "named_struct('quantity', l_quantity, 'tax', l_tax) AS amount",
+        "array(named_struct('day', l_shipdate)) AS events", "map('flag', named_struct('code', l_returnflag)) AS marks",
+    )
+    later = lines.selectExpr(
+        "l_orderkey", "l_linenumber",
+        "named_struct('discount', l_discount, 'quantity', l_quantity, 'parties', named_struct('part', l_partkey)) AS amount",
+        "array(named_struct('day', l_shipdate), named_struct('day', CAST(NULL AS timestamp))) AS held",
+        "array(named_struct('by', l_suppkey, 'day', l_shipdate)) AS events",
+        "map('flag', named_struct('status', l_linestatus)) AS marks",
+    )
+    table.write(spark, first, path, "append")
+    table.write(spark, later, path, "append")
+    return table.read_table(spark, path).selectExpr(
+        "l_orderkey", "l_linenumber", "amount.quantity", "amount.tax", "amount.discount", "amount.parties.part",
+        "events[0].day AS event_day", "events[0].by AS event_by", "CAST(size(held) AS int) AS n_held",
+        "marks['flag'].code AS mark_code", "marks['flag'].status AS mark_status",
+    )
+
+
 def partitioned_roundtrip(spark, sf):
     path = f"{_scratch(spark)}/documents"
     table.write(spark, _t(spark, sf, "documents"), path, "errorifexists", ["lang", "source"])
@@ -510,6 +533,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "full_overwrite": full_overwrite,
         "append_evolve": append_evolve,
         "append_evolve_written": append_evolve_written,
+        "append_evolve_nested": append_evolve_nested,
         "partitioned_roundtrip": partitioned_roundtrip,
         "zorder_rows": zorder_rows,
         "zorder_layout": zorder_layout,
@@ -628,6 +652,13 @@ def oracle_sql() -> dict[str, str]:
         "full_overwrite": "SELECT * REPLACE (p_retailprice * 2 AS p_retailprice) FROM part",
         "append_evolve": _EVOLVED,
         "append_evolve_written": _EVOLVED,
+        "append_evolve_nested": """
+            SELECT l_orderkey, l_linenumber, l_quantity AS quantity, l_tax AS tax, NULL::DOUBLE AS discount,
+                   NULL::BIGINT AS part, l_shipdate AS event_day, NULL::BIGINT AS event_by, NULL::INTEGER AS n_held,
+                   l_returnflag AS mark_code, NULL::VARCHAR AS mark_status FROM lineitem
+            UNION ALL
+            SELECT l_orderkey, l_linenumber, l_quantity, NULL, l_discount, l_partkey, l_shipdate, l_suppkey, 2,
+                   NULL, l_linestatus FROM lineitem""",
         "partitioned_roundtrip": "SELECT * FROM documents",
         "zorder_rows": "SELECT * FROM lineitem",
         "zorder_layout": "SELECT * FROM lineitem",

@@ -37,30 +37,106 @@ _WIDENING = {
 }
 
 
-def _fits(have: T.DataType, want: T.DataType) -> bool:
+def _by_name(struct: T.StructType) -> dict[str, T.StructField]:
+    """Fields by their names in lower case, which must differ."""
+    found = {f.name.lower(): f for f in struct}
+    if len(found) < len(struct):
+        raise ValueError(f"field names clash: {struct.names}")
+    return found
+
+
+def _same(have: T.DataType, want: T.DataType) -> bool:
     # simpleString leaves nullability out at every level.
-    if have.simpleString() == want.simpleString():
+    return have.simpleString() == want.simpleString()
+
+
+def _fits(have: T.DataType, want: T.DataType) -> bool:
+    """Whether values can take a type without loss, but for struct fields it lacks."""
+    if _same(have, want):
         return True
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        own = _by_name(have)
+        return all(_fits(own[f.name.lower()].dataType, f.dataType) for f in want if f.name.lower() in own)
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return _fits(have.elementType, want.elementType)
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return _same(have.keyType, want.keyType) and _fits(have.valueType, want.valueType)
     if isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType):
         whole_digits = want.precision - want.scale >= have.precision - have.scale
         return whole_digits and want.scale >= have.scale
     return isinstance(want, _WIDENING.get(type(have), ()))
 
 
+def _merged(old: T.DataType, new: T.DataType) -> T.DataType:
+    """``old`` with the struct fields that only ``new`` has behind its own, at every level.
+
+    Reaches into structs, elements of arrays and values of maps; keys of maps stay.
+    """
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        return evolved_schema(old, new)
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_merged(old.elementType, new.elementType))
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return T.MapType(old.keyType, _merged(old.valueType, new.valueType))
+    return old
+
+
 def evolved_schema(target: T.StructType, incoming: T.StructType) -> T.StructType:
-    """Target columns in order, then the incoming columns it lacks, all nullable."""
-    known = {f.name.lower() for f in target}
-    fields = list(target) + [f for f in incoming if f.name.lower() not in known]
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+    """Target columns in order, then the incoming columns it lacks, all nullable; struct fields likewise."""
+    known, arriving = _by_name(target), _by_name(incoming)
+    fields = [
+        T.StructField(f.name, _merged(f.dataType, arriving[f.name.lower()].dataType), True)
+        if f.name.lower() in arriving
+        else T.StructField(f.name, f.dataType, True)
+        for f in target
+    ]
+    return T.StructType(fields + [T.StructField(f.name, f.dataType, True) for f in incoming if f.name.lower() not in known])
+
+
+def _absent(have: T.DataType, want: T.DataType, path: str = "") -> list[str]:
+    """Dotted names of the fields of ``want`` that ``have`` lacks."""
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        own, found = _by_name(have), []
+        for f in want:
+            name = f"{path}.{f.name}" if path else f.name
+            source = own.get(f.name.lower())
+            found += [name] if source is None else _absent(source.dataType, f.dataType, name)
+        return found
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return _absent(have.elementType, want.elementType, f"{path}.element")
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return _absent(have.valueType, want.valueType, f"{path}.value")
+    return []
+
+
+def _shaped(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``value`` as ``want``: struct fields matched by name, missing ones null. A null stays null."""
+    if _same(have, want):
+        return value
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        own = _by_name(have)
+
+        def field(f: T.StructField) -> Column:
+            source = own.get(f.name.lower())
+            if source is None:
+                return F.lit(None).cast(f.dataType).alias(f.name)
+            return _shaped(value.getField(source.name), source.dataType, f.dataType).alias(f.name)
+
+        return F.when(value.isNotNull(), F.struct(*map(field, want)))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(value, lambda x: _shaped(x, have.elementType, want.elementType))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return F.transform_values(value, lambda _, x: _shaped(x, have.valueType, want.valueType))
+    return value.cast(want)
 
 
 def conform(df: DataFrame, schema: T.StructType, missing: str = "null") -> DataFrame:
-    """Select ``schema`` from ``df`` by name; columns it does not list are dropped.
+    """Select ``schema`` from ``df`` by name; columns and struct fields it does not list are dropped.
 
-    ``missing="null"`` fills absent columns, ``missing="error"`` raises.
+    ``missing="null"`` fills absent columns and fields, ``missing="error"`` raises.
     """
-    have = {f.name.lower(): f for f in df.schema}
-    absent = [f.name for f in schema if f.name.lower() not in have]
+    have = _by_name(df.schema)
+    absent = _absent(df.schema, schema)
     if absent and missing == "error":
         raise ValueError(f"incoming data lacks target columns {absent}")
     clashing = [
@@ -75,9 +151,7 @@ def conform(df: DataFrame, schema: T.StructType, missing: str = "null") -> DataF
         source = have.get(field.name.lower())
         if source is None:
             return F.lit(None).cast(field.dataType).alias(field.name)
-        same = source.dataType.simpleString() == field.dataType.simpleString()
-        value = col(source.name) if same else col(source.name).cast(field.dataType)
-        return value.alias(field.name)
+        return _shaped(col(source.name), source.dataType, field.dataType).alias(field.name)
 
     return df.select([pick(f) for f in schema])
 

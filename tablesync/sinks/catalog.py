@@ -94,6 +94,8 @@ def register_table(
     The catalog table remembers up to which load it has followed the table; a
     later registration names only the partitions that loads since then touched.
     A table of that name at another place or with other partition columns raises.
+    Struct fields can't be added in place, so a table whose columns have grown
+    inside is registered anew; its files stay.
 
     Returns whether there was a folder to register.
     """
@@ -107,12 +109,17 @@ def register_table(
     name = f"{_quoted(database)}.{_quoted(table)}"
     by = f"PARTITIONED BY ({', '.join(map(_quoted, partitions))})" if partitions else ""
     root = path.rstrip("/") if partitions else f"{path.rstrip('/')}/{live_units(history).get('', '')}".rstrip("/")
-    spark.sql(
+    create = (
         f"CREATE EXTERNAL TABLE IF NOT EXISTS {name} ({_columns(schema.fields)}) "
         f"USING parquet {by} LOCATION {_text(root)}"
     )
+    spark.sql(create)
     _check_same(spark, name, path, partitions)
-    known = {c.lower() for c in spark.table(name).columns}
+    known = {f.name.lower(): f.dataType.simpleString() for f in spark.table(name).schema}
+    if any(known.get(f.name.lower(), kind) != kind for f in schema for kind in [f.dataType.simpleString()]):
+        drop_table(spark, database, table)
+        spark.sql(create)
+        known = {f.name.lower(): "" for f in schema}
     added = [f for f in schema if f.name.lower() not in known]
     if added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(added)})")

@@ -187,3 +187,19 @@ def test_registration_refuses_another_place_or_layout(spark, folder):
     catalog.register_table(spark, "odd_db", "other", f"{folder}/other", ["p"])
     with pytest.raises(ValueError, match="is registered with partitions"):
         catalog.register_table(spark, "odd_db", "other", f"{folder}/other")
+
+
+@pytest.mark.parametrize("parts", [(), ("p",)])
+def test_registration_follows_struct_fields(spark, folder, parts):
+    path = f"{folder}/t"
+    catalog.create_database(spark, "grown_db", f"{folder}/grown_db")
+    table.write(spark, spark.sql("SELECT 'a' p, named_struct('x', 1) s"), path, "append", parts)
+    catalog.register_table(spark, "grown_db", "t", path, parts)
+    table.write(spark, spark.sql("SELECT 'b' p, named_struct('y', 2, 'x', 3) s"), path, "append", parts)
+    catalog.register_table(spark, "grown_db", "t", path, parts)
+    rows = spark.table("grown_db.t").select("p", "s.x", "s.y").orderBy("p").collect()
+    assert [tuple(r) for r in rows] == [("a", 1, None), ("b", 3, 2)]
+    table.write(spark, spark.sql("SELECT 'c' p, named_struct('x', 4) s"), path, "append", parts)
+    catalog.register_table(spark, "grown_db", "t", path, parts)
+    assert spark.table("grown_db.t").where("s.x = 4").count() == 1
+    catalog.drop_table(spark, "grown_db", "t")

@@ -164,6 +164,41 @@ def test_conform_widens_but_never_narrows(spark):
     assert evolved_schema(wide, T.StructType().add("N", "integer").add("m", "integer")).names == ["n", "m"]
 
 
+def test_struct_fields_evolve_at_every_level(spark):
+    old = spark.sql("""
+        SELECT * FROM VALUES
+            (1, named_struct('x', 1, 'Y', 'a'), array(named_struct('n', 1), NULL), map('k', named_struct('v', 1))),
+            (2, NULL, NULL, NULL) AS t(id, s, a, m)""")
+    new = spark.sql("""
+        SELECT 3 id, named_struct('y', 'b', 'in', named_struct('deep', 5)) s,
+               array(named_struct('o', 9L, 'n', 2)) a, map('k', named_struct('v', 3, 'w', array(4))) m""")
+    out = append_rows(old, new)
+    assert out.schema.simpleString() == (
+        "struct<id:int,s:struct<x:int,Y:string,in:struct<deep:int>>,a:array<struct<n:int,o:bigint>>,"
+        "m:map<string,struct<v:int,w:array<int>>>>"
+    )
+    one, two, three = (r.asDict(recursive=True) for r in out.orderBy("id").collect())
+    assert one["s"] == {"x": 1, "Y": "a", "in": None} and one["a"] == [{"n": 1, "o": None}, None]
+    assert one["m"] == {"k": {"v": 1, "w": None}}
+    assert two["s"] is two["a"] is two["m"] is None
+    assert three["s"] == {"x": None, "Y": "b", "in": {"deep": 5}}
+    assert three["a"] == [{"n": 2, "o": 9}] and three["m"] == {"k": {"v": 3, "w": [4]}}
+    # The other way round the new fields come from the old frame; types never narrow inside, either.
+    assert append_rows(new, old).count() == 3
+    with pytest.raises(ValueError, match="do not fit"):
+        append_rows(old, spark.sql("SELECT 4 id, named_struct('x', 'text') s"))
+    with pytest.raises(ValueError, match="clash"):
+        evolved_schema(old.schema, T.StructType().add("s", T.StructType().add("q", "integer").add("Q", "integer")))
+
+
+def test_upsert_needs_all_struct_fields(spark):
+    target = spark.sql("SELECT 1 id, named_struct('x', 1, 'y', 2) s")
+    with pytest.raises(ValueError, match="s.y"):
+        upsert(target, spark.sql("SELECT 1 id, named_struct('x', 5) s"), ["id"])
+    more = spark.sql("SELECT 1 id, named_struct('z', 7, 'y', 6, 'x', 5) s")
+    assert [tuple(r["s"]) for r in upsert(target, more, ["id"]).collect()] == [(5, 6)]
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
