@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.names import col, resolve
+from tablesync.operators.keyfilter import KeyFilter, bits_for, key_words
 from tablesync.operators.predicates import (
     COPIES,
     PartitionScope,
@@ -189,11 +190,19 @@ def replace_touched(
     return append_rows(kept, check_incoming(incoming, where, partition_col))
 
 
+def source_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], n_rows: int) -> KeyFilter:
+    """Filter by the keys of a source of ``n_rows`` rows, in the target's types."""
+    wanted = T.StructType([target.schema[resolve(target, k)] for k in keys])
+    bits = bits_for(n_rows)
+    return KeyFilter(key_words(conform(source, wanted, missing="error"), wanted.names, bits), wanted.names, bits)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     scope: PartitionScope | None = None,
+    key_filter: KeyFilter | None = None,
 ) -> DataFrame:
     """Update target rows that match a source row, keep the others, insert the rest.
 
@@ -208,9 +217,13 @@ def upsert(
       only sit on the source side, which AQE splits for an anti join.
 
     Whether a side is broadcast is Spark's choice. If none is, the target's rows
-    are shuffled once, and its keys twice.
+    are shuffled once, and its keys twice; with a ``key_filter`` of the source's
+    keys only those that may match, while the others pass from the scan.
     """
     schema = target.schema
+    if key_filter is not None:
+        merged_rows = upsert(key_filter.possible(target), source, keys, scope)
+        return key_filter.impossible(target).unionByName(merged_rows)
     source = conform(source, schema, missing="error")
     keys = [resolve(target, k) for k in keys]
     others = [c for c in target.columns if c not in keys]

@@ -113,6 +113,15 @@ def size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
+def data_size(spark: SparkSession, path: str) -> int:
+    """Bytes of the visible files that lie in a folder itself."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return 0
+    found = (s for s in fs.listStatus(p) if s.isFile())
+    return sum(s.getLen() for s in found if not s.getPath().getName().startswith(("_", ".")))
+
+
 def matching(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     """What a glob pattern matches, as (path, modification time in ms)."""
     fs, p = _hadoop(spark, pattern)

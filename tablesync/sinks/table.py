@@ -13,10 +13,11 @@ is over, for those who read it still.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -31,13 +32,15 @@ from tablesync.operators.merge import (
     conform,
     evolved_schema,
     replace_touched,
+    source_keys,
     upsert,
 )
 from tablesync.operators.predicates import PartitionScope, partition_scope
 from tablesync.sinks import files
 from tablesync.sinks.loadlog import CREATING, DONE, STARTED, UNDONE, VERSIONS, History
 
-_MOVERS = 16  # files renamed at once
+_MOVERS = 16  # files renamed, or folders measured, at once
+FILE_BYTES = 128 << 20  # size that clustered files are planned for
 
 
 @dataclass(frozen=True)
@@ -209,6 +212,23 @@ def _commit(
     history.record(load_id, tag, mode, DONE, n_rows, schema, partition_cols, **places)
 
 
+def _planned_files(spark: SparkSession, folders: Sequence[str], file_bytes: int) -> int:
+    """Number of files for the rows of some folders, by the bytes they take now.
+
+    Rows that a load replaces count beside those that replace them, so files are
+    smaller than planned, by half at most.
+    """
+    with ThreadPoolExecutor(_MOVERS) as pool:
+        total = sum(pool.map(lambda folder: files.data_size(spark, folder), folders))
+    return max(1, math.ceil(total / file_bytes))
+
+
+def _places(history: History, names: Sequence[str] | None) -> list[str]:
+    """Folders that hold the partitions of some names (None: all)."""
+    root = history.path.rstrip("/")
+    return [f"{root}/{place}".rstrip("/") for place in live_units(history, names).values()]
+
+
 def _staged_units(spark: SparkSession, folder: str, depth: int) -> list[str]:
     return files.folders_named(spark, folder, depth, None) if depth else [""]
 
@@ -326,14 +346,15 @@ def write(
     where: Column | None = None,
     load_id: str | None = None,
     zorder_cols: Sequence[str] = (),
+    file_bytes: int = FILE_BYTES,
 ) -> Written:
     """Write ``df`` in one of Spark's save modes.
 
     ``overwrite`` with a partition column replaces only rows matching ``where``
     in the incoming partitions; without one it replaces the table. Both cluster
     by ``zorder_cols`` on the way, and so do first loads and unpartitioned
-    appends, of the rows they bring. An append to partitions is one pass over
-    ``df`` and leaves clustering to ``cluster_table``.
+    appends, of the rows they bring, into files of about ``file_bytes``. An append
+    to partitions is one pass over ``df`` and leaves clustering to ``cluster_table``.
     """
     mode = mode.lower()
     load_id = load_id or files.new_load_id()
@@ -341,7 +362,7 @@ def write(
     history = _opened(spark, path, partition_cols)
     present = _present(history)
     if mode == "overwrite" and partition_cols and present:
-        return overwrite_where(spark, df, path, partition_cols, where, tag, load_id, zorder_cols)
+        return overwrite_where(spark, df, path, partition_cols, where, tag, load_id, zorder_cols, file_bytes)
     if present and mode == "ignore":
         return Written(0)
     if present and mode in ("error", "errorifexists", "default"):
@@ -358,7 +379,7 @@ def write(
     if arranged:
         # Clustering looks at the rows several times; the source is read once.
         landed, _ = land(spark, df, f"{folder}/incoming")
-        df = zorder(landed, zorder_cols, partition_cols)
+        df = zorder(landed, zorder_cols, partition_cols, _planned_files(spark, [f"{folder}/incoming"], file_bytes))
     if present and mode == "overwrite":
         n_rows = _replace(history, df, (), None, load_id, tag, mode, None, arranged)
     else:
@@ -378,6 +399,7 @@ def overwrite_where(
     tag: str = "",
     load_id: str | None = None,
     zorder_cols: Sequence[str] = (),
+    file_bytes: int = FILE_BYTES,
 ) -> Written:
     """Replace target rows for which ``where`` holds and whose last partition
     column has an incoming value. Incoming rows must satisfy the same predicate.
@@ -387,7 +409,7 @@ def overwrite_where(
     partition_cols = [resolve(df, c) for c in partition_cols]
     history = _opened(spark, path, partition_cols)
     if not _present(history):
-        return write(spark, df, path, "overwrite", partition_cols, tag, where, load_id, zorder_cols)
+        return write(spark, df, path, "overwrite", partition_cols, tag, where, load_id, zorder_cols, file_bytes)
     recover(history)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
     present = _schema(history, partition_cols)
@@ -398,7 +420,12 @@ def overwrite_where(
         names = _folder_names(scope)
         target = _read(history, present, names)
         content = replace_touched(target, incoming, where, scope.column)
-        arrange = _clustering(zorder_cols, partition_cols, target, incoming)
+        n_files = None
+        if zorder_cols:
+            # Without a predicate no old row stays.
+            kept = [] if where is None else _places(history, names)
+            n_files = _planned_files(spark, [*kept, f"{folder}/incoming"], file_bytes)
+        arrange = _clustering(zorder_cols, partition_cols, target, incoming, n_files)
         _replace_partitions(history, content, partition_cols, names, arrange, load_id, tag, "overwrite", n_rows)
     files.remove(spark, folder)
     return Written(n_rows, clustered=bool(zorder_cols))
@@ -414,32 +441,39 @@ def upsert_table(
     tag: str = "",
     load_id: str | None = None,
     zorder_cols: Sequence[str] = (),
+    file_bytes: int = FILE_BYTES,
 ) -> Written:
     """Update matching rows and insert the others; a missing table is written plainly.
 
     With a partition column only target rows in incoming partitions can match.
+    Target rows whose keys aren't among the incoming ones are told apart by a bitmap
+    of key hashes, written once, and take no part in the joins.
     """
     load_id = load_id or files.new_load_id()
     partition_cols = [resolve(df, c) for c in partition_cols]
     history = _opened(spark, path, partition_cols)
     if not _present(history):
-        return write(spark, df, path, mode, partition_cols, tag, None, load_id, zorder_cols)
+        return write(spark, df, path, mode, partition_cols, tag, None, load_id, zorder_cols, file_bytes)
     recover(history)
     folder = f"{files.staging_root(spark, path)}/{load_id}"
     schema = _schema(history, partition_cols)
     incoming = blank_partitions_to_null(df, partition_cols)
     incoming, n_rows = land(spark, incoming, f"{folder}/incoming")
-    if n_rows and partition_cols:
-        names = _folder_names(partition_scope(incoming, partition_cols[-1]))
+    if n_rows:
+        names = _folder_names(partition_scope(incoming, partition_cols[-1])) if partition_cols else None
         target = _read(history, schema, names)
+        known = source_keys(target, incoming, keys, n_rows)
+        known = replace(known, words=land(spark, known.words, f"{folder}/keys")[0])
+        n_files = _planned_files(spark, [*_places(history, names), f"{folder}/incoming"], file_bytes) if zorder_cols else None
+    if n_rows and partition_cols:
         # Rows of the null partition match nothing; they are carried, as inserts may land beside them.
         nowhere = col(partition_cols[-1]).isNull()
-        content = upsert(target.where(~nowhere), incoming, keys).unionByName(target.where(nowhere))
-        arrange = _clustering(zorder_cols, partition_cols, target, incoming)
+        content = upsert(target.where(~nowhere), incoming, keys, key_filter=known).unionByName(target.where(nowhere))
+        arrange = _clustering(zorder_cols, partition_cols, target, incoming, n_files)
         _replace_partitions(history, content, partition_cols, names, arrange, load_id, tag, "merge", n_rows)
     elif n_rows:
-        content = upsert(_read(history, schema), incoming, keys)
-        content = zorder(content, zorder_cols) if zorder_cols else content
+        content = upsert(target, incoming, keys, key_filter=known)
+        content = zorder(content, zorder_cols, files=n_files) if zorder_cols else content
         _replace(history, content, (), None, load_id, tag, "merge", n_rows, bool(zorder_cols))
     else:
         _commit(history, load_id, tag, "merge", 0, schema, partition_cols)
@@ -455,6 +489,7 @@ def _clustering(
     partition_cols: Sequence[str],
     target: DataFrame,
     incoming: DataFrame,
+    n_files: int | None,
 ) -> Arrange | None:
     """Z-ordering of rewritten partitions, with bounds from plain scans of the
     old and incoming rows. Range partitioning still samples the rewrite, above
@@ -467,7 +502,7 @@ def _clustering(
         return df.select([col(c) for c in df.columns if c.lower() in wanted])
 
     like = append_rows(narrow(target), narrow(incoming))
-    return lambda df: zorder(df, zorder_cols, partition_cols, like=like)
+    return lambda df: zorder(df, zorder_cols, partition_cols, n_files, like=like)
 
 
 def _replace_partitions(
@@ -492,11 +527,17 @@ def cluster_table(
     scope: PartitionScope | None = None,
     files_per_write: int | None = None,
     load_id: str | None = None,
+    file_bytes: int = FILE_BYTES,
 ) -> None:
-    """Z-order the touched partitions (or the whole table) by ``columns``."""
+    """Z-order the touched partitions (or the whole table) by ``columns``.
+
+    Writes ``files_per_write`` ranges of rows, or as many as make files of about
+    ``file_bytes``; a partition that ends within a range has a smaller last file.
+    """
     history = _opened(spark, path, partition_cols)
     recover(history)
     schema = _schema(history, partition_cols)
     names = _folder_names(scope) if scope is not None and partition_cols else None
-    content = zorder(_read(history, schema, names), columns, partition_cols, files_per_write)
+    n_files = files_per_write or _planned_files(spark, _places(history, names), file_bytes)
+    content = zorder(_read(history, schema, names), columns, partition_cols, n_files)
     _replace(history, content, partition_cols, names, load_id or files.new_load_id(), "", "cluster", None, True)

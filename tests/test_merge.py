@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import brute
+from tablesync.operators.keyfilter import MAX_BITS, MIN_BITS, KeyFilter, bits_for, key_words
 from tablesync.operators.merge import (
     append_rows,
     conform,
     evolved_schema,
     replace_touched,
     replace_where,
+    source_keys,
     upsert,
 )
 from tablesync.operators.predicates import partition_scope
@@ -272,3 +274,68 @@ def test_upsert_without_broadcast_shuffles_six_times_at_most(spark, folder):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert text.count("Exchange hashpartitioning") <= 6
+
+
+@pytest.mark.parametrize("part", [None, "p"])
+@pytest.mark.parametrize("bits", [1, 6, 20])
+def test_upsert_with_a_key_filter(spark, part, bits):
+    """The same rows, also where a bitmap is so small that it tells few or none apart."""
+    target, source = frames(spark)
+    scope = None if part is None else partition_scope(source, "p")
+    known = KeyFilter(key_words(source, ["id"], bits), ["id"], bits)
+    expected = brute.upsert(dicts(TARGET), dicts(SOURCE), "id", part)
+    assert brute.bag(upsert(target, source, ["id"], scope, known)) == expected
+
+
+def test_key_filter_tells_rows_apart(spark):
+    target = spark.range(200_000).select("id", (F.col("id") % 3).alias("k"), F.lit("v").alias("v"))
+    source = target.where("id % 1000 = 0").selectExpr("int(id) ID", "int(k) k", "'w' v")
+    known = source_keys(target, source, ["id", "k"], 200)  # in the target's types
+    likely = known.possible(target)
+    assert likely.where("id % 1000 = 0").count() == 200
+    assert likely.count() < 20_000
+    assert known.impossible(target).count() == 200_000 - likely.count()
+    nothing = KeyFilter(key_words(target.where("id < 0"), ["id"], 16), ["id"], 16)
+    assert nothing.possible(target).isEmpty() and nothing.impossible(target).count() == 200_000
+
+
+def test_key_filter_grows_with_the_keys_to_a_bound():
+    assert bits_for(0) == bits_for(10) == MIN_BITS
+    assert 2 ** bits_for(1_000_000) >= 16 * 1_000_000
+    assert bits_for(10**12) == MAX_BITS
+
+
+def shuffled_rows(spark, df):
+    """Rows that the shuffles of a query wrote, from its final plan."""
+    df.collect()
+    found, nodes = [], [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            nodes.append(node.plan())
+        else:
+            if name == "Exchange":
+                found.append(node.metrics().apply("shuffleRecordsWritten").value())
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+    return sum(found)
+
+
+def test_only_possible_matches_are_shuffled(spark, folder):
+    rows = spark.range(0, 100_000, 1, 4).selectExpr("id", "string(id) v")
+    rows.write.parquet(f"{folder}/target")
+    rows.where("id % 500 = 0").selectExpr("id", "'new' v").write.parquet(f"{folder}/source")
+    target, source = (spark.read.schema(rows.schema).parquet(f"{folder}/{n}") for n in ("target", "source"))
+    known = source_keys(target, source, ["id"], 200)
+    known.words.write.parquet(f"{folder}/keys")
+    known = KeyFilter(spark.read.schema(known.words.schema).parquet(f"{folder}/keys"), known.keys, known.bits)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffled_rows(spark, upsert(target, source, ["id"])) > 200_000
+        assert shuffled_rows(spark, upsert(target, source, ["id"], key_filter=known)) < 10_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from test_merge import NAMES, SCHEMA, SOURCE, TARGET, dicts
 from tablesync.operators.predicates import partition_scope
 from tablesync.sinks import files, loadlog, table
-from tablesync.sinks.loadlog import DONE, load_log
+from tablesync.sinks.loadlog import DONE, History, load_log
 from tablesync.sinks.sweep import expired_files, sweep
 
 
@@ -382,3 +382,40 @@ def test_repeated_append_into_an_emptied_partition(spark, path):
         assert sorted(stored(spark, path)) == rows
     sweep(spark, path, 0)
     assert sorted(stored(spark, path)) == rows
+
+
+def sizes(path, part):
+    return sorted(
+        os.path.getsize(os.path.join(at, f))
+        for at, _, found in os.walk(path) if f"{part}" in at.split("/") for f in found if f.endswith(".parquet")
+    )
+
+
+@pytest.mark.parametrize("how", ["cluster", "overwrite", "upsert"])
+def test_clustered_files_are_planned_by_bytes(spark, path, how):
+    """One large partition among many small ones: files of about the size asked for, few for the small ones."""
+    spread = F.sha2(F.col("id").cast("string"), 512)
+    rows = spark.range(0, 60_000, 1, 8).select(
+        "id", spread.alias("v"), F.when(F.col("id") < 55_000, 0).otherwise(F.col("id") % 20 + 1).alias("p")
+    )
+    table.write(spark, rows, path, partition_cols=["p"])
+    target = 1_000_000
+    if how == "cluster":
+        table.cluster_table(spark, path, ["id"], ["p"], file_bytes=target)
+    elif how == "overwrite":
+        table.write(spark, rows, path, "overwrite", ["p"], zorder_cols=["id"], file_bytes=target)
+    else:
+        # The bytes before count for what they are and the incoming rows on top, so the plan may halve a file.
+        few = rows.where("id % 1000 = 0 OR id > 59970")
+        table.upsert_table(spark, few, path, ["id"], ["p"], zorder_cols=["id"], file_bytes=target)
+    assert stored(spark, path) == brute.bag(rows)
+    unit = table.live_units(History.of(spark, path), None)["p=0"]
+    large = sizes(f"{path}/{unit}", "p=0")
+    total = sum(large)
+    assert total / (2 * target) <= len(large) <= 2 * total / target + 2
+    assert all(size <= 2 * target for size in large)
+    # Only the two ends of a partition may be smaller than half of what was asked for.
+    assert sum(size < target / 2 for size in large) <= 2
+    for p in range(1, 21):
+        small = table.live_units(History.of(spark, path), None)[f"p={p}"]
+        assert len(sizes(f"{path}/{small}", f"p={p}")) <= 2
