@@ -37,7 +37,7 @@ from tablesync.llm.components import components
 from tablesync.llm.frames import bytes_of, discard, map_batches, text_of, written
 
 NGRAM, P, Q = 5, 8, 10
-BINS, BLOCK = 64, 1024
+BINS, BLOCK = 256, 1024
 _CELL = 1 << 24  # more segments than a band can have
 _KEY_BYTES = 6  # keys that meet by chance cost a comparison only
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -368,7 +368,7 @@ def jaccard_components(
     parts = placed.join(written(open_keys.select("key")), "key")
     parts = parts.join(sets.select("id", "n", "bins"), "id").selectExpr(
         "key", "id", "n", "comp", "bins", f"(f + {BLOCK - 1}) div {BLOCK} AS chunks",
-        f"(row_number() OVER (PARTITION BY key ORDER BY id) - 1) div {BLOCK} AS chunk",
+        f"pmod(xxhash64(id), (f + {BLOCK - 1}) div {BLOCK}) AS chunk",  # about BLOCK sets each, without ordering a hot key
     )
     units = parts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")).select(
         "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "id", "n", "comp", "bins"
