@@ -6,6 +6,11 @@ which a hash that the task has seen before is left out (the later window is
 known to be a repeat, whatever other tasks hold). So a bucket gets a hash at
 most once from each block, however many copies a passage has. Buckets find each
 hash's first window; repeats travel back to their documents and merge there.
+
+A second, independent hash tells windows apart that share the first: a task
+compares all its bits, and what travels is its remainder, as the bucket, and
+eight bits more, as a tag. Within a task 128 bits are compared, between tasks
+72 and those that tell buckets apart: 88 in a corpus with 2**16 buckets or more.
 """
 
 from __future__ import annotations
@@ -24,21 +29,25 @@ from tablesync.llm.frames import bytes_of, map_batches, packed, text_of
 WINDOW = 20
 #: Windows that a task gathers before it writes its blocks, and that a bucket should hold.
 BLOCK, BUCKET = 2_000_000, 3_000_000
-MAX_BUCKETS = 1 << 16
+#: Buckets that tasks deal windows to; with more, blocks would hold few windows. Beyond that, buckets are divided where they arrive.
+DEALT = 1 << 16
+#: Bytes of the texts that meet their repeats together.
+MET = 1 << 27
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_ROUTED = "bucket int, kind int, id long, block binary"
+_BASE, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_SECOND = np.uint64(0x165667B19E3779F9)
+_ROUTED = "bucket int, part int, kind int, id long, block binary, tags binary"
+_MET = "bucket int, kind int, id long, block binary"
 
 
-def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
+def window_hashes(values: np.ndarray, size: int, base: np.uint64 = _BASE) -> np.ndarray:
     """Polynomial hash modulo 2**64 of each run of ``size`` values, by differences of running sums."""
     if len(values) < size:
         return np.empty(0, np.uint64)
-    powers = np.full(len(values), _BASE)
+    powers = np.full(len(values), base)
     powers[0] = 1
     sums = np.concatenate([[np.uint64(0)], np.cumsum(values * np.cumprod(powers, dtype=np.uint64))])
-    shifts = np.full(len(values) - size + 1, _INVERSE)
+    shifts = np.full(len(values) - size + 1, np.uint64(pow(int(base), -1, 1 << 64)))
     shifts[0] = 1
     return W.mixed((sums[size:] - sums[:-size]) * np.cumprod(shifts, dtype=np.uint64))
 
@@ -78,16 +87,16 @@ def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(ids, lengths), sums - before, hashes
 
 
-def _routed(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-    columns = list(zip(*rows))
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.large_binary())
+def _routed(bucket: int, part: int, kind: int, i: int, block: bytes, tags: bytes = b"") -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.large_binary(), pa.large_binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, kinds)], names=["bucket", "kind", "id", "block"]
+        [pa.array([v], t) for v, t in zip((bucket, part, kind, i, block, tags), kinds)],
+        names=["bucket", "part", "kind", "id", "block", "tags"],
     )
 
 
-def _first_of_each(ids, pos, hashes) -> tuple[np.ndarray, np.ndarray]:
-    """Masks of the windows that are the first with their hash, and of those that are later.
+def _first_of_each(ids, pos, hashes, tags) -> tuple[np.ndarray, np.ndarray]:
+    """Masks of the windows that are the first with their hash and tag, and of those that are later.
 
     Windows of one document at one position (repeated rows) are not later than each other.
     """
@@ -97,8 +106,9 @@ def _first_of_each(ids, pos, hashes) -> tuple[np.ndarray, np.ndarray]:
     if same.any():
         shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         own = order[shared]
-        own = own[np.lexsort((pos[own], ids[own], hashes[own]))]
-        start = np.concatenate([[True], hashes[own[1:]] != hashes[own[:-1]]])
+        own = own[np.lexsort((pos[own], ids[own], tags[own], hashes[own]))]
+        new = (hashes[own[1:]] != hashes[own[:-1]]) | (tags[own[1:]] != tags[own[:-1]])
+        start = np.concatenate([[True], new])
         first = own[start][np.cumsum(start) - 1]
         later[own] = (ids[own] != ids[first]) | (pos[own] != pos[first])
         extra[own] = ~start
@@ -106,39 +116,74 @@ def _first_of_each(ids, pos, hashes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _emit_windows(window: int, buckets: int, doc_buckets: int):
-    def blocks(ids, pos, hashes) -> Iterator[pa.RecordBatch]:
-        ids, pos, hashes = map(np.concatenate, (ids, pos, hashes))
+    def blocks(ids, pos, hashes, second) -> Iterator[pa.RecordBatch]:
+        ids, pos, hashes, second = map(np.concatenate, (ids, pos, hashes, second))
         order = np.lexsort((pos, ids))
-        ids, pos, hashes = ids[order], pos[order], hashes[order]
-        first, later = _first_of_each(ids, pos, hashes)
-        bucket = (hashes >> np.uint64(40)) % np.uint64(buckets)
+        ids, pos, hashes, second = ids[order], pos[order], hashes[order], second[order]
+        first, later = _first_of_each(ids, pos, hashes, second)
+        bucket, tags = second % np.uint64(buckets), (second >> np.uint64(56)).astype(np.uint8)
         place = np.argsort(np.where(first, bucket, buckets), kind="stable")
         ends = np.searchsorted(bucket[place][: first.sum()], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(ends)):
             own = place[ends[b] : ends[b + 1]]
-            yield _routed([(int(b), 0, 0, _pack(ids[own], pos[own], hashes[own]))])
+            yield _routed(int(b), 0, 0, 0, _pack(ids[own], pos[own], hashes[own]), tags[own].tobytes())
         yield from _by_document(ids[later], pos[later], doc_buckets, kind=1, over=buckets)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, pos, hashes, n = [], [], [], 0
+        held, n = [], 0
         for batch in batches:
             for i, text in zip(batch.column("id").to_pylist(), bytes_of(batch, "text")):
-                own = window_hashes(W.hashes(text.split()), window)
+                values = W.hashes(text.split())
+                own = window_hashes(values, window)
                 if not len(own):
                     continue
-                ids.append(np.full(len(own), i, np.int64))
-                pos.append(np.arange(len(own), dtype=np.int64))
-                hashes.append(own)
+                second = window_hashes(W.mixed(values ^ _SECOND), window, _OTHER)
+                held.append((np.full(len(own), i, np.int64), np.arange(len(own), dtype=np.int64), own, second))
                 n += len(own)
                 if n >= BLOCK:
-                    yield from blocks(ids, pos, hashes)
-                    ids, pos, hashes, n = [], [], [], 0
-        if n:
-            yield from blocks(ids, pos, hashes)
+                    yield from blocks(*zip(*held))
+                    held, n = [], 0
+        if held:
+            yield from blocks(*zip(*held))
 
     return emit
 
 
+def _divide(parts: int):
+    """Buckets that outgrow a task's memory, by hashes in parts that don't; the JVM sorts those, and spills."""
+
+    def divided(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        buckets, blocks, tags = zip(*rows)
+        ids, pos, hashes = map(np.concatenate, zip(*map(_unpack, blocks)))
+        bucket, tags = np.repeat(buckets, [len(t) for t in tags]), np.frombuffer(b"".join(tags), np.uint8)
+        part = ((hashes >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((pos, ids, part, bucket))
+        new = (np.diff(bucket[order]) != 0) | (np.diff(part[order]) != 0)
+        for own in np.split(order, np.flatnonzero(new) + 1):
+            block = _pack(ids[own], pos[own], hashes[own])
+            yield _routed(int(bucket[own[0]]), int(part[own[0]]), 0, 0, block, tags[own].tobytes())
+
+    def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if parts == 1:
+            yield from batches
+            return
+        held, n = [], 0
+        for batch in batches:
+            for bucket, _, kind, to, block, tags in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind:
+                    yield _routed(bucket, 0, kind, to, block)
+                    continue
+                held.append((bucket, block, tags))
+                n += len(tags)
+                if n >= BLOCK:
+                    yield from divided(held)
+                    held, n = [], 0
+        if held:
+            yield from divided(held)
+
+    return divide
+
+
 def _document_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
     return W.mixed(ids.astype(np.uint64)) % np.uint64(buckets)
 
@@ -157,13 +202,14 @@ def _by_document(ids, pos, buckets: int, kind: int, over: int = 0) -> Iterator[p
     for b in np.flatnonzero(np.diff(ends)):
         own = slice(ends[b], ends[b + 1])
         to = (int(b) + int(ids[own][0])) % over if kind else int(b)
-        yield _routed([(to, kind, int(b), _pack(ids[own], pos[own]))])
+        yield _routed(to, 0, kind, int(b), _pack(ids[own], pos[own]))
 
 
 def _find_repeats(doc_buckets: int):
-    def closed(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def closed(rows: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        blocks, tags = zip(*rows)
         ids, pos, hashes = map(np.concatenate, zip(*map(_unpack, blocks)))
-        _, later = _first_of_each(ids, pos, hashes)
+        _, later = _first_of_each(ids, pos, hashes, np.frombuffer(b"".join(tags), np.uint8))
         return ids[later], pos[later]
 
     def sent(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -173,18 +219,18 @@ def _find_repeats(doc_buckets: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, blocks, found = None, [], []
         for batch in batches:
-            for bucket, kind, to, block in zip(*(c.to_pylist() for c in batch.columns)):
-                if bucket != at:
+            for bucket, part, kind, to, block, tags in zip(*(c.to_pylist() for c in batch.columns)):
+                if (bucket, part) != at:
                     if blocks:
                         found.append(closed(blocks))
-                    at, blocks = bucket, []
+                    at, blocks = (bucket, part), []
                     if sum(len(ids) for ids, _ in found) >= BLOCK:
                         yield from sent(found)
                         found = []
                 if kind:
-                    yield _routed([(to, 0, 0, block)])
+                    yield _routed(to, 0, 0, 0, block)
                 else:
-                    blocks.append(block)
+                    blocks.append((block, tags))
         if blocks:
             found.append(closed(blocks))
         yield from sent(found)
@@ -274,13 +320,14 @@ def remove_repeats(
     known = base.where("id is not null")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(min(MAX_BUCKETS, max(3 * parts, -(-total // (5 * BUCKET)))))
-    doc_buckets = 2 * parts
+    needed = -(-total // (5 * BUCKET))
+    buckets = int(max(3 * parts, min(DEALT, needed)))
+    doc_buckets = int(max(2 * parts, -(-total // MET)))
 
     windows = map_batches(known, _emit_windows(window, buckets, doc_buckets), _ROUTED)
-    dealt = windows.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    repeats = map_batches(dealt, _find_repeats(doc_buckets), _ROUTED)
-    texts = map_batches(base, _documents(doc_buckets), _ROUTED)
-    met = repeats.unionByName(texts).repartition(parts, "bucket")
+    dealt = map_batches(windows.repartition(parts, "bucket"), _divide(int(max(1, -(-needed // buckets)))), _ROUTED)
+    repeats = map_batches(dealt.sortWithinPartitions("bucket", "part"), _find_repeats(doc_buckets), _ROUTED)
+    texts = map_batches(base, _documents(doc_buckets), _MET)
+    met = repeats.drop("part", "tags").unionByName(texts).repartition(parts, "bucket")
     result = "id long, n_words long, n_removed long, kept_text string, removed array<struct<first:long,end:long>>"
     return map_batches(met.sortWithinPartitions("bucket", "kind"), _keep_words(window), result)

@@ -53,6 +53,38 @@ def test_repeated_passages(spark, window):
     assert bag(got) == bag(kept_words(rows, window))
 
 
+def test_divided_buckets(spark, monkeypatch):
+    """Buckets that are divided where they arrive, and documents in many groups, give the same rows."""
+    monkeypatch.setattr(substring_dedup, "BUCKET", 1)
+    monkeypatch.setattr(substring_dedup, "DEALT", 1)
+    monkeypatch.setattr(substring_dedup, "MET", 100)
+    rows = awkward(4, 40)
+    got = substring_dedup.remove_repeats(frame(spark, rows), window=4)
+    got = [(r["id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got.collect()]
+    assert bag(got) == bag(kept_words(rows, 4))
+
+
+def test_windows_that_share_a_hash():
+    """Equal first hashes don't make windows equal: the tag of the second hash parts them."""
+    import numpy as np
+
+    ids, pos = np.array([1, 2, 3, 4]), np.array([0, 0, 0, 0])
+    hashes, tags = np.full(4, 7, np.uint64), np.array([5, 6, 5, 5], np.uint8)
+    first, later = substring_dedup._first_of_each(ids, pos, hashes, tags)
+    assert first.tolist() == [True, True, False, False] and later.tolist() == [False, False, True, True]
+
+
+def test_the_second_hash_is_one_of_its_own():
+    import numpy as np
+
+    values = np.arange(1, 400, dtype=np.uint64)
+    one = substring_dedup.window_hashes(values, 5)
+    two = substring_dedup.window_hashes(values, 5, substring_dedup._OTHER)
+    assert len(set(one.tolist())) == len(set(two.tolist())) == 395 and not set(one.tolist()) & set(two.tolist())
+    again = substring_dedup.window_hashes(np.tile(values[:7], 3), 5, substring_dedup._OTHER)
+    assert again[:7].tolist() == again[7:14].tolist()
+
+
 def test_removed_ranges_are_maximal(spark):
     rows = [(1, "a b c d e f"), (2, "x a b c d y a b c z")]
     got = {r["id"]: r for r in substring_dedup.remove_repeats(frame(spark, rows), window=3).collect()}
