@@ -11,7 +11,7 @@ counts, and a logistic curve fitted on whole documents turns it into the score.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -39,8 +39,9 @@ class Settings:
     """Bounds of the training sample and sizes of the network.
 
     ``docs_per_class`` labelled documents of each class, the first by a hash of
-    their id, with ``windows_per_doc`` evenly spaced windows each, are all that
-    training sees; scoring covers every window of every text.
+    their id, are the sample. Training takes ``windows_per_doc`` windows of each,
+    drawn from all of its windows, and of each toxic one the worst of all. The
+    curve of scores, like scoring, covers every window of every text.
     """
 
     docs_per_class: int = 1500
@@ -272,13 +273,13 @@ def _window_logits(network: Network, gates: np.ndarray, rows: list[np.ndarray])
     return out
 
 
-def train(windows: list[list[list[bytes]]], labels: list[int], prior: float, s: Settings) -> Network:
-    """From windows of words by document.
+def train(windows: list[list[list[bytes]]], labels: list[int], worst: Callable[[Network], dict], s: Settings) -> Network:
+    """From windows of words by document; the curve is left as it is.
 
     A toxic document has its label in some of its windows only. The first epoch
-    takes them all; the later ones take, of each toxic document, the window that
-    the network finds worst so far. A fifth of the documents fits the curve from
-    largest windows to scores, weighted to ``prior``, the share of toxic labels.
+    takes all that are given. Then ``worst`` names, of all windows of a toxic
+    document, the one that the network finds worst, which joins the others; the
+    later epochs take of each toxic document the worst of those so far.
     """
     counts: dict[bytes, int] = {}
     for doc in windows:
@@ -288,40 +289,39 @@ def train(windows: list[list[list[bytes]]], labels: list[int], prior: float, s:
     frequent = sorted((w for w, n in counts.items() if n > 2), key=lambda w: (-counts[w], w))
     known = {w: i + 1 for i, w in enumerate(frequent[: s.vocabulary])}
     number = {w: i for i, w in enumerate(counts)}
-    features = _features(list(counts), known)
+    features = _features(list(number), known)
     numbered = [[np.array([number[w] for w in window]) for window in doc] for doc in windows]
     network, rng = Network.fresh(known, s), np.random.default_rng(s.seed)
-    if len(set(labels)) < 2:
-        network.curve = (0.0, -20.0 if not any(labels) else 20.0)
-        return network
-    fit = [k for k in range(len(labels)) if k % 5]
+    toxic = [k for k, label in enumerate(labels) if label]
     adam = _Adam(network.weights, s.rate)
     for epoch in range(s.epochs):
         best = {}
+        if epoch == 1:
+            for k, window in worst(network).items():
+                numbered[k].append(np.array([number.setdefault(w, len(number)) for w in window]))
+            features = _features(list(number), known)
         if epoch:
             gates = network.projected(network.inputs(*features))
-            toxic = [k for k in fit if labels[k]]
             scores = _window_logits(network, gates, [w for k in toxic for w in numbered[k]])
             at = 0
             for k in toxic:
                 best[k] = int(np.argmax(scores[at : at + len(numbered[k])]))
                 at += len(numbered[k])
-        chosen = [(k, w) for k in fit for w in range(len(numbered[k])) if best.get(k, w) == w]
+        chosen = [(k, w) for k in range(len(labels)) for w in range(len(numbered[k])) if best.get(k, w) == w]
         order = rng.permutation(len(chosen))
         for i in range(0, len(order), s.batch):
             own = [chosen[j] for j in order[i : i + s.batch]]
             index, mask = _matrix([numbered[k][w] for k, w in own])
             target = np.array([labels[k] for k, _ in own], np.float32)
             adam.step(network.weights, network.gradients(features, index, mask, target))
-    network.curve = _curve(network, features, numbered, labels, prior)
     return network
 
 
-def _curve(network: Network, features, numbered, labels, prior: float) -> tuple[float, float]:
-    held = [k for k in range(0, len(labels), 5)]
-    gates = network.projected(network.inputs(*features))
-    top = np.array([_window_logits(network, gates, numbered[k]).max() for k in held], np.float64)
-    y = np.array([labels[k] for k in held], np.float64)
+def _curve(tops: list[float], labels: list[int], prior: float) -> tuple[float, float]:
+    """From the largest logits of whole texts to scores, weighted to ``prior``, the share of toxic labels."""
+    if not tops:
+        return 1.0, 0.0
+    top, y = np.array(tops, np.float64), np.array(labels, np.float64)
     share = min(max(y.mean(), 1e-3), 1 - 1e-3)
     weight = np.where(y > 0, prior / share, (1 - prior) / (1 - share))
     a, b = 1.0, 0.0
@@ -342,18 +342,34 @@ def _training_windows(limit: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text in bytes_of(batch, "text"):
+            for key, text in zip(batch.column("key").to_pylist(), bytes_of(batch, "text")):
                 own = words_of(text)
                 bounds = window_bounds(len(own))
                 if len(bounds) > limit:
-                    bounds = [bounds[i * (len(bounds) - 1) // (limit - 1)] for i in range(limit)]
+                    drawn = np.random.default_rng(key % 2**64).choice(len(bounds), limit, replace=False)
+                    bounds = [bounds[i] for i in sorted(drawn)]
                 out.append([b" ".join(own[a:b]) for a, b in bounds])
-            kind = pa.list_(pa.large_binary())
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(out, kind)], names=["label", "windows"])
+            columns = [batch.column("key"), batch.column("label"), pa.array(out, pa.list_(pa.large_binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "label", "windows"])
 
     return cut
 
 
+def _worst_windows(model):
+    """The largest logit of all windows of a text, and the words of that window; null without words."""
+
+    def worst(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model.value)
+        for batch in batches:
+            found = list(scorer.tops(bytes_of(batch, "text")))
+            tops = pa.array([t if own else None for t, own in found], pa.float64())
+            words = pa.array([b" ".join(own) for _, own in found], pa.large_binary())
+            columns = [batch.column("key"), batch.column("label"), tops, words]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "label", "top", "words"])
+
+    return worst
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
@@ -380,17 +396,32 @@ def fit_network(
         marks.where((F.col("label") > 0) == label).orderBy(F.xxhash64("id"), "id").limit(settings.docs_per_class)
         for label in (True, False)
     ))
-    sample = written(sample.select("id", (F.col("label") > 0).cast("int").alias("label")))
-    chosen = texts.join(F.broadcast(sample), "id").select("label", "text")  # of bounded size
-    cut = map_batches(chosen, _training_windows(settings.windows_per_doc), "label int, windows array<binary>")
-    windows, target = [], []
-    for row in cut.collect():
-        if row["windows"]:
-            windows.append([bytes(w).split() for w in row["windows"]])
-            target.append(row["label"])
+    curve = F.pmod(F.xxhash64("id", F.lit("curve")), F.lit(5)) == 0
+    sample = written(sample.select("id", (F.col("label") > 0).cast("int").alias("label"), curve.alias("curve")))
+    chosen = texts.join(F.broadcast(sample), "id")  # of bounded size
+    chosen = written(chosen.select(F.xxhash64("text").alias("key"), "label", "curve", "text"))
+    taught, held = chosen.where("NOT curve").drop("curve"), chosen.where("curve").drop("curve")
+    cut = map_batches(taught, _training_windows(settings.windows_per_doc), "key long, label int, windows array<binary>")
     # An order that doesn't depend on how the rows arrived.
-    order = sorted(range(len(target)), key=lambda k: (xxhash.xxh64_intdigest(b" ".join(windows[k][0])), windows[k], target[k]))
-    return train([windows[k] for k in order], [target[k] for k in order], prior, settings)
+    rows = sorted((r for r in cut.collect() if r["windows"]), key=lambda r: (r["key"], r["label"]))
+    windows, target = [[bytes(w).split() for w in r["windows"]] for r in rows], [r["label"] for r in rows]
+    if len(set(target)) < 2:
+        network = Network.fresh({}, settings)
+        network.curve = (0.0, -20.0 if not any(target) else 20.0)
+        return network
+
+    def tops(network: Network, texts: DataFrame) -> DataFrame:
+        model = docs.sparkSession.sparkContext.broadcast(network)
+        return map_batches(texts, _worst_windows(model), "key long, label int, top double, words binary").where("top IS NOT NULL")
+
+    def worst(network: Network) -> dict[int, list[bytes]]:
+        found = {r["key"]: bytes(r["words"]).split() for r in tops(network, taught.where("label = 1")).collect()}
+        return {k: found[r["key"]] for k, r in enumerate(rows) if r["label"] and r["key"] in found}
+
+    network = train(windows, target, worst, settings)
+    known = sorted((r["top"], r["label"]) for r in tops(network, held).select("top", "label").collect())
+    network.curve = _curve([t for t, _ in known], [y for _, y in known], prior)
+    return network
 
 
 class _Scorer:
@@ -414,35 +445,43 @@ class _Scorer:
         self.gates = np.concatenate([self.gates, new], axis=1)
 
     def scores(self, texts: list[bytes]) -> list[float]:
-        out: list[float] = []
+        a, b = self.network.curve
+        top = np.array([t for t, _ in self.tops(texts)], np.float64)
+        scores = np.zeros(len(texts))
+        some = np.isfinite(top)
+        scores[some] = 1 / (1 + np.exp(-np.clip(a * top[some] + b, -30, 30)))
+        return scores.tolist()
+
+    def tops(self, texts: list[bytes]) -> Iterator[tuple[float, list[bytes]]]:
+        """The largest logit of each text and the words of its window; -inf and none without words."""
         some, size = [], 0
         for text in texts:  # about 1 MB of text at once
             some.append(text)
             size += len(text)
             if size > 1 << 20:
-                out += self._scores(some)
+                yield from self._tops(some)
                 some, size = [], 0
-        return out + self._scores(some)
+        yield from self._tops(some)
 
-    def _scores(self, texts: list[bytes]) -> list[float]:
+    def _tops(self, texts: list[bytes]) -> list[tuple[float, list[bytes]]]:
         if len(self.numbers) > self.kept:
             self.forget()
         split = [words_of(t) for t in texts]
         self.learn([w for w in dict.fromkeys(w for own in split for w in own) if w not in self.numbers])
-        rows, owner = [], []
+        rows, owner, bounds = [], [], []
         for k, own in enumerate(split):
             index = np.fromiter(map(self.numbers.__getitem__, own), np.int64, len(own))
             for a, b in window_bounds(len(own)):
                 rows.append(index[a:b])
                 owner.append(k)
-        top = np.full(len(texts), -np.inf)
+                bounds.append((a, b))
+        out: list[tuple[float, list[bytes]]] = [(-np.inf, [])] * len(texts)
         if rows:
-            np.maximum.at(top, owner, _window_logits(self.network, self.gates, rows).astype(np.float64))
-        a, b = self.network.curve
-        scores = np.zeros(len(texts))
-        some = np.isfinite(top)
-        scores[some] = 1 / (1 + np.exp(-np.clip(a * top[some] + b, -30, 30)))
-        return scores.tolist()
+            logits = _window_logits(self.network, self.gates, rows).astype(np.float64)
+            order = np.lexsort((logits, owner))  # the largest of each text comes last
+            for w in order[np.flatnonzero(np.diff(np.array(owner)[order], append=-1))]:
+                out[owner[w]] = float(logits[w]), split[owner[w]][slice(*bounds[w])]
+        return out
 
 
 def _scoring(model):

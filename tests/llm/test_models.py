@@ -118,6 +118,81 @@ def test_every_byte_is_scored():
     assert toxicity.words_of("a\u00a0b\u3000c\u2014d “e”".encode()) == [b"a", b"b", b"c", b"d", b"e"]
 
 
+def plain_logit(net, words: list[bytes]) -> float:
+    """The logit of one window: one word, one direction and one step at a time."""
+    w = {k: v.astype(np.float64) for k, v in net.weights.items()}
+    size = w["u"].shape[1]
+
+    def squash(v):
+        return 1 / (1 + np.exp(-v))
+
+    x = [np.concatenate([w["word"][net.known.get(v, 0)], np.mean([w["char"][g] for g in toxicity._grams(v)], axis=0)]) for v in words]
+    states = [[None, None] for _ in words]
+    for side in (0, 1):
+        h = np.zeros(size)
+        for t in range(len(words)) if side == 0 else reversed(range(len(words))):
+            gate, own = x[t] @ w["w"][side] + w["b"][side, 0], h @ w["u"][side]
+            z, r = squash(gate[:size] + own[:size]), squash(gate[size : 2 * size] + own[size : 2 * size])
+            new = np.tanh(gate[2 * size :] + r * own[2 * size :])
+            h = z * h + (1 - z) * new
+            states[t][side] = h
+    both = [np.concatenate(pair) for pair in states]
+    marks = np.array([np.tanh(s @ w["att_w"] + w["att_b"]) @ w["att_v"] for s in both])
+    share = np.exp(marks - marks.max())
+    pool = sum(a * s for a, s in zip(share / share.sum(), both))
+    return float(pool @ w["out_w"] + w["out_b"][0])
+
+
+def test_scores_agree_with_plain_loops():
+    rng = random.Random(3)
+    names = [b"ab", b"rotten", b"xyz", "größe".encode(), b"vile", b"q"]
+    net = toxicity.Network.fresh({b"ab": 1, b"vile": 2, b"q": 3}, toxicity.Settings(hidden=5, attention=3))
+    net.curve = (1.5, -0.25)
+    texts = [b" ".join(rng.choices(names, k=n)) for n in (0, 1, 5, 63, 64, 65, 97, 300)]
+    scorer = toxicity._Scorer(net)
+    for text, score, (top, worst) in zip(texts, scorer.scores(texts), scorer.tops(texts)):
+        own = toxicity.words_of(text)
+        plain = [(plain_logit(net, own[a:b]), own[a:b]) for a, b in toxicity.window_bounds(len(own))]
+        if not plain:
+            assert score == 0 and top == -np.inf and worst == []
+            continue
+        most = max(p for p, _ in plain)
+        assert abs(top - most) < 1e-4 and abs(score - 1 / (1 + np.exp(-1.5 * most + 0.25))) < 1e-4
+        assert abs(plain_logit(net, worst) - most) < 1e-4
+
+
+def test_worst_windows_join_the_training():
+    """Windows that the sample left out, with words it has never seen, teach from the second epoch on."""
+    clean, bad = [[b"an", b"be"]], [[b"be", b"co"]]
+    asked = []
+
+    def worst(network):
+        asked.append(network)
+        return {k: [b"rotten", b"vile"] for k in range(40, 80)}
+
+    settings = toxicity.Settings(epochs=30, batch=16)
+    net = toxicity.train([list(clean) for _ in range(40)] + [list(bad) for _ in range(40)], [0] * 40 + [1] * 40, worst, settings)
+    assert len(asked) == 1
+    scorer = toxicity._Scorer(net)
+    (low, _), (high, _) = scorer.tops([b"an be", b"rotten vile"])
+    assert low < high
+
+
+def test_draws_cover_whole_texts():
+    """Windows of long texts are drawn from all of their windows, whatever their place."""
+    import pyarrow as pa
+
+    text = b" ".join(b"w%d" % k for k in range(5000))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(-100, 100), pa.int64()), pa.array([1] * 200, pa.int32()), pa.array([text.decode()] * 200)],
+        names=["key", "label", "text"],
+    )
+    (out,) = toxicity._training_windows(24)(iter([batch]))
+    drawn = [set(w) for w in out.column("windows").to_pylist()]
+    assert all(len(w) == 24 for w in drawn)
+    assert len(set.union(*drawn)) == len(toxicity.window_bounds(5000))
+
+
 def toxic_corpus(n: int):
     rng = random.Random(1)
     docs, labels = [], []
